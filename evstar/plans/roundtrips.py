@@ -22,11 +22,17 @@ def _land_topic(messages: DataFrame, root: str) -> str:
     return path
 
 
-def run_ingest(spark: SparkSession, messages: DataFrame, root: str) -> tuple[str, str]:
-    """Drain the landed topic through the streaming ingest (one file per
-    micro-batch); returns the lake and dead-letter folders."""
+def run_ingest(
+    spark: SparkSession, messages: DataFrame, root: str, files_per_batch: int | None = None
+) -> tuple[str, str]:
+    """Drain the landed topic through the streaming ingest; returns the lake
+    and dead-letter folders. ``files_per_batch`` caps a micro-batch (default:
+    everything available in one batch)."""
     topic = _land_topic(messages, root)
-    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(topic)
+    reader = spark.readStream.schema(messages.schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(topic)
     lake, dead = f"{root}/lake", f"{root}/dead_letter"
     query = ingest(stream, lake, dead, f"{root}/_checkpoints/ingest", available_now=True)
     query.awaitTermination()
@@ -63,7 +69,7 @@ def raw_load_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> D
     """Raw table after ingest and two loads; the second must add nothing."""
     lake, _ = run_ingest(spark, messages, root)
     table, checkpoint = f"{root}/raw_events", f"{root}/_checkpoints/load"
-    load_raw(spark, lake, table, checkpoint, max_files_per_trigger=4)
+    load_raw(spark, lake, table, checkpoint)
     again = load_raw(spark, lake, table, checkpoint)
     if again:
         raise RuntimeError(f"second load appended {again} rows; files must load once")

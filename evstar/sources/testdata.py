@@ -95,14 +95,21 @@ def topic_messages(events: DataFrame) -> DataFrame:
         .otherwise(envelope)
     )
     copies = F.when(F.col("k") == REDELIVERED_K, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return e.select(
+    # Each event becomes one message struct produced by a generator: later
+    # filters on the parsed message stop at the generator instead of
+    # inlining this text-building expression into every parse call.
+    message = F.struct(
         message_key(cid, pid).alias("key"),
         text.cast("binary").alias("value"),
         (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
-        F.explode(copies).alias("copy"),
-        F.col("event_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-    ).select(
+        F.col("event_id").alias("event_id"),
+        copies.alias("copies"),
+    )
+    delivered = e.select(F.inline(F.array(message))).select(
+        "key", "value", "partition", "timestamp", "event_id", F.explode("copies").alias("copy")
+    )
+    return delivered.select(
         "key",
         "value",
         "partition",
