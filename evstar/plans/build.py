@@ -71,16 +71,17 @@ CHECKS: list[Check] = [
     _rel("fact_orders", "order_date_key", "dim_date", "date_key"),
 ]
 
-# Build order: (model, kind, builder over the already-built models).
-STEPS: list[tuple[str, str, Callable[[dict[str, DataFrame]], DataFrame]]] = [
-    ("stg_products", "view", lambda m: staging.stg_products(m["raw_products"])),
-    ("stg_customers", "view", lambda m: staging.stg_customers(m["raw_customers"])),
-    ("stg_orders", "view", lambda m: staging.stg_orders(m["raw_events"])),
-    ("dim_customers", "table", lambda m: marts.dim_customers(m["stg_customers"])),
-    ("dim_products", "table", lambda m: marts.dim_products(m["stg_products"])),
-    ("dim_date", "table", lambda m: m["calendar"]),
-    ("fact_orders", "table", lambda m: marts.fact_orders(m["stg_orders"], m["dim_customers"], m["dim_products"])),
-]
+def steps(order_type: str = "order") -> list[tuple[str, str, Callable[[dict[str, DataFrame]], DataFrame]]]:
+    """Build order: ``(model, kind, builder over the already-built models)``."""
+    return [
+        ("stg_products", "view", lambda m: staging.stg_products(m["raw_products"])),
+        ("stg_customers", "view", lambda m: staging.stg_customers(m["raw_customers"])),
+        ("stg_orders", "view", lambda m: staging.stg_orders(m["raw_events"], order_type)),
+        ("dim_customers", "table", lambda m: marts.dim_customers(m["stg_customers"])),
+        ("dim_products", "table", lambda m: marts.dim_products(m["stg_products"])),
+        ("dim_date", "table", lambda m: m["calendar"]),
+        ("fact_orders", "table", lambda m: marts.fact_orders(m["stg_orders"], m["dim_customers"], m["dim_products"])),
+    ]
 
 
 def run_check(check: Check, models: dict[str, DataFrame]) -> q.Violations:
@@ -134,6 +135,7 @@ def build(
     calendar: DataFrame | None = None,
     checks: list[Check] = CHECKS,
     fail_fast: bool = True,
+    order_type: str = "order",
 ) -> BuildResult:
     """Build every model, test it, stop at the first model with failures.
 
@@ -149,7 +151,7 @@ def build(
     results: list[tuple[str, int]] = []
     persisted: list[DataFrame] = []
     try:
-        for name, kind, builder in STEPS:
+        for name, kind, builder in steps(order_type):
             df = builder(models)
             if kind == "view":
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
