@@ -18,20 +18,35 @@ from ..functions.keys import message_key
 TOPIC = "ecommerce-events"
 
 
+# A micro-batch closes at this many messages or this age.
+FLUSH_ROWS = 200
+FLUSH_DELAY = "30s"
+
+
 def topic_options(
     bootstrap_servers: str,
     topic: str = TOPIC,
     starting_offsets: str = "earliest",
+    flush_rows: int | None = None,
+    flush_delay: str | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Options for a topic source. Progress lives in the query checkpoint,
-    so nothing is committed to the broker."""
+    so nothing is committed to the broker.
+
+    ``flush_rows``/``flush_delay`` give the "N messages or T seconds,
+    whichever first" batch rule (T-1), e.g. ``FLUSH_ROWS``/``FLUSH_DELAY``.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "true",
     }
+    if flush_rows:
+        opts["minOffsetsPerTrigger"] = str(flush_rows)
+    if flush_delay:
+        opts["maxTriggerDelay"] = flush_delay
     opts.update(extra)
     return opts
 
@@ -42,11 +57,13 @@ def read_topic(
     topic: str = TOPIC,
     streaming: bool = True,
     starting_offsets: str = "earliest",
+    flush_rows: int | None = None,
+    flush_delay: str | None = None,
     **extra: str,
 ) -> DataFrame:
     """Topic as a streaming DataFrame (ingest) or a bounded batch read of
     earliest..latest (profiling, S5)."""
-    opts = topic_options(bootstrap_servers, topic, starting_offsets, **extra)
+    opts = topic_options(bootstrap_servers, topic, starting_offsets, flush_rows, flush_delay, **extra)
     if streaming:
         return spark.readStream.format("kafka").options(**opts).load()
     opts.setdefault("endingOffsets", "latest")

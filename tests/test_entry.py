@@ -69,3 +69,11 @@ def test_publish_frame_envelope(spark):
         "payload": {"customer_id": "C1", "product_id": "P1"},
     }
     assert F
+
+
+def test_topic_options_flush_rule():
+    from evstar.sources.topic import FLUSH_DELAY, FLUSH_ROWS, topic_options
+
+    opts = topic_options("b:9092", flush_rows=FLUSH_ROWS, flush_delay=FLUSH_DELAY)
+    assert opts["minOffsetsPerTrigger"] == "200" and opts["maxTriggerDelay"] == "30s"
+    assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "ecommerce-events"
