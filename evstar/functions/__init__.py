@@ -6,6 +6,7 @@ from .envelope import (
     envelope_columns,
     envelope_json,
     message_error,
+    message_keys,
     message_text,
     missing_fields,
     parse_envelope,
@@ -25,6 +26,7 @@ __all__ = [
     "iso_day_of_week",
     "message_error",
     "message_key",
+    "message_keys",
     "message_text",
     "missing_fields",
     "parse_envelope",

@@ -1,8 +1,10 @@
 """Event envelope: validation, field extraction and serialisation.
 
-Messages are parsed ONCE into a VARIANT (binary, schema-less) with
-``try_parse_json``; every later lookup is a cheap path access on that
-binary instead of re-reading the JSON text.
+Cost per message, all JVM-side: one strict parse (``try_parse_json``) to
+decide validity, one key scan (``json_object_keys``) for presence, and one
+``from_json`` pass that returns the four envelope fields as text. For a
+valid event each runs once, also when a filter on the error is pushed
+below the projection (the valid path never evaluates a check twice).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ ERR_JSON = "invalid JSON"
 ERR_NOT_OBJECT = "message is not a JSON object"
 ERR_MISSING_PREFIX = "missing fields: "
 
-_OBJECT_START = r"^\s*\{"
+_ENVELOPE_SCHEMA = "event_id string, event_type string, event_timestamp string, payload string"
 
 
 def _col(c: str | Column) -> Column:
@@ -39,23 +41,26 @@ def parse_envelope(value: str | Column) -> Column:
     return F.try_parse_json(message_text(value))
 
 
-def missing_fields(parsed: str | Column, fields: list[str] = ENVELOPE_FIELDS) -> Column:
-    """Required keys absent from the object. A key holding JSON null is present."""
-    v = _col(parsed)
-    return F.array_compact(
-        F.array(*[F.when(F.try_variant_get(v, f"$.{f}", "variant").isNull(), F.lit(f)) for f in fields])
-    )
+def message_keys(value: str | Column) -> Column:
+    """Top-level keys of a JSON object; NULL for any other JSON value."""
+    return F.json_object_keys(message_text(value))
+
+
+def missing_fields(value: str | Column, fields: list[str] = ENVELOPE_FIELDS) -> Column:
+    """Required keys absent from the message, in ``fields`` order. A key
+    holding JSON null is present; a non-object misses them all."""
+    keys = F.coalesce(message_keys(value), F.array().cast("array<string>"))
+    return F.array_except(F.array(*[F.lit(f) for f in fields]), keys)
 
 
-def message_error(value: str | Column, parsed: str | Column, fields: list[str] = ENVELOPE_FIELDS) -> Column:
+def message_error(value: str | Column, fields: list[str] = ENVELOPE_FIELDS) -> Column:
     """Why a message is rejected, or NULL when it is a valid event.
 
-    Order of checks: no value, undecodable bytes, not JSON, not an object,
-    required keys missing (reported sorted, Python-list style).
+    Order of checks: no value, undecodable bytes, not (strict) JSON, not an
+    object, required keys missing (reported sorted, Python-list style).
     """
     text = message_text(value)
-    v = _col(parsed)
-    missing = F.array_sort(missing_fields(v, fields))
+    missing = missing_fields(value, sorted(fields))
     listed = F.concat(
         F.lit("["),
         F.array_join(F.transform(missing, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "),
@@ -64,25 +69,38 @@ def message_error(value: str | Column, parsed: str | Column, fields: list[str] =
     return (
         F.when(_col(value).isNull(), F.lit(ERR_EMPTY))
         .when(~F.is_valid_utf8(text), F.lit(ERR_UTF8))
-        .when(v.isNull(), F.lit(ERR_JSON))
-        .when(~F.regexp_like(text, F.lit(_OBJECT_START)), F.lit(ERR_NOT_OBJECT))
-        .when(F.size(missing) > 0, F.concat(F.lit(ERR_MISSING_PREFIX), listed))
+        .when(F.try_parse_json(text).isNull(), F.lit(ERR_JSON))
+        .when(
+            F.size(missing) > 0,
+            F.when(message_keys(value).isNull(), F.lit(ERR_NOT_OBJECT)).otherwise(
+                F.concat(F.lit(ERR_MISSING_PREFIX), listed)
+            ),
+        )
     )
 
 
-def envelope_columns(parsed: str | Column) -> list[Column]:
+def parse_fields(value: str | Column) -> Column:
+    """STRUCT of the four envelope fields as text, from one ``from_json`` pass."""
+    return F.from_json(message_text(value), _ENVELOPE_SCHEMA)
+
+
+def envelope_columns(value: str | Column, fields: str | Column | None = None) -> list[Column]:
     """The four envelope fields as STRING columns (F1).
 
-    Non-string envelope values are kept as their JSON text; the payload is
-    re-serialised as compact JSON text (``null`` for a JSON null).
-    Unknown top-level keys are dropped.
+    ``fields`` is a column already holding :func:`parse_fields` (so the
+    text is decoded once however many fields are read); by default it is
+    computed here. Non-string values are kept as their JSON text; the
+    payload is kept as compact JSON text in its original key order
+    (``null`` for a JSON null). Unknown top-level keys are dropped.
     """
-    v = _col(parsed)
+    env = parse_fields(value) if fields is None else (F.col(fields) if isinstance(fields, str) else fields)
+    payload = env["payload"]
+    null_payload = payload.isNull() & F.array_contains(message_keys(value), "payload")
     return [
-        F.try_variant_get(v, "$.event_id", "string").alias("event_id"),
-        F.try_variant_get(v, "$.event_type", "string").alias("event_type"),
-        F.try_variant_get(v, "$.event_timestamp", "string").alias("event_timestamp"),
-        F.to_json(F.try_variant_get(v, "$.payload", "variant")).alias("payload"),
+        env["event_id"].alias("event_id"),
+        env["event_type"].alias("event_type"),
+        env["event_timestamp"].alias("event_timestamp"),
+        F.when(null_payload, F.lit("null")).otherwise(payload).alias("payload"),
     ]
 
 

@@ -12,9 +12,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.envelope import envelope_columns, message_error, parse_envelope, quarantine_value
+from ..functions.envelope import envelope_columns, message_error, parse_fields, quarantine_value
 
-_PARSED = "__evstar_parsed"
+_FIELDS = "__evstar_fields"
 
 # The lake's text formats for the ingest stamp (UTC).
 ISO_UTC_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -25,15 +25,18 @@ HOUR_FORMAT = "HH"
 def parse_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add ``error`` (NULL when valid) and the envelope fields to each message.
 
-    The JSON text is parsed once (into a VARIANT) per message; a bad
-    message never fails the batch.
+    A bad message never fails the batch; it just gets a reason. The decoded
+    fields are held in one struct column first, so the text is decoded once.
     """
-    parsed = messages.withColumn(_PARSED, parse_envelope(F.col(value)))
-    return parsed.select(
+    decoded = messages.select(
         "*",
-        message_error(F.col(value), F.col(_PARSED)).alias("error"),
-        *envelope_columns(F.col(_PARSED)),
-    ).drop(_PARSED)
+        message_error(F.col(value)).alias("error"),
+        parse_fields(F.col(value)).alias(_FIELDS),
+    )
+    return decoded.select(
+        *[c for c in decoded.columns if c != _FIELDS],
+        *envelope_columns(F.col(value), F.col(_FIELDS)),
+    )
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
