@@ -2,6 +2,7 @@
 
 from .dedup import first_delivery, keep_first, latest_version
 from .joins import lookup, missing_parents
+from .partitioning import ensure_parallelism
 from .profiling import (
     key_affinity,
     key_summary,
@@ -32,6 +33,7 @@ __all__ = [
     "stamp",
     "accepted_range",
     "accepted_values",
+    "ensure_parallelism",
     "first_delivery",
     "keep_first",
     "key_affinity",

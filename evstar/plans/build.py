@@ -106,10 +106,19 @@ def run_check(check: Check, models: dict[str, DataFrame]) -> q.Violations:
 def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> DataFrame:
     """``(check, failures)`` for many checks as one DataFrame (one job)."""
     frames = [run_check(c, models).failures_frame() for c in checks]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    # Same two columns everywhere: union by position, pairwise, so each
+    # step analyses a small plan instead of an ever longer chain.
+    while len(frames) > 1:
+        frames = [frames[i].union(frames[i + 1]) if i + 1 < len(frames) else frames[i] for i in range(0, len(frames), 2)]
+    return frames[0]
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as a Parquet table at ``path`` (full overwrite) and return
+    a scan of it: later jobs read stored columns, with pruning and filter
+    pushdown, and never recompute the lineage after a lost executor."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 class BuildFailed(RuntimeError):
@@ -157,9 +166,7 @@ def build(
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
                 persisted.append(df)
             else:
-                path = f"{warehouse.rstrip('/')}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
+                df = materialize(df, f"{warehouse.rstrip('/')}/{name}")
             models[name] = df
             model_failures = []
             for check in (c for c in checks if c.model == name):

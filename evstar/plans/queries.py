@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import date_spine_covering
 from ..operators import dedup, profiling, quality, routing
-from ..session import scratch_dir, shared_root
+from ..session import scratch_dir
 from . import build as gate
 from . import marts
 from .inputs import Inputs
@@ -122,25 +122,29 @@ def q_dq_total_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks over the models, one ``(check, failures)`` row each.
 
-    The models are materialised once, in dependency order, with
-    ``checkpoint()`` (reliable files under the cluster's checkpoint folder),
-    so the 36 checks read stored models instead of re-deriving the chain.
+    The models are first written once, in dependency order, as Parquet
+    tables in a fresh folder under the cluster's shared checkpoint folder,
+    so the 36 checks scan stored columns instead of re-deriving the chain.
     """
-    shared_root(spark)
+    root = scratch_dir(spark, "dq-summary")
     i = Inputs(spark, sf_dir)
-    stg_orders = i.stg_orders.checkpoint()
-    stg_products = i.stg_products.checkpoint()
-    stg_customers = i.stg_customers.checkpoint()
-    dim_customers = marts.dim_customers(stg_customers).checkpoint()
-    dim_products = marts.dim_products(stg_products).checkpoint()
+    stg_orders = gate.materialize(i.stg_orders, f"{root}/stg_orders")
+    stg_products = gate.materialize(i.stg_products, f"{root}/stg_products")
+    stg_customers = gate.materialize(i.stg_customers, f"{root}/stg_customers")
+    dim_customers = gate.materialize(marts.dim_customers(stg_customers), f"{root}/dim_customers")
+    dim_products = gate.materialize(marts.dim_products(stg_products), f"{root}/dim_products")
     models = {
         "stg_orders": stg_orders,
         "stg_products": stg_products,
         "stg_customers": stg_customers,
         "dim_customers": dim_customers,
         "dim_products": dim_products,
-        "dim_date": marts.dim_date(spine=date_spine_covering(stg_orders, "ordered_at")).checkpoint(),
-        "fact_orders": marts.fact_orders(stg_orders, dim_customers, dim_products).checkpoint(),
+        "dim_date": gate.materialize(
+            marts.dim_date(spine=date_spine_covering(stg_orders, "ordered_at")), f"{root}/dim_date"
+        ),
+        "fact_orders": gate.materialize(
+            marts.fact_orders(stg_orders, dim_customers, dim_products), f"{root}/fact_orders"
+        ),
     }
     return gate.failures_frame(gate.CHECKS, models)
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import message_key
+from ..operators.partitioning import ensure_parallelism
 from ..operators.routing import parse_messages, stamp
 from ..streaming.load import load_projection
 
@@ -49,42 +50,55 @@ def topic_messages(events: DataFrame) -> DataFrame:
     """Kafka-shaped messages ``key, value, partition, offset, timestamp``
     from the ``events`` table (purchase -> order events with a payload)."""
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    e = events.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+    e = ensure_parallelism(events).select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
 
     etype = F.when(F.col("event_type") == "purchase", F.lit("order")).otherwise(F.col("event_type"))
-    is_order = etype == "order"
+    is_order = F.col("event_type") == "purchase"
     cid = (
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
         .when(is_order & (F.col("k") == GUEST_K), F.concat(F.lit("G"), F.col("user_id").cast("string")))
         .otherwise(F.col("user_id").cast("string"))
     )
-    pid = F.col("k").cast("string")
     qty = (F.col("k") % 3 + 1).cast("int")
     price = F.col("value").cast("decimal(10,2)")
     pay = F.element_at(F.array(*[F.lit(m) for m in PAYMENT_METHODS]), (F.col("user_id") % 4 + 1).cast("int"))
-    fee = F.when((pay == "cash_on_delivery") & (qty > 1), F.lit(0.02)).otherwise(F.lit(0.0)).cast("decimal(3,2)")
-    total = (price * qty + fee).cast("decimal(12,2)")
+    # Per-event parts, computed once each (the projection shares them).
+    parts = e.select(
+        "event_id",
+        "k",
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        etype.alias("etype"),
+        cid.alias("cid"),
+        F.col("k").cast("string").alias("pid"),
+        qty.alias("qty"),
+        price.alias("price"),
+        pay.alias("pay"),
+        F.date_format(F.col("ts"), ISO_TEXT).alias("ts_text"),
+    )
+    fee = F.when((F.col("pay") == "cash_on_delivery") & (F.col("qty") > 1), F.lit(0.02)).otherwise(F.lit(0.0))
+    total = (F.col("price") * F.col("qty") + fee.cast("decimal(3,2)")).cast("decimal(12,2)")
     status = F.when(F.col("k") % CANCEL_EVERY == 0, F.lit("cancelled")).otherwise(F.lit("completed"))
 
     order_payload = F.concat(
         F.lit('{"order_id": '), _q(F.concat(F.lit("O"), F.col("event_id").cast("string"))),
-        F.lit(', "customer_id": '), _q(cid),
-        F.lit(', "product_id": '), _q(pid),
-        F.lit(', "quantity": '), qty.cast("string"),
-        F.lit(', "unit_price": '), price.cast("string"),
+        F.lit(', "customer_id": '), _q(F.col("cid")),
+        F.lit(', "product_id": '), _q(F.col("pid")),
+        F.lit(', "quantity": '), F.col("qty").cast("string"),
+        F.lit(', "unit_price": '), F.col("price").cast("string"),
         F.lit(', "total_amount": '), total.cast("string"),
-        F.lit(', "payment_method": '), _q(pay),
+        F.lit(', "payment_method": '), _q(F.col("pay")),
         F.lit(', "order_status": '), _q(status),
         F.lit("}"),
     )
-    other_payload = F.when(cid.isNull(), F.concat(F.lit('{"product_id": '), _q(pid), F.lit("}"))).otherwise(
-        F.concat(F.lit('{"customer_id": '), _q(cid), F.lit(', "product_id": '), _q(pid), F.lit("}"))
-    )
-    payload = F.when(is_order, order_payload).otherwise(other_payload)
+    other_payload = F.when(
+        F.col("cid").isNull(), F.concat(F.lit('{"product_id": '), _q(F.col("pid")), F.lit("}"))
+    ).otherwise(F.concat(F.lit('{"customer_id": '), _q(F.col("cid")), F.lit(', "product_id": '), _q(F.col("pid")), F.lit("}")))
+    payload = F.when(F.col("etype") == "order", order_payload).otherwise(other_payload)
     head = F.concat(
         F.lit('{"event_id": '), _q(F.col("event_id").cast("string")),
-        F.lit(', "event_type": '), _q(etype),
-        F.lit(', "event_timestamp": '), _q(F.date_format(F.col("ts"), ISO_TEXT)),
+        F.lit(', "event_type": '), _q(F.col("etype")),
+        F.lit(', "event_timestamp": '), _q(F.col("ts_text")),
     )
     envelope = F.concat(head, F.lit(', "payload": '), payload, F.lit("}"))
     text = (
@@ -95,18 +109,18 @@ def topic_messages(events: DataFrame) -> DataFrame:
         .otherwise(envelope)
     )
     copies = F.when(F.col("k") == REDELIVERED_K, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    # Each event becomes one message struct produced by a generator: later
-    # filters on the parsed message stop at the generator instead of
-    # inlining this text-building expression into every parse call.
-    message = F.struct(
-        message_key(cid, pid).alias("key"),
-        text.cast("binary").alias("value"),
-        (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.col("event_id").alias("event_id"),
+    # The message text is produced by a generator: later filters on the
+    # parsed message stop at the generator instead of inlining this
+    # text-building expression into every parse call.
+    generated = parts.select(
+        message_key(F.col("cid"), F.col("pid")).alias("key"),
+        "partition",
+        "timestamp",
+        "event_id",
         copies.alias("copies"),
+        F.inline(F.array(F.struct(text.cast("binary").alias("value")))),
     )
-    delivered = e.select(F.inline(F.array(message))).select(
+    delivered = generated.select(
         "key", "value", "partition", "timestamp", "event_id", F.explode("copies").alias("copy")
     )
     return delivered.select(

@@ -29,6 +29,7 @@ def topic_options(
     starting_offsets: str = "earliest",
     flush_rows: int | None = None,
     flush_delay: str | None = None,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Options for a topic source. Progress lives in the query checkpoint,
@@ -36,6 +37,8 @@ def topic_options(
 
     ``flush_rows``/``flush_delay`` give the "N messages or T seconds,
     whichever first" batch rule (T-1), e.g. ``FLUSH_ROWS``/``FLUSH_DELAY``.
+    ``min_partitions`` splits large topic partitions over more tasks, so a
+    topic with few partitions still parses on every core.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -47,6 +50,8 @@ def topic_options(
         opts["minOffsetsPerTrigger"] = str(flush_rows)
     if flush_delay:
         opts["maxTriggerDelay"] = flush_delay
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra)
     return opts
 
@@ -59,11 +64,12 @@ def read_topic(
     starting_offsets: str = "earliest",
     flush_rows: int | None = None,
     flush_delay: str | None = None,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> DataFrame:
     """Topic as a streaming DataFrame (ingest) or a bounded batch read of
     earliest..latest (profiling, S5)."""
-    opts = topic_options(bootstrap_servers, topic, starting_offsets, flush_rows, flush_delay, **extra)
+    opts = topic_options(bootstrap_servers, topic, starting_offsets, flush_rows, flush_delay, min_partitions, **extra)
     if streaming:
         return spark.readStream.format("kafka").options(**opts).load()
     opts.setdefault("endingOffsets", "latest")
