@@ -247,4 +247,13 @@ FROM m WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT partition) > 1""
        true AS has_source_file
 FROM m WHERE error IS NULL""",
     "catalog_snapshot": _with(_STG_PRODUCTS) + "SELECT * FROM stg_products",
+    "legacy_load_roundtrip": """SELECT
+  CASE WHEN event_type IN ('view', 'click') THEN 'page_view_events'
+       WHEN event_type = 'purchase' THEN 'purchase_events' ELSE 'inventory_events' END AS table_name,
+  CAST(event_id AS VARCHAR) AS event_id,
+  CASE WHEN event_type IN ('view', 'click') THEN 'page_view'
+       WHEN event_type = 'purchase' THEN 'purchase' ELSE 'inventory_update' END AS event_type,
+  json_extract_string(props, '$.k') AS product_id,
+  true AS has_loaded_at
+FROM events""",
 }

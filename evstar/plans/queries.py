@@ -15,7 +15,8 @@ from . import build as gate
 from . import marts
 from .inputs import Inputs
 from .reports import revenue_by_date_nation as _revenue
-from .roundtrips import catalog_roundtrip, ingest_roundtrip, raw_load_roundtrip
+from ..sources import testdata as td
+from .roundtrips import catalog_roundtrip, ingest_roundtrip, legacy_roundtrip, raw_load_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,6 +188,11 @@ def q_catalog_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_roundtrip(spark, i.table("part"), scratch_dir(spark, "catalog"))
 
 
+def q_legacy_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = Inputs(spark, sf_dir).table("events")
+    return legacy_roundtrip(spark, td.legacy_messages(events), scratch_dir(spark, "legacy"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_orders": q_stg_orders,
     "dedup_keep_first": q_dedup_keep_first,
@@ -217,4 +223,5 @@ QUERIES: dict[str, Query] = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "raw_load_roundtrip": q_raw_load_roundtrip,
     "catalog_snapshot": q_catalog_snapshot,
+    "legacy_load_roundtrip": q_legacy_load_roundtrip,
 }

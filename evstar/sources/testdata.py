@@ -189,3 +189,43 @@ def customer_snapshots(customer: DataFrame, nation: DataFrame) -> DataFrame:
         F.lit(None).cast("date").alias("signup_date"),
         F.lit(CURRENT_SNAPSHOT).alias("snapshot_date"),
     )
+
+
+# Stand-in rules for the older per-type channel: event type -> v1 type.
+LEGACY_TYPE_OF = {"view": "page_view", "click": "page_view", "purchase": "purchase"}
+LEGACY_OTHER_TYPE = "inventory_update"
+
+
+def legacy_messages(events: DataFrame) -> DataFrame:
+    """v1-shaped messages (key = v1 event type, flat JSON value) from every
+    ``events`` row: views and clicks are page views, purchases purchases,
+    everything else an inventory update."""
+    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    v1_type = F.coalesce(
+        F.element_at(F.create_map(*[F.lit(x) for kv in LEGACY_TYPE_OF.items() for x in kv]), F.col("event_type")),
+        F.lit(LEGACY_OTHER_TYPE),
+    )
+    e = ensure_parallelism(events).select(
+        F.col("event_id").cast("string").alias("event_id"),
+        v1_type.alias("event_type"),
+        F.date_format(F.col("ts"), ISO_TEXT).alias("event_timestamp"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        k.cast("string").alias("product_id"),
+        (k % 3 + 1).cast("int").alias("quantity"),
+        F.col("user_id").alias("user_id"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    record = F.when(
+        F.col("event_type") == "inventory_update",
+        F.struct("event_id", "event_type", "event_timestamp", "product_id", (-F.col("quantity")).alias("quantity_change")),
+    )
+    flat = F.when(F.col("event_type") == "purchase", F.to_json(F.struct("event_id", "event_type", "event_timestamp", "customer_id", "product_id", "quantity"))).when(
+        F.col("event_type") == "page_view", F.to_json(F.struct("event_id", "event_type", "event_timestamp", "customer_id", "product_id"))
+    ).otherwise(F.to_json(record))
+    return e.select(
+        F.col("event_type").alias("key"),
+        flat.cast("binary").alias("value"),
+        (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        F.col("event_id").cast("long").alias("offset"),
+        "timestamp",
+    )
