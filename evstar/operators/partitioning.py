@@ -14,7 +14,11 @@ def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
     splits gets spread so per-row parsing uses every core. Counting splits
     plans the scan but runs no job.
     """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: keep the input as it is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

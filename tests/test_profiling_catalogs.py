@@ -78,3 +78,12 @@ def test_read_json_array_export(spark, tmp):
         ("P0001", Decimal("12.50"), dt.date(2026, 9, 1)),
         ("P0002", Decimal("3.99"), dt.date(2026, 9, 1)),
     ]
+
+
+def test_ensure_parallelism_only_spreads_small_inputs(spark):
+    from evstar.operators import ensure_parallelism
+
+    one = spark.range(100).coalesce(1)
+    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert ensure_parallelism(many, 4) is many

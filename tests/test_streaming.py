@@ -53,6 +53,8 @@ def test_ingest_load_dedup_and_replay(spark, tmp):
     assert load_raw(spark, f"{tmp}/lake", table, ck) == 5
     after = sorted((r.event_id, r.order_id, str(r.ingested_at)) for r in stg_orders(read_raw_events(spark, table)).collect())
     assert after == before
+    assert read_dead_letters(spark, f"{tmp}/dlq").count() == 4
+    assert read_dead_letters(spark, f"{tmp}/dlq", one_per_message=True).count() == 2
 
 
 def test_load_aborts_on_bad_payload(spark, tmp):
