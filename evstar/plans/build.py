@@ -76,7 +76,11 @@ def steps(order_type: str = "order") -> list[tuple[str, str, Callable[[dict[str,
     return [
         ("stg_products", "view", lambda m: staging.stg_products(m["raw_products"])),
         ("stg_customers", "view", lambda m: staging.stg_customers(m["raw_customers"])),
-        ("stg_orders", "view", lambda m: staging.stg_orders(m["raw_events"], order_type)),
+        (
+            "stg_orders",
+            "view",
+            lambda m: m["staged_orders"] if "staged_orders" in m else staging.stg_orders(m["raw_events"], order_type),
+        ),
         ("dim_customers", "table", lambda m: marts.dim_customers(m["stg_customers"])),
         ("dim_products", "table", lambda m: marts.dim_products(m["stg_products"])),
         ("dim_date", "table", lambda m: m["calendar"]),
@@ -145,11 +149,14 @@ def build(
     checks: list[Check] = CHECKS,
     fail_fast: bool = True,
     order_type: str = "order",
+    staged_orders: DataFrame | None = None,
 ) -> BuildResult:
     """Build every model, test it, stop at the first model with failures.
 
     ``calendar`` is the date dimension to publish (default: the fixed
-    calendar range). Tables land in ``{warehouse}/{model}``.
+    calendar range). ``staged_orders`` is an already staged orders table
+    (see :mod:`evstar.streaming.stage`) used instead of deduplicating all raw
+    events again. Tables land in ``{warehouse}/{model}``.
     """
     models: dict[str, DataFrame] = {
         "raw_events": raw_events,
@@ -157,6 +164,8 @@ def build(
         "raw_customers": raw_customers,
         "calendar": calendar if calendar is not None else marts.dim_date(spark),
     }
+    if staged_orders is not None:
+        models["staged_orders"] = staged_orders
     results: list[tuple[str, int]] = []
     persisted: list[DataFrame] = []
     try:

@@ -247,6 +247,9 @@ FROM m WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT partition) > 1""
        true AS has_source_file
 FROM m WHERE error IS NULL""",
     "catalog_snapshot": _with(_STG_PRODUCTS) + "SELECT * FROM stg_products",
+    "staged_orders_roundtrip": _with(_MESSAGES, _STG_ORDERS)
+    + """SELECT event_id, order_id, customer_id, product_id, quantity, unit_price, total_amount,
+       payment_method, order_status, ordered_at FROM stg_orders""",
     "legacy_load_roundtrip": """SELECT
   CASE WHEN event_type IN ('view', 'click') THEN 'page_view_events'
        WHEN event_type = 'purchase' THEN 'purchase_events' ELSE 'inventory_events' END AS table_name,

@@ -16,6 +16,7 @@ from ..functions.calendar import date_spine_covering
 from ..sources.catalogs import read_snapshots
 from ..streaming.ingest import ingest
 from ..streaming.load import load_raw, read_raw_events
+from ..streaming.stage import stage_orders
 from . import marts
 from .build import BuildResult, build
 
@@ -45,6 +46,10 @@ class Layout:
     def catalogs(self) -> str:
         return self._p("raw_catalogs")
 
+    @property
+    def staged_orders(self) -> str:
+        return self._p("staging/stg_orders")
+
     @property
     def warehouse(self) -> str:
         return self._p("marts")
@@ -60,14 +65,22 @@ def run_pipeline(
     calendar: tuple[str, str] | None = marts.DEFAULT_CALENDAR,
     order_type: str = "order",
     fail_fast: bool = True,
+    incremental_staging: bool = False,
 ) -> BuildResult:
     """Drain ``messages`` (a streaming DataFrame with Kafka's columns) into
     the lake, load new lake files into the raw table, then build and test
-    the models. ``calendar=None`` sizes the date dimension to the orders."""
+    the models. ``calendar=None`` sizes the date dimension to the orders.
+    ``incremental_staging`` stages only newly loaded orders (same result as
+    the full dedup, cost proportional to the new data)."""
     query = ingest(messages, layout.lake, layout.dead_letter, layout.checkpoint("ingest"), available_now=True)
     query.awaitTermination()
     load_raw(spark, layout.lake, layout.raw_events, layout.checkpoint("load"))
     raw_events = read_raw_events(spark, layout.raw_events)
+    staged = (
+        stage_orders(spark, layout.raw_events, layout.staged_orders, layout.checkpoint("stage"), order_type)
+        if incremental_staging
+        else None
+    )
     raw_products = read_snapshots(spark, layout.catalogs, "products")
     raw_customers = read_snapshots(spark, layout.catalogs, "customers")
     if calendar is None:
@@ -84,4 +97,5 @@ def run_pipeline(
         calendar=calendar_df,
         fail_fast=fail_fast,
         order_type=order_type,
+        staged_orders=staged,
     )

@@ -16,7 +16,7 @@ from . import marts
 from .inputs import Inputs
 from .reports import revenue_by_date_nation as _revenue
 from ..sources import testdata as td
-from .roundtrips import catalog_roundtrip, ingest_roundtrip, legacy_roundtrip, raw_load_roundtrip
+from .roundtrips import catalog_roundtrip, ingest_roundtrip, legacy_roundtrip, raw_load_roundtrip, staging_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +193,10 @@ def q_legacy_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy_roundtrip(spark, td.legacy_messages(events), scratch_dir(spark, "legacy"))
 
 
+def q_staged_orders_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging_roundtrip(spark, Inputs(spark, sf_dir).messages, scratch_dir(spark, "stage"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_orders": q_stg_orders,
     "dedup_keep_first": q_dedup_keep_first,
@@ -224,4 +228,5 @@ QUERIES: dict[str, Query] = {
     "raw_load_roundtrip": q_raw_load_roundtrip,
     "catalog_snapshot": q_catalog_snapshot,
     "legacy_load_roundtrip": q_legacy_load_roundtrip,
+    "staged_orders_roundtrip": q_staged_orders_roundtrip,
 }

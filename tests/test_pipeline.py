@@ -61,3 +61,14 @@ def test_pipeline_calendar_from_orders(spark, tmp):
     result = run_pipeline(spark, stream(spark, topic), layout, calendar=None)
     assert result.failed == []
     assert spark.read.parquet(f"{layout.warehouse}/dim_date").count() == 3
+
+
+def test_pipeline_incremental_staging_matches(spark, tmp):
+    layout = Layout(f"{tmp}/deploy")
+    write_catalogs(spark, layout)
+    topic = f"{tmp}/topic"
+    land(spark, message_rows([order("e1", "O1"), order("e1", "O1"), order("e2", "O2", "C2", "P2")]), topic)
+    result = run_pipeline(spark, stream(spark, topic), layout, incremental_staging=True)
+    assert result.failed == []
+    fact = snapshot(spark, layout)["fact_orders"]
+    assert [r[0] for r in fact] == ["O1", "O2"]
