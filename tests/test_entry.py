@@ -4,7 +4,6 @@ import json
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -68,7 +67,6 @@ def test_publish_frame_envelope(spark):
         "event_id": "e1", "event_type": "order", "event_timestamp": "2026-09-01T10:00:00+00:00",
         "payload": {"customer_id": "C1", "product_id": "P1"},
     }
-    assert F
 
 
 def test_topic_options_flush_rule():

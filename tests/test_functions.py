@@ -1,8 +1,6 @@
 import datetime as dt
 import hashlib
 
-from pyspark.sql import functions as F
-
 from evstar.functions import (
     date_key,
     date_spine,
@@ -73,4 +71,3 @@ def test_calendar_columns_types(spark):
     types = dict(dim_date(spark, "2025-01-01", "2025-01-02").dtypes)
     assert types["date_key"] == "int" and types["calendar_date"] == "date"
     assert types["is_weekend"] == "boolean" and types["day_of_week"] == "int"
-    assert F  # keep import used
