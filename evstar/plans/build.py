@@ -177,12 +177,16 @@ def build(
             else:
                 df = materialize(df, f"{warehouse.rstrip('/')}/{name}")
             models[name] = df
+            model_checks = [c for c in checks if c.model == name]
             model_failures = []
-            for check in (c for c in checks if c.model == name):
-                n = run_check(check, models).failures()
-                results.append((check.name, n))
-                if n:
-                    model_failures.append((check.name, n))
+            if model_checks:
+                # one job per model; one small row back per check
+                counts = {r["check"]: r["failures"] for r in failures_frame(model_checks, models).collect()}
+                for check in model_checks:
+                    n = int(counts[check.name])
+                    results.append((check.name, n))
+                    if n:
+                        model_failures.append((check.name, n))
             if model_failures and fail_fast:
                 listed = ", ".join(f"{c} ({n} failing)" for c, n in model_failures)
                 raise BuildFailed(f"model {name}: {listed}")

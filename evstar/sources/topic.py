@@ -30,6 +30,7 @@ def topic_options(
     flush_rows: int | None = None,
     flush_delay: str | None = None,
     min_partitions: int | None = None,
+    max_rows_per_batch: int | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Options for a topic source. Progress lives in the query checkpoint,
@@ -39,6 +40,8 @@ def topic_options(
     whichever first" batch rule (T-1), e.g. ``FLUSH_ROWS``/``FLUSH_DELAY``.
     ``min_partitions`` splits large topic partitions over more tasks, so a
     topic with few partitions still parses on every core.
+    ``max_rows_per_batch`` caps a micro-batch, so draining a large backlog
+    (also with ``availableNow``) runs as several bounded batches.
     """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -52,6 +55,8 @@ def topic_options(
         opts["maxTriggerDelay"] = flush_delay
     if min_partitions:
         opts["minPartitions"] = str(min_partitions)
+    if max_rows_per_batch:
+        opts["maxOffsetsPerTrigger"] = str(max_rows_per_batch)
     opts.update(extra)
     return opts
 
@@ -65,11 +70,14 @@ def read_topic(
     flush_rows: int | None = None,
     flush_delay: str | None = None,
     min_partitions: int | None = None,
+    max_rows_per_batch: int | None = None,
     **extra: str,
 ) -> DataFrame:
     """Topic as a streaming DataFrame (ingest) or a bounded batch read of
     earliest..latest (profiling, S5)."""
-    opts = topic_options(bootstrap_servers, topic, starting_offsets, flush_rows, flush_delay, min_partitions, **extra)
+    opts = topic_options(
+        bootstrap_servers, topic, starting_offsets, flush_rows, flush_delay, min_partitions, max_rows_per_batch, **extra
+    )
     if streaming:
         return spark.readStream.format("kafka").options(**opts).load()
     opts.setdefault("endingOffsets", "latest")

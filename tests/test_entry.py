@@ -72,6 +72,7 @@ def test_publish_frame_envelope(spark):
 def test_topic_options_flush_rule():
     from evstar.sources.topic import FLUSH_DELAY, FLUSH_ROWS, topic_options
 
-    opts = topic_options("b:9092", flush_rows=FLUSH_ROWS, flush_delay=FLUSH_DELAY)
+    opts = topic_options("b:9092", flush_rows=FLUSH_ROWS, flush_delay=FLUSH_DELAY, max_rows_per_batch=10**7)
+    assert opts["maxOffsetsPerTrigger"] == "10000000"
     assert opts["minOffsetsPerTrigger"] == "200" and opts["maxTriggerDelay"] == "30s"
     assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "ecommerce-events"
