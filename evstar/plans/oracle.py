@@ -219,6 +219,9 @@ GROUP BY customer_id""",
     "dq_relationships_lineitem_part": """SELECT l_partkey, count(*) AS n_records FROM lineitem
 WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
 GROUP BY l_partkey""",
+    "dq_relationships_orders_lineitem": """SELECT o_orderkey, count(*) AS n_records FROM orders
+WHERE o_orderkey IS NOT NULL AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)
+GROUP BY o_orderkey""",
     "dq_accepted_values_orderstatus": """SELECT o_orderstatus, count(*) AS n_records FROM orders
 GROUP BY o_orderstatus HAVING o_orderstatus NOT IN ('F', 'O')""",
     "dq_accepted_range_tax": "SELECT l_orderkey, l_linenumber, l_partkey, l_tax FROM lineitem WHERE NOT (l_tax > 0)",

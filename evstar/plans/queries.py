@@ -106,6 +106,12 @@ def q_dq_relationships_lineitem_part(spark: SparkSession, sf_dir: str) -> DataFr
     return quality.relationships(i.table("lineitem"), "l_partkey", i.table("part"), "p_partkey").rows
 
 
+def q_dq_relationships_orders_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with no line item: the parent side (lineitem) repeats its keys."""
+    i = Inputs(spark, sf_dir)
+    return quality.relationships(i.table("orders"), "o_orderkey", i.table("lineitem"), "l_orderkey").rows
+
+
 def q_dq_accepted_values_orderstatus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.accepted_values(Inputs(spark, sf_dir).table("orders"), "o_orderstatus", ["F", "O"]).rows
 
@@ -214,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "dq_not_null_customer_key": q_dq_not_null_customer_key,
     "dq_relationships_customer": q_dq_relationships_customer,
     "dq_relationships_lineitem_part": q_dq_relationships_lineitem_part,
+    "dq_relationships_orders_lineitem": q_dq_relationships_orders_lineitem,
     "dq_accepted_values_orderstatus": q_dq_accepted_values_orderstatus,
     "dq_accepted_range_tax": q_dq_accepted_range_tax,
     "dq_total_matches": q_dq_total_matches,
