@@ -230,6 +230,10 @@ GROUP BY o_orderstatus HAVING o_orderstatus NOT IN ('F', 'O')""",
 WHERE abs(total_amount - quantity * unit_price) > 0.01""",
     "dq_summary": _with(_MESSAGES, _STG_ORDERS, _STG_PRODUCTS, _STG_CUSTOMERS, _DIMS, _calendar("stg_orders", "ordered_at"))
     + "\nUNION ALL\n".join(_check_sql(c) for c in CHECKS),
+    "pipeline_roundtrip": _with(
+        _MESSAGES, _STG_ORDERS, _STG_PRODUCTS, _STG_CUSTOMERS, _DIMS, _calendar("stg_orders", "ordered_at")
+    )
+    + "\nUNION ALL\n".join(_check_sql(c) for c in CHECKS),
     "profile_lake": _with(_MESSAGES)
     + """SELECT count(*) AS total_rows, count(DISTINCT event_id) AS distinct_event_ids,
        count(*) - count(DISTINCT event_id) AS duplicate_rows

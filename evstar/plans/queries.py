@@ -16,7 +16,14 @@ from . import marts
 from .inputs import Inputs
 from .reports import revenue_by_date_nation as _revenue
 from ..sources import testdata as td
-from .roundtrips import catalog_roundtrip, ingest_roundtrip, legacy_roundtrip, raw_load_roundtrip, staging_roundtrip
+from .roundtrips import (
+    catalog_roundtrip,
+    ingest_roundtrip,
+    legacy_roundtrip,
+    pipeline_roundtrip,
+    raw_load_roundtrip,
+    staging_roundtrip,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +210,11 @@ def q_staged_orders_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging_roundtrip(spark, Inputs(spark, sf_dir).messages, scratch_dir(spark, "stage"))
 
 
+def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    return pipeline_roundtrip(spark, i.messages, i.raw_products, i.raw_customers, scratch_dir(spark, "pipeline"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_orders": q_stg_orders,
     "dedup_keep_first": q_dedup_keep_first,
@@ -236,4 +248,5 @@ QUERIES: dict[str, Query] = {
     "catalog_snapshot": q_catalog_snapshot,
     "legacy_load_roundtrip": q_legacy_load_roundtrip,
     "staged_orders_roundtrip": q_staged_orders_roundtrip,
+    "pipeline_roundtrip": q_pipeline_roundtrip,
 }

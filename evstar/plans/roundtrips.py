@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import testdata as td
-from ..sources.catalogs import read_snapshots, write_snapshot
+from ..sources.catalogs import read_snapshots, write_snapshot, write_snapshots
+from .pipeline import Layout, run_pipeline
 from ..sources.lake import read_dead_letters, read_lake
 from ..streaming.ingest import ingest
 from ..streaming.legacy import LEGACY_TABLES, legacy_ingest, legacy_load
@@ -135,3 +136,18 @@ def staging_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> Da
     load_raw(spark, lake, raw, f"{root}/_checkpoints/load")
     staged = stage_orders(spark, raw, f"{root}/stg_orders", f"{root}/_checkpoints/stage", max_files_per_trigger=1)
     return staged.drop("ingested_at")
+
+
+def pipeline_roundtrip(
+    spark: SparkSession, messages: DataFrame, products: DataFrame, customers: DataFrame, root: str
+) -> DataFrame:
+    """The whole chain on one deployment folder: catalog snapshots, then
+    ingest -> load -> build with every check, reported (not stopping) as
+    ``(check, failures)`` rows. The calendar is sized to the orders."""
+    layout = Layout(root)
+    write_snapshots(products, layout.catalogs, "products")
+    write_snapshots(customers, layout.catalogs, "customers")
+    topic = _land_topic(messages, root)
+    stream = spark.readStream.schema(messages.schema).parquet(topic)
+    result = run_pipeline(spark, stream, layout, calendar=None, fail_fast=False)
+    return spark.createDataFrame(result.results, "check string, failures long")

@@ -38,9 +38,14 @@ CATALOG_SCHEMAS = {
 def write_snapshot(df: DataFrame, root: str, name: str, snapshot_date: str | dt.date) -> None:
     """Write ``df`` as the ``snapshot_date`` version of catalog ``name``."""
     day = dt.date.fromisoformat(str(snapshot_date))
+    write_snapshots(df.withColumn("snapshot_date", F.lit(day)), root, name)
+
+
+def write_snapshots(df: DataFrame, root: str, name: str) -> None:
+    """Write rows that carry their own ``snapshot_date`` in one job; every
+    date present is replaced, every other date is kept."""
     (
-        df.withColumn("snapshot_date", F.lit(day))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
         .json(f"{root.rstrip('/')}/{name}")

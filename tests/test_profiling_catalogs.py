@@ -3,6 +3,8 @@ import json
 import os
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from evstar.operators import (
     key_affinity,
     key_summary,
@@ -87,3 +89,15 @@ def test_ensure_parallelism_only_spreads_small_inputs(spark):
     assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert ensure_parallelism(many, 4) is many
+
+
+def test_write_snapshots_many_dates_in_one_write(spark, tmp):
+    from evstar.sources.catalogs import write_snapshots
+
+    write_snapshot(products(spark, "1.00"), tmp, "products", "2026-07-01")
+    df = products(spark, "4.00").withColumn("snapshot_date", F.lit(dt.date(2026, 8, 1))).unionByName(
+        products(spark, "5.00").withColumn("snapshot_date", F.lit(dt.date(2026, 9, 1)))
+    )
+    write_snapshots(df, tmp, "products")
+    got = sorted((r.snapshot_date.isoformat(), str(r.unit_price)) for r in read_snapshots(spark, tmp, "products").collect())
+    assert got == [("2026-07-01", "1.00"), ("2026-08-01", "4.00"), ("2026-09-01", "5.00")]
