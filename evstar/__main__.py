@@ -138,6 +138,7 @@ def cmd_inspect_topic(spark, args):
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="evstar", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("--master", default=None, help="Spark master (leave unset under spark-submit)")
+    ap.add_argument("--cluster", action="store_true", help="apply the large-cluster sizing profile")
     sub = ap.add_subparsers(dest="command", required=True)
 
     def with_topic(p):
@@ -176,7 +177,7 @@ def main(argv: list[str] | None = None) -> int:
     with_topic(p)
 
     args = ap.parse_args(argv)
-    spark = get_session(args.master, app=f"evstar-{args.command}")
+    spark = get_session(args.master, app=f"evstar-{args.command}", cluster=args.cluster)
     handlers = {
         "ingest": cmd_ingest,
         "load": cmd_load,
