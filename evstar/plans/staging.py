@@ -10,32 +10,70 @@ from pyspark.sql import functions as F
 from ..operators.dedup import first_delivery, latest_version
 
 
-def _get(path: str, type_: str) -> Column:
-    return F.variant_get(F.col("payload"), f"$.{path}", type_)
+# (name, JSON path in the payload, SQL type) of the typed order fields;
+# quantity goes through DECIMAL(38,0) so fractional input rounds.
+ORDER_FIELDS = [
+    ("order_id", "order_id", "string"),
+    ("customer_id", "customer_id", "string"),
+    ("product_id", "product_id", "string"),
+    ("quantity", "quantity", "decimal(38,0)"),
+    ("unit_price", "unit_price", "decimal(10,2)"),
+    ("total_amount", "total_amount", "decimal(10,2)"),
+    ("payment_method", "payment_method", "string"),
+    ("order_status", "order_status", "string"),
+]
+_BAD = "__evstar_bad_field"
+
+
+def _typed(path: str, type_: str) -> Column:
+    return F.try_variant_get(F.col("payload"), f"$.{path}", type_)
+
+
+def _uncastable(path: str, type_: str) -> Column:
+    """The field is there, not JSON null, and does not cast to ``type_``."""
+    raw = F.try_variant_get(F.col("payload"), f"$.{path}", "variant")
+    return _typed(path, type_).isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
 
 
 def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
     """One row per order event, the earliest delivered copy (M1).
 
-    Filter on the event type first (F9), then dedup by event_id (W1), then
-    extract and cast the payload fields (F6). A missing or JSON-null field
-    gives NULL; a value that does not cast raises. ``quantity`` goes through
-    DECIMAL(38,0) so fractional input rounds instead of truncating.
+    Filter on the event type first (F9), then dedup by event_id (W1), with
+    the payload fields typed (F6): a missing or JSON-null field gives NULL,
+    a value that does not cast fails the query. The fields are read before
+    the dedup, so the scan of a shredded VARIANT payload reads only these
+    fields and the shuffle carries typed columns; a cast failure is raised
+    only for the copy the dedup keeps, exactly as if typing came after it.
     """
     orders = raw_events.filter(F.col("event_type") == F.lit(order_type))
-    firsts = first_delivery(orders)
-    return firsts.select(
+    bad = F.coalesce(*[F.when(_uncastable(path, t), F.lit(path)) for _, path, t in ORDER_FIELDS])
+    typed = orders.select(
         "event_id",
-        _get("order_id", "string").alias("order_id"),
-        _get("customer_id", "string").alias("customer_id"),
-        _get("product_id", "string").alias("product_id"),
-        _get("quantity", "decimal(38,0)").cast("int").alias("quantity"),
-        _get("unit_price", "decimal(10,2)").alias("unit_price"),
-        _get("total_amount", "decimal(10,2)").alias("total_amount"),
-        _get("payment_method", "string").alias("payment_method"),
-        _get("order_status", "string").alias("order_status"),
+        *[_typed(path, t).alias(name) for name, path, t in ORDER_FIELDS],
         F.col("event_timestamp").alias("ordered_at"),
         "ingested_at",
+        "kafka_offset",
+        bad.alias(_BAD),
+    )
+    firsts = first_delivery(typed)
+    checked = firsts.filter(
+        F.when(
+            F.col(_BAD).isNotNull(),
+            F.raise_error(F.concat(F.lit("payload field cannot be cast: "), F.col(_BAD), F.lit(" of event "), F.col("event_id"))),
+        ).otherwise(F.lit(True))
+    )
+    return checked.select(
+        "event_id",
+        "order_id",
+        "customer_id",
+        "product_id",
+        F.col("quantity").cast("int").alias("quantity"),
+        "unit_price",
+        "total_amount",
+        "payment_method",
+        "order_status",
+        "ordered_at",
+        "ingested_at",
     )
 
 

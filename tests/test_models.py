@@ -106,3 +106,21 @@ def test_starter_models(spark):
     second = my_second_model(first)
     assert second.collect() == [(1,)]
     assert not_null(second, "id").failures() == 0 and unique(second, "id").failures() == 0
+
+
+def test_cast_failure_only_counts_for_the_kept_copy(spark):
+    from pyspark.errors import PySparkException
+
+    good = {"order_id": "O1", "quantity": 2}
+    bad = {"order_id": "O1", "quantity": "many"}
+    later = dt.datetime(2026, 9, 1, 11, 0)
+    dropped_bad = raw_events(spark, [("e1", "order", T0, good, 1, T0), ("e1", "order", T0, bad, 2, later)])
+    rows = stg_orders(dropped_bad).collect()
+    assert [(r.event_id, r.quantity) for r in rows] == [("e1", 2)]
+    kept_bad = raw_events(spark, [("e1", "order", T0, bad, 1, T0), ("e1", "order", T0, good, 2, later)])
+    with pytest.raises(PySparkException, match="payload field cannot be cast: quantity of event e1"):
+        stg_orders(kept_bad).collect()
+    # a string holding a number casts, JSON null and a missing field give NULL
+    ok = raw_events(spark, [("e2", "order", T0, {"quantity": "3", "unit_price": None}, 1, T0)])
+    r = stg_orders(ok).first()
+    assert (r.quantity, r.unit_price, r.total_amount) == (3, None, None)
