@@ -70,10 +70,16 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # sessions without a local SparkContext
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="evstar-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
