@@ -53,3 +53,13 @@ def test_lake_partition_pruning(spark, deployed, capsys):
     out = plan(df, capsys)
     assert "PartitionFilters: [isnotnull(ingest_date" in out
     assert df.count() == 0
+
+
+def test_fact_orders_over_materialized_dims_broadcasts(spark, deployed, capsys, tmp_path):
+    from evstar.plans.build import materialize
+
+    raw = read_raw_events(spark, deployed.raw_events)
+    dc = materialize(dim_customers(stg_customers(read_snapshots(spark, deployed.catalogs, "customers"))), f"{tmp_path}/dc")
+    dp = materialize(dim_products(stg_products(read_snapshots(spark, deployed.catalogs, "products"))), f"{tmp_path}/dp")
+    out = plan(fact_orders(stg_orders(raw), dc, dp), capsys)
+    assert out.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in out
