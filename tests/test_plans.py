@@ -62,4 +62,4 @@ def test_fact_orders_over_materialized_dims_broadcasts(spark, deployed, capsys,
     dc = materialize(dim_customers(stg_customers(read_snapshots(spark, deployed.catalogs, "customers"))), f"{tmp_path}/dc")
     dp = materialize(dim_products(stg_products(read_snapshots(spark, deployed.catalogs, "products"))), f"{tmp_path}/dp")
     out = plan(fact_orders(stg_orders(raw), dc, dp), capsys)
-    assert out.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in out
+    assert out.count("BroadcastHashJoin LeftOuter") == 2 and "SortMergeJoin" not in out
