@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.envelope import envelope_json
 from ..functions.keys import message_key
 
+# The topic name, and the batch rule (a micro-batch closes at
+# this many messages or this age).
 TOPIC = "ecommerce-events"
-
-
-# A micro-batch closes at this many messages or this age.
 FLUSH_ROWS = 200
 FLUSH_DELAY = "30s"
 
