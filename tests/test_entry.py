@@ -44,10 +44,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["stg_orders", "parse_and_route", "fact_orders", "dim_date", "dq_summary", "topic_key_affinity", "revenue_by_date_nation"],
-)
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     res = duck.execute(entry.oracle_sql()[name])
