@@ -12,7 +12,7 @@ from .envelope import (
     parse_envelope,
     quarantine_value,
 )
-from .keys import message_key, surrogate_key
+from .keys import message_key, stable_uuid, surrogate_key
 
 __all__ = [
     "ENVELOPE_FIELDS",
@@ -31,5 +31,6 @@ __all__ = [
     "missing_fields",
     "parse_envelope",
     "quarantine_value",
+    "stable_uuid",
     "surrogate_key",
 ]

@@ -35,3 +35,21 @@ def message_key(customer_id: str | Column = "customer_id", product_id: str | Col
     Same customer -> same key -> same topic partition -> ordered events.
     """
     return F.coalesce(F.nullif(_col(customer_id), F.lit("")), _col(product_id))
+
+
+def stable_uuid(*cols: str | Column) -> Column:
+    """UUID-formatted id (8-4-4-4-12 hex) derived from the row's content.
+
+    Unlike ``uuid()``, a retried task produces the same id for the same
+    row, so a re-published row keeps its id and the staging dedup can
+    recognise it. Rows with equal content share an id.
+    """
+    h = surrogate_key(*cols)
+    return F.concat_ws(
+        "-",
+        F.substring(h, 1, 8),
+        F.substring(h, 9, 4),
+        F.substring(h, 13, 4),
+        F.substring(h, 17, 4),
+        F.substring(h, 21, 12),
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.envelope import envelope_json
-from ..functions.keys import message_key
+from ..functions.keys import message_key, stable_uuid
 
 # The topic name, and the batch rule (a micro-batch closes at
 # this many messages or this age).
@@ -86,9 +86,12 @@ def read_topic(
 def publish_frame(events: DataFrame, key: Column | None = None) -> DataFrame:
     """``(key, value)`` rows for the topic from an events table.
 
-    ``events`` has ``event_id, event_type, event_timestamp`` and a struct
-    ``payload``; the default key is the customer, else the product.
+    ``events`` has ``event_type, event_timestamp`` and a struct ``payload``;
+    without an ``event_id`` column one is derived from the row (C23). The
+    default key is the customer, else the product.
     """
+    if "event_id" not in events.columns:
+        events = events.withColumn("event_id", stable_uuid(*[F.col(c) for c in events.columns]))
     if key is None:
         key = message_key(F.col("payload.customer_id"), F.col("payload.product_id"))
     value = envelope_json(F.col("event_id"), F.col("event_type"), F.col("event_timestamp"), F.col("payload"))

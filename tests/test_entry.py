@@ -73,3 +73,13 @@ def test_topic_options_flush_rule():
     assert opts["maxOffsetsPerTrigger"] == "10000000"
     assert opts["minOffsetsPerTrigger"] == "200" and opts["maxTriggerDelay"] == "30s"
     assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "ecommerce-events"
+
+
+def test_publish_frame_derives_missing_ids(spark):
+    df = spark.createDataFrame(
+        [("order", "2026-09-01T10:00:00+00:00", ("C1", "P1"))],
+        "event_type string, event_timestamp string, payload struct<customer_id:string, product_id:string>",
+    )
+    first = json.loads(publish_frame(df).first().value)["event_id"]
+    again = json.loads(publish_frame(df).first().value)["event_id"]
+    assert first == again and len(first) == 36

@@ -71,3 +71,15 @@ def test_calendar_columns_types(spark):
     types = dict(dim_date(spark, "2025-01-01", "2025-01-02").dtypes)
     assert types["date_key"] == "int" and types["calendar_date"] == "date"
     assert types["is_weekend"] == "boolean" and types["day_of_week"] == "int"
+
+
+def test_stable_uuid_shape_and_determinism(spark):
+    import re
+
+    from evstar.functions import stable_uuid
+
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "x string, y int")
+    ids = [r.u for r in df.select(stable_uuid("x", "y").alias("u")).collect()]
+    assert all(re.fullmatch(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", u) for u in ids)
+    assert ids[0] == ids[1] != ids[2]
+    assert ids[0].replace("-", "") == md5("a-1")
