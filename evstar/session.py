@@ -65,21 +65,23 @@ def get_session(
 def shared_root(spark: SparkSession) -> str:
     """Folder the cluster shares for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local runs and tests) a folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local-mode
+    session (tests, local runs) without one gets a fresh temporary folder;
+    on a cluster an unset setting is an error, since a machine-local folder
+    is not visible to the executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
             root = spark.sparkContext.getCheckpointDir()
+            local = spark.sparkContext.master.startswith("local")
         except Exception:  # sessions without a local SparkContext
-            root = None
+            root, local = None, False
+        if not root and not local:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by the cluster")
     if not root:
         root = tempfile.mkdtemp(prefix="evstar-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
