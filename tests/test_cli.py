@@ -29,3 +29,20 @@ def test_cli_snapshot_load_build_inspect(spark, tmp, capsys):
     assert main(["inspect-lake", "--root", root]) == 0
     out = capsys.readouterr().out
     assert "Total rows: 2" in out and "(duplicates: 1)" in out
+
+
+def test_cli_run_with_substituted_topic(spark, tmp, capsys, monkeypatch):
+    import evstar.__main__ as cli
+
+    root = f"{tmp}/deploy"
+    layout = Layout(root)
+    from test_pipeline import write_catalogs
+
+    write_catalogs(spark, layout)
+    land(spark, message_rows([order("e1", "O1"), order("e2", "O2", "C2", "P2"), "junk"]), f"{tmp}/topic")
+    monkeypatch.setattr(cli, "_topic_stream", lambda spark_, args: stream(spark_, f"{tmp}/topic"))
+    assert main(["run", "--root", root, "--calendar-from-data"]) == 0
+    out = capsys.readouterr().out
+    assert out.count("PASS ") == 36 and "FAIL" not in out
+    assert main(["ingest", "--root", root]) == 0  # nothing new: drains and stops
+    assert spark.read.parquet(layout.lake).count() == 2
