@@ -1,4 +1,4 @@
-"""Event envelope: validation, field extraction and serialisation.
+"""Event envelope: validation, field extraction and serialisation.
 
 Cost per message, all JVM-side: one strict parse (``try_parse_json``) to
 decide validity, one key scan (``json_object_keys``) for presence, and one
