@@ -66,7 +66,14 @@ def _calendar(args):
 
 
 def cmd_run(spark, args):
-    result = run_pipeline(spark, _topic_stream(spark, args), Layout(args.root), calendar=_calendar(args))
+    result = run_pipeline(
+        spark,
+        _topic_stream(spark, args),
+        Layout(args.root),
+        calendar=_calendar(args),
+        fail_fast=not args.report,
+        incremental_staging=args.incremental_staging,
+    )
     for name, n in result.results:
         print(f"{'PASS' if n == 0 else 'FAIL'} {name} ({n})")
 
@@ -91,9 +98,10 @@ def cmd_build(spark, args):
         catalogs.read_snapshots(spark, layout.catalogs, "customers"),
         layout.warehouse,
         calendar=cal,
+        fail_fast=not args.report,
     )
     for name, n in result.results:
-        print(f"PASS {name} ({n})")
+        print(f"{'PASS' if n == 0 else 'FAIL'} {name} ({n})")
 
 
 def cmd_snapshot(spark, args):
@@ -148,6 +156,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--max-rows-per-batch", type=int, default=None, help="cap on messages per micro-batch")
 
     def with_calendar(p):
+        p.add_argument("--report", action="store_true", help="run every check and report, do not stop")
         p.add_argument("--calendar-start", default=marts.DEFAULT_CALENDAR[0])
         p.add_argument("--calendar-end", default=marts.DEFAULT_CALENDAR[1])
         p.add_argument("--calendar-from-data", action="store_true", help="size the calendar to the orders")
@@ -164,6 +173,7 @@ def main(argv: list[str] | None = None) -> int:
     with_calendar(p)
     p = sub.add_parser("run")
     p.add_argument("--root", required=True)
+    p.add_argument("--incremental-staging", action="store_true", help="stage only newly loaded orders")
     with_topic(p)
     with_calendar(p)
     p = sub.add_parser("snapshot")
