@@ -89,6 +89,21 @@ def accepted_values(df: DataFrame, col: str, values: Sequence[object], name: str
     return Violations(name or _name("accepted_values", [col]), rows)
 
 
+def range_violation(
+    col: str, min_value: object | None = None, max_value: object | None = None, inclusive: bool = True
+) -> Column:
+    """Row condition: ``col`` outside the range. NULL (unknown) for a NULL value, so it passes."""
+    if min_value is None and max_value is None:
+        raise ValueError("accepted_range needs min_value or max_value")
+    c = F.col(col)
+    ok: Column = F.lit(True)
+    if min_value is not None:
+        ok = ok & ((c >= F.lit(min_value)) if inclusive else (c > F.lit(min_value)))
+    if max_value is not None:
+        ok = ok & ((c <= F.lit(max_value)) if inclusive else (c < F.lit(max_value)))
+    return ~ok
+
+
 def accepted_range(
     df: DataFrame,
     col: str,
@@ -98,15 +113,7 @@ def accepted_range(
     name: str | None = None,
 ) -> Violations:
     """Rows outside ``[min, max]`` (or the open interval); NULL passes."""
-    if min_value is None and max_value is None:
-        raise ValueError("accepted_range needs min_value or max_value")
-    c = F.col(col)
-    ok: Column = F.lit(True)
-    if min_value is not None:
-        ok = ok & ((c >= F.lit(min_value)) if inclusive else (c > F.lit(min_value)))
-    if max_value is not None:
-        ok = ok & ((c <= F.lit(max_value)) if inclusive else (c < F.lit(max_value)))
-    return Violations(name or _name("accepted_range", [col]), df.filter(~ok))
+    return Violations(name or _name("accepted_range", [col]), df.filter(range_violation(col, min_value, max_value, inclusive)))
 
 
 def singular(name: str, rows: DataFrame, weight: str | None = None) -> Violations:
@@ -114,6 +121,14 @@ def singular(name: str, rows: DataFrame, weight: str | None = None) -> Violation
     return Violations(name, rows, weight)
 
 
+def total_violation(
+    total: str = "total_amount", quantity: str = "quantity", unit_price: str = "unit_price", tolerance: str = "0.01"
+) -> Column:
+    """Row condition of :func:`total_mismatch`; NULL when an operand is NULL."""
+    diff = F.abs(F.col(total) - F.col(quantity) * F.col(unit_price))
+    return diff > F.lit(tolerance).cast("decimal(10,2)")
+
+
 def total_mismatch(
     df: DataFrame,
     total: str = "total_amount",
@@ -124,5 +139,4 @@ def total_mismatch(
 ) -> DataFrame:
     """Rows where ``total`` differs from ``quantity * unit_price`` by more than
     ``tolerance`` (F14). Decimal arithmetic; a NULL operand passes."""
-    diff = F.abs(F.col(total) - F.col(quantity) * F.col(unit_price))
-    return df.filter(diff > F.lit(tolerance).cast("decimal(10,2)")).select(*keep)
+    return df.filter(total_violation(total, quantity, unit_price, tolerance)).select(*keep)

@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality as q
 from . import marts, staging
@@ -107,9 +108,45 @@ def run_check(check: Check, models: dict[str, DataFrame]) -> q.Violations:
     raise ValueError(f"unknown test {check.test!r}")
 
 
+_ROW_LEVEL = {"not_null", "accepted_range", "total_matches"}
+
+
+def _row_violation(check: Check) -> Column:
+    if check.test == "not_null":
+        return F.col(check.column).isNull()
+    if check.test == "accepted_range":
+        return q.range_violation(check.column, **check.args)
+    return q.total_violation()
+
+
 def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> DataFrame:
-    """``(check, failures)`` for many checks as one DataFrame (one job)."""
-    frames = [run_check(c, models).failures_frame() for c in checks]
+    """``(check, failures)`` for many checks as one DataFrame (one job).
+
+    The row-level checks of a model (not-null, range, total tolerance) are
+    counted together in one aggregate pass over it; each grouped check
+    (unique, accepted values, relationships) is its own branch.
+    """
+    checks = list(checks)
+    frames: list[DataFrame] = []
+    for model in dict.fromkeys(c.model for c in checks):
+        row_level = [c for c in checks if c.model == model and c.test in _ROW_LEVEL]
+        if row_level:
+            counts = models[model].agg(
+                *[F.count_if(_row_violation(c)).cast("long").alias(f"c{i}") for i, c in enumerate(row_level)]
+            )
+            frames.append(
+                counts.select(
+                    F.inline(
+                        F.array(
+                            *[
+                                F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures"))
+                                for i, c in enumerate(row_level)
+                            ]
+                        )
+                    )
+                )
+            )
+    frames += [run_check(c, models).failures_frame() for c in checks if c.test not in _ROW_LEVEL]
     # Same two columns everywhere: union by position, pairwise, so each
     # step analyses a small plan instead of an ever longer chain.
     while len(frames) > 1:
