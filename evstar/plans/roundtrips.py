@@ -1,6 +1,7 @@
-"""Write-then-read jobs: run the streaming ingest, the incremental raw load
-and the catalog snapshot writer against real folders, and return what a
-reader sees afterwards."""
+"""Write-then-read jobs: run the streaming ingest, the incremental raw load,
+the catalog snapshot writer, the per-type channel, the incremental staging
+and the whole pipeline against fresh folders, and return what a reader sees
+afterwards."""
 
 from __future__ import annotations
 
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 
 from ..sources import testdata as td
 from ..sources.catalogs import read_snapshots, write_snapshot, write_snapshots
-from .pipeline import Layout, run_pipeline
 from ..sources.lake import read_dead_letters, read_lake
 from ..streaming.ingest import ingest
 from ..streaming.legacy import LEGACY_TABLES, legacy_ingest, legacy_load
 from ..streaming.load import load_raw
 from ..streaming.stage import stage_orders
 from . import staging
+from .pipeline import Layout, run_pipeline
 
 
 def _land_topic(messages: DataFrame, root: str) -> str:
