@@ -34,8 +34,25 @@ def write_micro_batch(
     at: dt.datetime | None = None,
     files_per_batch: int | None = None,
 ) -> None:
-    """Route one micro-batch to the lake and the quarantine (K1, K3)."""
-    parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    """Route one micro-batch to the lake and the quarantine (K1, K3).
+
+    The cached batch keeps the raw message bytes only for rejected messages
+    (the dead-letter text); valid ones are cached as their parsed fields.
+    """
+    parsed = (
+        parse_messages(batch)
+        .select(
+            "partition",
+            "offset",
+            "error",
+            "event_id",
+            "event_type",
+            "event_timestamp",
+            "payload",
+            F.when(F.col("error").isNotNull(), F.col("value")).alias("value"),
+        )
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
         good = stamp(accepted(parsed), at)
         if files_per_batch:
