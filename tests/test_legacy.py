@@ -44,3 +44,18 @@ def test_legacy_publish_frame(spark):
     df = spark.createDataFrame([("e1", "purchase", 2)], "event_id string, event_type string, quantity int")
     r = legacy_publish_frame(df).first()
     assert r.key == "purchase" and json.loads(r.value) == {"event_id": "e1", "event_type": "purchase", "quantity": 2}
+
+
+def test_legacy_load_skips_type_drifted_file(spark, tmp):
+    from evstar.streaming.legacy import LEGACY_SCHEMAS
+
+    good = spark.createDataFrame(
+        [("e1", "purchase", "t", "O1", "C1", "a@x", "P1", "n", "c", 1.0, 2, 2.0, "card", "NO")], LEGACY_SCHEMAS["purchase"]
+    )
+    good.write.parquet(f"{tmp}/lake/purchase/dt=2026-09-01/hr=10")
+    drifted = good.withColumn("quantity", F.lit("two"))  # quantity written as text
+    drifted.write.parquet(f"{tmp}/lake/purchase/dt=2026-09-01/hr=11")
+    for t in ("page_view", "inventory_update"):
+        os.makedirs(f"{tmp}/lake/{t}")
+    added = legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck")
+    assert added == {"purchase_events": 1, "page_view_events": 0, "inventory_events": 0}
