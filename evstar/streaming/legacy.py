@@ -44,6 +44,8 @@ LEGACY_TABLES = {
     "inventory_events": "inventory_update",
 }
 LEGACY_PARTITIONS = ["dt", "hr"]
+# the original message text, stored next to the typed fields
+RAW_JSON = "raw_json"
 
 
 def legacy_publish_frame(events: DataFrame, type_col: str = "event_type") -> DataFrame:
@@ -55,10 +57,13 @@ def legacy_publish_frame(events: DataFrame, type_col: str = "event_type") -> Dat
 
 
 def legacy_rows(messages: DataFrame, event_type: str) -> DataFrame:
-    """Typed rows of one event type from v1 messages (T-3 routing by key, F19)."""
+    """Typed rows of one event type from v1 messages (T-3 routing by key, F19),
+    with the original text in ``raw_json`` (a value that does not fit its
+    typed column is NULL there but kept in the text)."""
     schema = LEGACY_SCHEMAS[event_type]
     picked = messages.filter(F.col("key").cast("string") == F.lit(event_type))
-    return picked.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    text = F.col("value").cast("string")
+    return picked.select(F.from_json(text, schema).alias("r"), text.alias(RAW_JSON)).select("r.*", RAW_JSON)
 
 
 def write_legacy_batch(batch: DataFrame, batch_id: int, lake_root: str) -> None:
@@ -104,14 +109,17 @@ def legacy_load(
 ) -> dict[str, int]:
     """Load new files of every type folder into its raw table.
 
-    ``raw_data`` is the whole row as a VARIANT object; ``loaded_at`` is the
-    load time. Unreadable files are skipped (continue on error). Returns the
-    rows appended per table.
+    ``raw_data`` is the whole row as a VARIANT: the original message text
+    when the file carries it, else the typed columns as an object;
+    ``loaded_at`` is the load time. Unreadable files are skipped (continue
+    on error). Returns the rows appended per table.
     """
     appended: dict[str, int] = {}
     for table, event_type in LEGACY_TABLES.items():
         schema = T.StructType(
-            LEGACY_SCHEMAS[event_type].fields + [T.StructField(p, S) for p in LEGACY_PARTITIONS]
+            LEGACY_SCHEMAS[event_type].fields
+            + [T.StructField(RAW_JSON, S)]
+            + [T.StructField(p, S) for p in LEGACY_PARTITIONS]
         )
         data_cols = [f.name for f in LEGACY_SCHEMAS[event_type].fields]
         stream = (
@@ -119,8 +127,9 @@ def legacy_load(
             .option("ignoreCorruptFiles", "true")
             .parquet(f"{lake_root.rstrip('/')}/{event_type}")
         )
+        typed = F.to_variant_object(F.struct(*[F.col(c) for c in data_cols]))
         rows = stream.select(
-            F.to_variant_object(F.struct(*[F.col(c) for c in data_cols])).alias("raw_data"),
+            F.coalesce(F.try_parse_json(F.col(RAW_JSON)), typed).alias("raw_data"),
             F.localtimestamp().alias("loaded_at"),
         )
         query = (

@@ -59,3 +59,16 @@ def test_legacy_load_skips_type_drifted_file(spark, tmp):
         os.makedirs(f"{tmp}/lake/{t}")
     added = legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck")
     assert added == {"purchase_events": 1, "page_view_events": 0, "inventory_events": 0}
+
+
+def test_legacy_raw_data_keeps_the_original_text(spark, tmp):
+    rows = [("purchase", flat("purchase", 0, order_id="O0", quantity="two", unit_price=4.5).encode(), 0, 0, None)]
+    land(spark, rows, f"{tmp}/topic")
+    legacy_ingest(stream(spark, f"{tmp}/topic"), f"{tmp}/lake", f"{tmp}/_ck/ingest", available_now=True).awaitTermination()
+    for t in ("page_view", "inventory_update"):
+        os.makedirs(f"{tmp}/lake/{t}", exist_ok=True)
+    legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck/load")
+    lake_row = spark.read.parquet(f"{tmp}/lake/purchase").first()
+    assert lake_row.quantity is None  # does not fit the typed column
+    raw = spark.read.parquet(f"{tmp}/raw/purchase_events")
+    assert raw.select(F.variant_get("raw_data", "$.quantity", "string").alias("q")).first().q == "two"
