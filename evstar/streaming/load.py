@@ -42,8 +42,10 @@ def load_raw(
 ) -> int:
     """Append lake files not loaded before into ``table_root`` (Parquet).
 
-    Returns the number of rows appended by this run. ``loaded_at=True`` adds
-    a load-time column (K12).
+    Returns the number of rows appended by this run, as reported by the
+    query's progress (the most recent ``spark.sql.streaming.
+    numRecentProgressUpdates`` batches). ``loaded_at=True`` adds a
+    load-time column (K12).
     """
     reader = spark.readStream.schema(LAKE_SCHEMA)
     if max_files_per_trigger:
