@@ -95,3 +95,17 @@ def test_resends_dropped_within_window(spark, tmp):
     assert sorted(r.event_id for r in lake.collect()) == ["e1", "e2"]
     # distinct empty messages are not collapsed
     assert read_dead_letters(spark, f"{tmp}/dlq").count() == 2
+
+
+def test_files_per_batch_bounds_lake_files(spark, tmp):
+    import glob
+
+    topic = f"{tmp}/topic"
+    rows = message_rows([order(f"e{i}", f"O{i}") for i in range(40)])
+    spark.createDataFrame(rows, "key string, value binary, partition int, offset long, timestamp timestamp").repartition(
+        6
+    ).write.parquet(topic)
+    q = ingest(stream(spark, topic), f"{tmp}/lake", f"{tmp}/dlq", f"{tmp}/_ck/i", files_per_batch=1)
+    q.awaitTermination()
+    files = glob.glob(f"{tmp}/lake/ingest_date=*/ingest_hour=*/*.parquet")
+    assert len(files) == 1 and read_lake(spark, f"{tmp}/lake").count() == 40
