@@ -63,3 +63,12 @@ def test_fact_orders_over_materialized_dims_broadcasts(spark, deployed, capsys,
     dp = materialize(dim_products(stg_products(read_snapshots(spark, deployed.catalogs, "products"))), f"{tmp_path}/dp")
     out = plan(fact_orders(stg_orders(raw), dc, dp), capsys)
     assert out.count("BroadcastHashJoin LeftOuter") == 2 and "SortMergeJoin" not in out
+
+
+def test_flagship_aggregates_before_its_shuffle(spark, capsys):
+    from conftest import SF_SMALL
+    from evstar.plans.queries import q_revenue_by_date_nation
+
+    out = plan(q_revenue_by_date_nation(spark, SF_SMALL), capsys)
+    assert "partial_sum(total_amount" in out and "partial_count(1)" in out
+    assert "Cartesian" not in out
