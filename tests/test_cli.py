@@ -46,3 +46,16 @@ def test_cli_run_with_substituted_topic(spark, tmp, capsys, monkeypatch):
     assert out.count("PASS ") == 36 and "FAIL" not in out
     assert main(["ingest", "--root", root]) == 0  # nothing new: drains and stops
     assert spark.read.parquet(layout.lake).count() == 2
+
+
+def test_cli_inspect_topic_with_substituted_read(spark, capsys, monkeypatch):
+    import evstar.__main__ as cli
+
+    rows = [(b"C1", 0), (b"C1", 0), (b"P7", 1), (b"P7", 2), (None, 1)]
+    df = spark.createDataFrame(rows, "key binary, partition int")
+    monkeypatch.setattr(cli.topic, "read_topic", lambda *a, **k: df)
+    assert main(["inspect-topic"]) == 0
+    out = capsys.readouterr().out
+    assert "Messages per partition: {0: 2, 1: 2, 2: 1}" in out
+    assert "Messages without a key: 1" in out and "Distinct keys seen: 2" in out
+    assert "P7" in out and "[1, 2]" in out
