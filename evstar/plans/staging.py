@@ -46,10 +46,17 @@ def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
     only for the copy the dedup keeps, exactly as if typing came after it.
     """
     orders = raw_events.filter(F.col("event_type") == F.lit(order_type))
-    bad = F.coalesce(*[F.when(_uncastable(path, t), F.lit(path)) for _, path, t in ORDER_FIELDS])
+    fields = [(name, _typed(path, t)) for name, path, t in ORDER_FIELDS]
+    # Only a field that came back NULL can hold an uncastable value, so rows
+    # with every field present skip the probe. One projection, so the scan
+    # still requests only these paths of the payload.
+    any_null = F.lit(False)
+    for _, value in fields:
+        any_null = any_null | value.isNull()
+    bad = F.when(any_null, F.coalesce(*[F.when(_uncastable(path, t), F.lit(path)) for _, path, t in ORDER_FIELDS]))
     typed = orders.select(
         "event_id",
-        *[_typed(path, t).alias(name) for name, path, t in ORDER_FIELDS],
+        *[value.alias(name) for name, value in fields],
         F.col("event_timestamp").alias("ordered_at"),
         "ingested_at",
         "kafka_offset",
