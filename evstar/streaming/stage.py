@@ -13,6 +13,7 @@ adds nothing, so the staged table is exactly-once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,6 +42,14 @@ def read_staged_orders(spark: SparkSession, staged_root: str) -> DataFrame:
     return spark.read.schema(STG_ORDERS_SCHEMA).parquet(staged_root)
 
 
+def _ensure_table(spark: SparkSession, staged_root: str) -> None:
+    """Create the (empty) staged table on the first run only."""
+    try:
+        read_staged_orders(spark, staged_root)  # resolving a missing path raises
+    except AnalysisException:
+        spark.createDataFrame([], STG_ORDERS_SCHEMA).write.mode("append").parquet(staged_root)
+
+
 def stage_batch(batch: DataFrame, staged_root: str, order_type: str = "order") -> None:
     """Append the orders of one batch of raw rows that are not staged yet."""
     spark = batch.sparkSession
@@ -60,7 +69,7 @@ def stage_orders(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Bring the staged orders table up to date with the raw table and return it."""
-    spark.createDataFrame([], STG_ORDERS_SCHEMA).write.mode("append").parquet(staged_root)
+    _ensure_table(spark, staged_root)
     reader = spark.readStream.schema(RAW_EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -30,3 +30,15 @@ def test_incremental_staging_equals_full_rebuild(spark, tmp):
 
     # nothing new: nothing appended
     assert rows(stage_orders(spark, raw, staged, f"{ck}/stage")) == rows(final)
+
+
+def test_staged_table_created_once(spark, tmp):
+    import glob
+
+    from evstar.streaming.stage import _ensure_table
+
+    root = f"{tmp}/stg"
+    _ensure_table(spark, root)
+    first = sorted(glob.glob(f"{root}/*"))
+    _ensure_table(spark, root)
+    assert sorted(glob.glob(f"{root}/*")) == first
