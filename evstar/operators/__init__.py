@@ -1,6 +1,6 @@
 """DataFrame-level operators."""
 
-from .dedup import first_delivery, keep_first, latest_version
+from .dedup import first_delivery, keep_first, latest_version, merge_latest
 from .joins import lookup, missing_parents
 from .partitioning import ensure_parallelism
 from .profiling import (
@@ -43,6 +43,7 @@ __all__ = [
     "latest_files",
     "latest_version",
     "lookup",
+    "merge_latest",
     "missing_parents",
     "not_null",
     "partition_counts",

@@ -54,3 +54,22 @@ def latest_version(
     """
     keys = [key] if isinstance(key, str) else list(key)
     return keep_first(df, keys, [F.col(version).desc_nulls_first(), *tiebreak])
+
+
+def merge_latest(
+    latest: DataFrame | None,
+    snapshot: DataFrame,
+    key: str | Sequence[str],
+    version: str = "snapshot_date",
+    tiebreak: Sequence[Column] = (),
+) -> DataFrame:
+    """Latest version per key after adding one new snapshot to a table that
+    already holds the latest version per key (incremental W2/W3).
+
+    Folding the snapshots in date order gives the same rows as
+    :func:`latest_version` over all of them, while each step reads only
+    the current latest table and the new snapshot, not the whole history.
+    Exact when every snapshot date is merged once, after its final write.
+    """
+    rows = snapshot if latest is None else latest.unionByName(snapshot)
+    return latest_version(rows, key, version, tiebreak)

@@ -67,3 +67,20 @@ def test_hot_key_keeps_one_row(spark):
     out = first_delivery(df)
     assert out.count() == 2001
     assert out.filter("event_id = 'hot'").first().kafka_offset == 0
+
+
+def test_merge_latest_fold_equals_full_latest(spark):
+    from evstar.operators import merge_latest
+
+    days = [dt.date(2026, 9, d) for d in (1, 2, 3)]
+    snaps = [
+        spark.createDataFrame([("P1", days[0], 1.0), ("P2", days[0], 2.0), ("P3", days[0], 3.0)], "product_id string, snapshot_date date, price double"),
+        spark.createDataFrame([("P1", days[1], 1.5), ("P4", days[1], 4.0)], "product_id string, snapshot_date date, price double"),
+        spark.createDataFrame([("P2", days[2], 2.5), ("P4", days[2], 4.5)], "product_id string, snapshot_date date, price double"),
+    ]
+    latest = None
+    for snap in snaps:
+        latest = merge_latest(latest, snap, "product_id")
+    full = latest_version(snaps[0].unionByName(snaps[1]).unionByName(snaps[2]), "product_id")
+    assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, full.collect()))
+    assert {r.product_id: r.price for r in latest.collect()} == {"P1": 1.5, "P2": 2.5, "P3": 3.0, "P4": 4.5}
