@@ -73,6 +73,7 @@ def cmd_run(spark, args):
         calendar=_calendar(args),
         fail_fast=not args.report,
         incremental_staging=args.incremental_staging,
+        incremental_catalogs=args.incremental_catalogs,
     )
     for name, n in result.results:
         print(f"{'PASS' if n == 0 else 'FAIL'} {name} ({n})")
@@ -174,6 +175,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("run")
     p.add_argument("--root", required=True)
     p.add_argument("--incremental-staging", action="store_true", help="stage only newly loaded orders")
+    p.add_argument("--incremental-catalogs", action="store_true", help="merge only new catalog snapshots")
     with_topic(p)
     with_calendar(p)
     p = sub.add_parser("snapshot")

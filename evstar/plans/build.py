@@ -75,8 +75,16 @@ CHECKS: list[Check] = [
 def steps(order_type: str = "order") -> list[tuple[str, str, Callable[[dict[str, DataFrame]], DataFrame]]]:
     """Build order: ``(model, kind, builder over the already-built models)``."""
     return [
-        ("stg_products", "view", lambda m: staging.stg_products(m["raw_products"])),
-        ("stg_customers", "view", lambda m: staging.stg_customers(m["raw_customers"])),
+        (
+            "stg_products",
+            "view",
+            lambda m: m["staged_products"] if "staged_products" in m else staging.stg_products(m["raw_products"]),
+        ),
+        (
+            "stg_customers",
+            "view",
+            lambda m: m["staged_customers"] if "staged_customers" in m else staging.stg_customers(m["raw_customers"]),
+        ),
         (
             "stg_orders",
             "view",
@@ -187,13 +195,17 @@ def build(
     fail_fast: bool = True,
     order_type: str = "order",
     staged_orders: DataFrame | None = None,
+    staged_products: DataFrame | None = None,
+    staged_customers: DataFrame | None = None,
 ) -> BuildResult:
     """Build every model, test it, stop at the first model with failures.
 
     ``calendar`` is the date dimension to publish (default: the fixed
     calendar range). ``staged_orders`` is an already staged orders table
     (see :mod:`evstar.streaming.stage`) used instead of deduplicating all raw
-    events again. Tables land in ``{warehouse}/{model}``.
+    events again; ``staged_products`` / ``staged_customers`` likewise replace
+    the latest-snapshot views (see :mod:`evstar.plans.catalog_state`).
+    Tables land in ``{warehouse}/{model}``.
     """
     models: dict[str, DataFrame] = {
         "raw_events": raw_events,
@@ -201,8 +213,13 @@ def build(
         "raw_customers": raw_customers,
         "calendar": calendar if calendar is not None else marts.dim_date(spark),
     }
-    if staged_orders is not None:
-        models["staged_orders"] = staged_orders
+    for name, df in (
+        ("staged_orders", staged_orders),
+        ("staged_products", staged_products),
+        ("staged_customers", staged_customers),
+    ):
+        if df is not None:
+            models[name] = df
     results: list[tuple[str, int]] = []
     persisted: list[DataFrame] = []
     try:

@@ -41,7 +41,7 @@ def test_cli_run_with_substituted_topic(spark, tmp, capsys, monkeypatch):
     write_catalogs(spark, layout)
     land(spark, message_rows([order("e1", "O1"), order("e2", "O2", "C2", "P2"), "junk"]), f"{tmp}/topic")
     monkeypatch.setattr(cli, "_topic_stream", lambda spark_, args: stream(spark_, f"{tmp}/topic"))
-    assert main(["run", "--root", root, "--calendar-from-data", "--incremental-staging"]) == 0
+    assert main(["run", "--root", root, "--calendar-from-data", "--incremental-staging", "--incremental-catalogs"]) == 0
     out = capsys.readouterr().out
     assert out.count("PASS ") == 36 and "FAIL" not in out
     assert main(["ingest", "--root", root]) == 0  # nothing new: drains and stops

@@ -72,3 +72,13 @@ def test_pipeline_incremental_staging_matches(spark, tmp):
     assert result.failed == []
     fact = snapshot(spark, layout)["fact_orders"]
     assert [r[0] for r in fact] == ["O1", "O2"]
+
+
+def test_pipeline_incremental_catalogs(spark, tmp):
+    layout = Layout(f"{tmp}/deploy")
+    write_catalogs(spark, layout)
+    topic = f"{tmp}/topic"
+    land(spark, message_rows([order("e1", "O1"), order("e2", "O2", "C2", "P2")]), topic)
+    result = run_pipeline(spark, stream(spark, topic), layout, incremental_catalogs=True)
+    assert result.failed == []
+    assert len(snapshot(spark, layout)["dim_customers"]) == 2

@@ -42,3 +42,29 @@ def test_staged_table_created_once(spark, tmp):
     first = sorted(glob.glob(f"{root}/*"))
     _ensure_table(spark, root)
     assert sorted(glob.glob(f"{root}/*")) == first
+
+
+def test_refresh_latest_catalog_equals_full_view(spark, tmp):
+    from decimal import Decimal
+
+    from evstar.plans.catalog_state import refresh_latest
+    from evstar.plans.staging import stg_products
+    from evstar.sources.catalogs import CATALOG_SCHEMAS, read_snapshots, write_snapshot
+
+    def snap(day, rows):
+        df = spark.createDataFrame([(p, "n", "c", Decimal(v)) for p, v in rows], CATALOG_SCHEMAS["products"])
+        write_snapshot(df, f"{tmp}/cat", "products", day)
+
+    def check():
+        got = refresh_latest(spark, f"{tmp}/cat", "products", f"{tmp}/latest", "product_id")
+        full = stg_products(read_snapshots(spark, f"{tmp}/cat", "products"))
+        assert rows(stg_products(got)) == rows(full)
+
+    snap("2026-09-01", [("P1", "1.00"), ("P2", "2.00")])
+    snap("2026-09-02", [("P1", "1.50")])
+    check()
+    snap("2026-09-02", [("P1", "1.75"), ("P3", "3.00")])  # same-day re-run replaces that day
+    check()
+    snap("2026-09-03", [("P2", "2.50")])
+    check()
+    check()  # nothing new
