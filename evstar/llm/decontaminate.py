@@ -190,7 +190,8 @@ def find_windows(
     blocks = int(chars // block_chars) + 1
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        carried = columns if columns and block == blocks - 1 else docs.columns
+        own = [c for c in docs.columns if c != "decon_found"]
+        carried = columns if columns and block == blocks - 1 else own
         docs = _scan(docs, [tuple(r) for r in part.collect()], window, carried)
         if blocks > 1:
             docs = stored(docs, "decon")

@@ -108,8 +108,7 @@ class Restorer:
         return "".join(reversed(out))
 
     def restore(self, token: str) -> str:
-        """``decode``, remembered, after stripping punctuation at the ends."""
-        token = token.strip(_EDGE)
+        """``decode``, remembered."""
         if token not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -119,6 +118,7 @@ class Restorer:
     def words(self, token: str) -> set[str]:
         """The words of a token as written and as restored."""
         found = set(_RUN.findall(token))
-        if DISGUISED.search(token.strip(_EDGE)) or SPACED.fullmatch(token):
-            found.update(_RUN.findall(self.restore(token)))
+        core = token.rstrip(_EDGE + "!").lstrip(_EDGE)  # without punctuation at the ends
+        if DISGUISED.search(core) or SPACED.fullmatch(token):
+            found.update(_RUN.findall(self.restore(core)))
         return found
