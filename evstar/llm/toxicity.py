@@ -3,10 +3,10 @@
 1. Trigram counts of the character model are gathered over all documents.
 2. Disguised tokens are restored (:mod:`deobfuscate`); a document's words are
    those it shows and those restored.
-3. From one half of a bounded labelled sample, words and word beginnings get
-   a strength: the lower bound of the share of toxic documents among those
-   that contain them. The other half fits a logistic score on a document's
-   strongest words.
+3. From a bounded labelled sample, words and word beginnings get a strength:
+   the lower bound of the share of toxic documents among those that contain
+   them. A logistic score on a document's strongest words is fitted with each
+   half of the sample described by the strengths of the other half.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, stored, texts_of
@@ -27,12 +27,14 @@ from .sampling import labelled_sample
 #: Labelled documents the lexicon and the score are learned from, at most.
 TRAINING_DOCS = 16_000
 #: Toxic sample documents a word must be in to enter the lexicon.
-MIN_SUPPORT = 6
+MIN_SUPPORT = 2
 THRESHOLD = 0.5
 #: Lengths of word beginnings used besides whole words.
 BEGINNINGS = (4, 5)
 #: Token strengths a task remembers before it starts anew.
 REMEMBERED = 400_000
+#: Strength from which a token counts as toxic by itself.
+SURE = 0.7
 Z = 1.64  # one-sided 95 % bound
 
 
@@ -94,7 +96,7 @@ class ToxicModel:
         tokens = tokens_of(text)
         strong = sorted((s for s in map(self.strength, tokens) if s > 0.1), reverse=True)
         first, second = (-math.log(1 - s) for s in (strong + [0.0, 0.0])[:2])
-        sure = sum(s > 0.5 for s in strong)
+        sure = sum(s > SURE for s in strong)
         return first, second, math.log1p(sure), sure / (len(tokens) + 10)
 
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.5) -> None:
@@ -119,21 +121,32 @@ def lower_bound(toxic: int, clean: int) -> float:
     return (p + Z * Z / (2 * n) - Z * np.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
 
 
-def _feature_counts(sample: DataFrame, restorer, only: set[str] | None = None) -> DataFrame:
-    """``feature, n``: sample documents that contain each feature."""
+def strengths(toxic: dict[str, int], clean: dict[str, int]) -> dict[str, float]:
+    """Strengths of the features of at least ``MIN_SUPPORT`` toxic documents."""
+    bounds = {f: float(lower_bound(n, clean.get(f, 0))) for f, n in toxic.items() if n >= MIN_SUPPORT}
+    return {f: s for f, s in bounds.items() if s > 0.1}
+
+
+def _feature_counts(sample: DataFrame, restorer: Restorer, only: set[str] | None = None) -> DataFrame:
+    """``feature, half, n``: documents of each half that contain a feature."""
     sc = sample.sparkSession.sparkContext
     shared, wanted = sc.broadcast(restorer), sc.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: Counter[str] = Counter()
-            for _, texts in texts_of(batch, "text"):
-                for text in texts:
+            halves = batch.column(1).to_pylist()
+            counts: Counter[tuple[str, int]] = Counter()
+            for start, texts in texts_of(batch, "text"):
+                for half, text in zip(halves[start:], texts):
                     found = {f for t in tokens_of(text) for w in shared.value.words(t) for f in features(w)}
-                    counts.update(found if wanted.value is None else found & wanted.value)
-            yield pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["feature", "n"])
+                    counts.update((f, half) for f in (found if wanted.value is None else found & wanted.value))
+            yield pa.record_batch(
+                [pa.array([k[i] for k in counts], t) for i, t in enumerate((pa.string(), pa.int32()))] + [pa.array(counts.values(), pa.int64())],
+                names=["feature", "half", "n"],
+            )
 
-    return sample.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = sample.select("text", "half").mapInArrow(run, "feature string, half int, n long")
+    return rows.groupBy("feature", "half").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS) -> ToxicModel | None:
@@ -141,36 +154,44 @@ def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
     of documents that are not held out; None without toxic or clean labels.
 
     The driver gets the character counts, the features of at least
-    ``MIN_SUPPORT`` toxic sample documents, and four numbers for each
-    document of the second half."""
+    ``MIN_SUPPORT`` toxic sample documents, and four numbers for each sample
+    document."""
     counts = character_counts(docs)
     restorer = Restorer(counts)
-    sample = stored(labelled_sample(docs, labels, "toxic", training_docs), "toxic-sample")
-    first, second = sample.filter("draw % 2 = 0"), sample.filter("draw % 2 <> 0")
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    if len(sizes) < 2:
+    sample = labelled_sample(docs, labels, "toxic", training_docs)
+    sample = stored(sample.withColumn("half", F.pmod("draw", F.lit(2)).cast("int")), "toxic-sample")
+    if sample.select("label").distinct().count() < 2:
         return None
-    toxic = _feature_counts(first.filter("label = 1"), restorer).filter(F.col("n") >= MIN_SUPPORT)
-    in_toxic = {r["feature"]: r["n"] for r in toxic.collect()}
-    in_clean = {r["feature"]: r["n"] for r in _feature_counts(first.filter("label = 0"), restorer, set(in_toxic)).collect()}
-    strengths = {f: float(lower_bound(n, in_clean.get(f, 0))) for f, n in in_toxic.items()}
-    model = ToxicModel(counts, {f: s for f, s in strengths.items() if s > 0.1})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    enough = Window.partitionBy("feature")
+    toxic = _feature_counts(sample.filter("label = 1"), restorer).withColumn("all", F.sum("n").over(enough))
+    in_toxic = toxic.filter(F.col("all") >= MIN_SUPPORT).collect()
+    in_clean = _feature_counts(sample.filter("label = 0"), restorer, {r["feature"] for r in in_toxic}).collect()
+
+    def of(rows: list, *halves: int) -> dict[str, int]:
+        out: Counter[str] = Counter()
+        for r in rows:
+            if r["half"] in halves:
+                out[r["feature"]] += r["n"]
+        return out
+
+    described = [ToxicModel(counts, strengths(of(in_toxic, 1 - h), of(in_clean, 1 - h))) for h in (0, 1)]
+    shared = docs.sparkSession.sparkContext.broadcast(described)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [shared.value.describe(t) for _, texts in texts_of(batch, "text") for t in texts]
+            halves = batch.column(1).to_pylist()
+            x = [
+                shared.value[h].describe(t)
+                for start, texts in texts_of(batch, "text")
+                for h, t in zip(halves[start:], texts)
+            ]
             columns = [pa.array([float(r[i]) for r in x], pa.float64()) for i in range(4)]
-            yield pa.record_batch([*columns, batch.column(1)], names=["a", "b", "c", "d", "label"])
-
-    rows = second.select("text", "label").mapInArrow(run, "a double, b double, c double, d double, label int").collect()
-    rows = sorted(tuple(r) for r in rows)
-    x = np.array([r[:4] for r in rows], float).reshape(-1, 4)
-    y = np.array([r[4] for r in rows], float)
-    if len(set(y.tolist())) == 2:
-        model.fit(x, y)
-    else:  # a sample too small to split: the strongest word decides
-        model.weights, model.bias = np.array([4.0, 0, 0, 0]), -4.0
+            yield pa.record_batch([*columns, batch.column(2)], names=["a", "b", "c", "d", "label"])
+
+    rows = sample.select("text", "half", "label").mapInArrow(run, "a double, b double, c double, d double, label int").collect()
+    rows = sorted(tuple(r) for r in rows)  # the order of tasks is no input
+    model = ToxicModel(counts, strengths(of(in_toxic, 0, 1), of(in_clean, 0, 1)))
+    model.fit(np.array([r[:4] for r in rows], float), np.array([r[4] for r in rows], float))
     return model
 
 
