@@ -22,8 +22,10 @@ from .token_file import Reader, Writer
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: Pieces kept in a worker's cache before it starts anew (bounds its memory).
-CACHED_PIECES = 700_000
+CACHED_PIECES = 800_000
 
+#: Signs that, after letters and before white space, are one token run.
+_SIGNS = ".,;:!?&%$#*)"
 _encoders: dict[str, Encoder] = {}
 
 
@@ -32,9 +34,10 @@ class Encoder:
 
     The tokenizers here are byte-level: they first cut a text before each
     single space, and around each single newline, that stands between two
-    other characters, so no token crosses such a place and the ids of the
-    pieces, joined, are the ids of the text. Words repeat, so each piece is
-    encoded once and kept. A text with any other white space is encoded whole.
+    other characters, and between letters and the signs after them; so no
+    token crosses such a place, and the ids of the pieces, joined, are the
+    ids of the text. Words repeat, so each piece is encoded once and kept.
+    A text with any other white space is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,7 +46,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.id_bytes == 2 else "I"
-        self.spaced: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # pieces with a space before them
         self.plain: dict[str, bytes] = {}
         self.newline = self._ids("\n")
 
@@ -56,42 +59,68 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False))
 
-    def _learn(self, words: set[str], known: dict[str, bytes], prefix: str) -> None:
-        new = [w for w in words if w not in known]
+    def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> None:
+        """Add the ids of words without white space."""
+        whole, ended = set(), []  # encoded as they are; letters with signs after them
+        for w in words:
+            if w not in known:
+                base = w.rstrip(_SIGNS)
+                if base != w and base.isalpha():
+                    ended.append((w, base))
+                    if base not in known:
+                        whole.add(base)
+                else:
+                    whole.add(w)
+        new = list(whole)
         encoded = self.tokenizer.encode_batch_fast([prefix + w for w in new], add_special_tokens=False)
         known.update(zip(new, map(self._packed, encoded)))
+        for w, base in ended:
+            signs = w[len(base) :]
+            if signs not in self.plain:
+                self.plain[signs] = self._ids(signs)
+            known[w] = known[base] + self.plain[signs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         if len(self.spaced) + len(self.plain) > CACHED_PIECES:
             self.spaced.clear()
             self.plain.clear()
-        cut: list[list[list[str]] | None] = []
-        firsts, rests = set(), set()
+        held = []
+        firsts, others = set(), set()  # words to learn, without and with a space before them
         for text in texts:
-            words = text.split()
-            gaps = len(words) - 1
-            if len(text) != sum(map(len, words)) + gaps or text.count(" ") + text.count("\n") != gaps:
-                cut.append(None)  # white space other than single spaces and newlines
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            cut.append(lines)
-            for line in lines:
-                firsts.add(line[0])
-                rests.update(line[1:])
-        self._learn(firsts, self.plain, "")
-        self._learn(rests, self.spaced, " ")
+            pieces = text.split(" ")
+            found = [self.plain.get(pieces[0]), *map(self.spaced.get, pieces[1:])]
+            missing: list[int] = []
+            if None in found:
+                missing = [k for k, ids in enumerate(found) if ids is None]
+                new = [pieces[k] for k in missing]
+                joined = "\n".join(new)
+                words = joined.split("\n")
+                if joined.split() != words:  # a kept piece has no white space; new ones are checked here
+                    found = None
+                else:
+                    if len(words) != len(new):
+                        lines = [p.split("\n") for p in new if "\n" in p]
+                        firsts.update(w for ws in lines for w in ws[1:])
+                        new = [p.split("\n", 1)[0] for p in new]
+                    if missing[0] == 0:
+                        firsts.add(new.pop(0))
+                    others.update(new)
+            held.append((text, pieces, found, missing))
+        self._learn(self.plain, firsts, "")
+        self._learn(self.spaced, others, " ")
         out = []
-        for text, lines in zip(texts, cut):
-            if lines is None:
+        for text, pieces, found, missing in held:
+            if found is None:  # white space other than single spaces and newlines
                 out.append(self._ids(text))
                 continue
-            parts: list[bytes] = []
-            for line in lines:
-                parts.append(self.plain[line[0]])
-                parts += map(self.spaced.__getitem__, line[1:])
-                parts.append(self.newline)
-            out.append(b"".join(parts[:-1]))
+            for k in missing:
+                known = self.spaced if k else self.plain
+                found[k] = known.get(pieces[k])
+                if found[k] is None:
+                    first, *rest = pieces[k].split("\n")
+                    found[k] = self.newline.join([known[first], *map(self.plain.__getitem__, rest)])
+            out.append(b"".join(found))
         return out
 
 
