@@ -2,9 +2,12 @@
 
 Cost per message, all JVM-side: one strict parse (``try_parse_json``) to
 decide validity, one key scan (``json_object_keys``) for presence, and one
-``from_json`` pass that returns the four envelope fields as text. For a
-valid event each runs once, also when a filter on the error is pushed
-below the projection (the valid path never evaluates a check twice).
+``from_json`` pass that returns the four envelope fields as text.
+
+JSON parsers stop after the first value, so a text like ``{...} x`` would
+pass. The strict parse therefore reads the text as the first of two array
+elements, the second being the text's own digest: anything after the first
+value moves, breaks or hides the digest.
 """
 
 from __future__ import annotations
@@ -33,12 +36,22 @@ def message_text(value: str | Column) -> Column:
     return _col(value).cast("string")
 
 
+def _closed(value: str | Column) -> Column:
+    """VARIANT of the array ``[message, digest of the message]``; NULL when
+    the text is not exactly one JSON value."""
+    text = message_text(value)
+    digest = F.md5(text.cast("binary"))
+    parsed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
+    return F.when(F.try_variant_get(parsed, "$[1]", "string") == digest, parsed)
+
+
 def parse_envelope(value: str | Column) -> Column:
-    """VARIANT of the message, NULL when it is not valid JSON.
+    """VARIANT of the message, NULL when it is not exactly one JSON value.
 
-    Strict: NaN literals and duplicate keys count as invalid JSON.
+    Strict: text after the value, NaN literals and duplicate keys count as
+    invalid JSON.
     """
-    return F.try_parse_json(message_text(value))
+    return F.try_variant_get(_closed(value), "$[0]", "variant")
 
 
 def message_keys(value: str | Column) -> Column:
@@ -69,7 +82,7 @@ def message_error(value: str | Column, fields: list[str] = ENVELOPE_FIELDS) -> C
     return (
         F.when(_col(value).isNull(), F.lit(ERR_EMPTY))
         .when(~F.is_valid_utf8(text), F.lit(ERR_UTF8))
-        .when(F.try_parse_json(text).isNull(), F.lit(ERR_JSON))
+        .when(_closed(value).isNull(), F.lit(ERR_JSON))
         .when(
             F.size(missing) > 0,
             F.when(message_keys(value).isNull(), F.lit(ERR_NOT_OBJECT)).otherwise(
@@ -89,13 +102,19 @@ def envelope_columns(value: str | Column, fields: str | Column | None = None) ->
 
     ``fields`` is a column already holding :func:`parse_fields` (so the
     text is decoded once however many fields are read); by default it is
-    computed here. Non-string values are kept as their JSON text; the
-    payload is kept as compact JSON text in its original key order
-    (``null`` for a JSON null). Unknown top-level keys are dropped.
+    computed here. Non-string values are kept as their JSON text. The
+    payload is kept as JSON text whatever its type: objects and arrays in
+    their original key order, a string with its quotes, ``null`` for a JSON
+    null; a number passes through a double, and one beyond its range becomes
+    the string ``"Infinity"``. Unknown top-level keys are dropped.
     """
     env = parse_fields(value) if fields is None else (F.col(fields) if isinstance(fields, str) else fields)
-    payload = env["payload"]
-    null_payload = payload.isNull() & F.array_contains(message_keys(value), "payload")
+    text = env["payload"]
+    null_payload = text.isNull() & F.array_contains(message_keys(value), "payload")
+    # from_json gives a string payload without its quotes: put them back.
+    kind = F.schema_of_variant(F.try_variant_get(_closed(value), "$[0].payload", "variant"))
+    quoted = F.to_json(F.struct(text.alias("p")))
+    payload = F.when(kind == "STRING", F.substr(quoted, F.lit(6), F.length(quoted) - 6)).otherwise(text)
     return [
         env["event_id"].alias("event_id"),
         env["event_type"].alias("event_type"),

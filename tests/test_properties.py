@@ -4,8 +4,10 @@ import datetime as dt
 import hashlib
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from evstar.functions import date_key, surrogate_key
 from evstar.functions.keys import SURROGATE_NULL_TOKEN
@@ -31,24 +33,60 @@ def expected_error(doc):
     return None
 
 
-@SETTINGS
-@given(st.lists(documents, min_size=1, max_size=40))
-def test_routing_matches_rules(spark, docs):
-    rows = [(0, i, json.dumps(d).encode()) for i, d in enumerate(docs)]
+complete = st.fixed_dictionaries(
+    {"event_id": st.one_of(st.none(), st.text(max_size=5)), "event_type": st.text(max_size=5), "event_timestamp": st.text(max_size=5), "payload": values},
+    optional={"extra": values},
+)
+ROUTING = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+
+
+def routed(spark, texts):
+    rows = [(0, i, t.encode()) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "partition int, offset long, value binary")
-    got = {r.offset: r for r in parse_messages(df).collect()}
+    out = parse_messages(df).withColumn("loads", F.schema_of_variant(F.try_parse_json("payload")))
+    return {r.offset: r for r in out.collect()}
+
+
+@ROUTING
+@given(st.lists(st.one_of(complete, complete, documents), min_size=60, max_size=120))
+def test_routing_matches_rules(spark, docs):
+    got = routed(spark, [json.dumps(d) for d in docs])
     for i, d in enumerate(docs):
         assert got[i].error == expected_error(d), (d, got[i].error)
         if got[i].error is None:
-            want_id = d["event_id"]
-            if want_id is None:
-                assert got[i].event_id is None
-            elif isinstance(want_id, str):
-                assert got[i].event_id == want_id
-            if d["payload"] is None:
-                assert got[i].payload == "null"
-            else:
-                assert json.loads(got[i].payload) == d["payload"]
+            if d["event_id"] is None or isinstance(d["event_id"], str):
+                assert got[i].event_id == d["event_id"]
+            assert json.loads(got[i].payload) == d["payload"], d
+            assert got[i].loads is not None  # what is accepted can be loaded
+
+
+broken = st.builds(
+    lambda d, how, tail: {"cut": json.dumps(d)[:-1], "tail": json.dumps(d) + tail, "twice": json.dumps(d) * 2, "head": tail + json.dumps(d)}[how],
+    complete,
+    st.sampled_from(["cut", "tail", "twice", "head"]),
+    st.sampled_from(["x", " x", "}", "]", ",", " {}", '"', "] [", ", {}", '}, {"a": 1}', "]]", '"]', " null"]),
+)
+
+
+@ROUTING
+@given(st.lists(broken, min_size=60, max_size=120))
+def test_broken_texts_are_rejected(spark, texts):
+    got = routed(spark, texts)
+    for i, t in enumerate(texts):
+        try:
+            want = expected_error(json.loads(t))
+        except ValueError:
+            want = "invalid JSON"
+        assert got[i].error == want, t
+
+
+@pytest.mark.parametrize("payload", ['"hello"', '"123"', '"null"', "null", "1.5", "true", "[1, 2]", '{"b": 1, "a": {"z": [], "y": ""}}', '"{\\"a\\": 1"', '"é\\n"'])
+def test_payload_text_is_the_json_it_was(spark, payload):
+    text = '{"event_id": "e", "event_type": "t", "event_timestamp": "s", "payload": %s}' % payload
+    r = routed(spark, [text])[0]
+    assert r.error is None and json.loads(r.payload) == json.loads(payload) and r.loads is not None
+    if payload.startswith("{"):
+        assert list(json.loads(r.payload)) == ["b", "a"]  # key order kept
 
 
 @SETTINGS
