@@ -1,19 +1,31 @@
 """The older per-event-type path (v1): messages keyed by event type, flat
-JSON values, one lake folder and one raw table per type (K2, K9, K12, S2,
-S9, T-2, T-3, F19, A8).
+JSON values, one lake folder per type and one raw table for each of three
+types (K2, K9, K12, S2, S9, T-2, T-3, F19, A8).
 
-The raw tables keep each whole row as a VARIANT (``raw_data``) plus a
-load-time stamp; a corrupt file is skipped instead of failing the load.
+Ingest: every message with a key and a JSON value lands as its text under
+``event_type=<key>/dt=/hr=``, whatever the key; the others go to the
+quarantine with a reason. Nothing is dropped.
+
+Load: each file once, by a manifest of loaded files. A file that cannot be
+read, or a row that is not JSON, is skipped and recorded in the table's error
+log; unreadable files stay out of the manifest, so the next run tries them
+again.
 """
 
 from __future__ import annotations
 
+import re
+
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.envelope import ERR_EMPTY, ERR_JSON, ERR_UTF8, message_text, parse_envelope, quarantine_value
+
 S = T.StringType()
 D = T.DoubleType()
 I = T.IntegerType()
@@ -43,9 +55,11 @@ LEGACY_TABLES = {
     "page_view_events": "page_view",
     "inventory_events": "inventory_update",
 }
-LEGACY_PARTITIONS = ["dt", "hr"]
-# the original message text, stored next to the typed fields
+TYPE_PARTITION = "event_type"
+LEGACY_PARTITIONS = [TYPE_PARTITION, "dt", "hr"]
+# the original message text
 RAW_JSON = "raw_json"
+ERR_NO_TYPE = "message without an event type"
 
 
 def legacy_publish_frame(events: DataFrame, type_col: str = "event_type") -> DataFrame:
@@ -56,94 +70,175 @@ def legacy_publish_frame(events: DataFrame, type_col: str = "event_type") -> Dat
     )
 
 
-def legacy_rows(messages: DataFrame, event_type: str) -> DataFrame:
-    """Typed rows of one event type from v1 messages (T-3 routing by key, F19),
-    with the original text in ``raw_json`` (a value that does not fit its
-    typed column is NULL there but kept in the text)."""
-    schema = LEGACY_SCHEMAS[event_type]
-    picked = messages.filter(F.col("key").cast("string") == F.lit(event_type))
-    text = F.col("value").cast("string")
-    return picked.select(F.from_json(text, schema).alias("r"), text.alias(RAW_JSON)).select("r.*", RAW_JSON)
+def legacy_error(key: Column, value: Column) -> Column:
+    """Why a v1 message cannot be landed, or NULL (F19): it needs a key,
+    which is its event type, and a value that is one JSON text."""
+    text = message_text(value)
+    return (
+        F.when(F.coalesce(key.cast("string"), F.lit("")) == "", F.lit(ERR_NO_TYPE))
+        .when(value.isNull(), F.lit(ERR_EMPTY))
+        .when(~F.is_valid_utf8(text), F.lit(ERR_UTF8))
+        .when(parse_envelope(value).isNull(), F.lit(ERR_JSON))
+    )
 
 
-def write_legacy_batch(batch: DataFrame, batch_id: int, lake_root: str) -> None:
-    """Append each type's rows under ``{lake}/{type}/dt=YYYY-MM-DD/hr=HH`` (K2)."""
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+def legacy_rows(lake_rows: DataFrame, event_type: str) -> DataFrame:
+    """Typed rows of one event type from lake rows, next to ``raw_json`` (a
+    value that does not fit its typed column is NULL there but kept in the
+    text)."""
+    picked = lake_rows.filter(F.col(TYPE_PARTITION) == F.lit(event_type))
+    return picked.select(F.from_json(RAW_JSON, LEGACY_SCHEMAS[event_type]).alias("r"), RAW_JSON).select("r.*", RAW_JSON)
+
+
+def write_legacy_batch(batch: DataFrame, batch_id: int, lake_root: str, dead_letter_root: str) -> None:
+    """Append every message under ``{lake}/event_type=/dt=/hr=`` (K2, T-3),
+    or to the quarantine."""
+    now = F.current_timestamp()
+    routed = batch.select(
+        F.col("key").cast("string").alias(TYPE_PARTITION),
+        message_text("value").alias(RAW_JSON),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("long").alias("offset"),
+        legacy_error(F.col("key"), F.col("value")).alias("error"),
+        F.date_format(now, "yyyy-MM-dd").alias("dt"),
+        F.date_format(now, "HH").alias("hr"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        now = F.current_timestamp()
-        for event_type in LEGACY_SCHEMAS:
-            rows = legacy_rows(batch, event_type).withColumns(
-                {"dt": F.date_format(now, "yyyy-MM-dd"), "hr": F.date_format(now, "HH")}
-            )
-            rows.write.mode("append").partitionBy(*LEGACY_PARTITIONS).option("compression", "snappy").parquet(
-                f"{lake_root.rstrip('/')}/{event_type}"
-            )
+        good = routed.filter(F.col("error").isNull()).select(RAW_JSON, *LEGACY_PARTITIONS)
+        good.write.mode("append").partitionBy(*LEGACY_PARTITIONS).option("compression", "snappy").parquet(lake_root)
+        bad = routed.filter(F.col("error").isNotNull())
+        bad.select("partition", "offset", "error", quarantine_value(F.col(RAW_JSON)).alias("raw_value")).write.mode(
+            "append"
+        ).json(dead_letter_root)
     finally:
-        batch.unpersist()
+        routed.unpersist()
 
 
 def legacy_ingest(
     messages: DataFrame,
     lake_root: str,
+    dead_letter_root: str,
     checkpoint: str,
     available_now: bool = False,
     trigger_interval: str = "60 seconds",
 ) -> StreamingQuery:
-    """v1 consumer: a micro-batch every ``trigger_interval`` (T-2), split by key.
+    """v1 consumer: a micro-batch every ``trigger_interval``, split by key.
+
+    The trigger is the age limit of a type's buffer (T-2); its row limit has
+    no equal here, since one batch writes all types. A topic source's
+    ``maxOffsetsPerTrigger`` bounds a batch instead.
 
     With a topic source, start from ``latest`` (S2); progress is kept in the
     checkpoint, so unlike auto-commit no buffered row is lost on a crash.
     """
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: write_legacy_batch(df, batch_id, lake_root)
+        lambda df, batch_id: write_legacy_batch(df, batch_id, lake_root, dead_letter_root)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 
-def legacy_load(
-    spark: SparkSession,
-    lake_root: str,
-    tables_root: str,
-    checkpoint_root: str,
-) -> dict[str, int]:
-    """Load new files of every type folder into its raw table.
+_LOADED = "file_path string, load_id int"
+_ERRORS = "file_path string, error string, raw_json string, load_id int"
+
+
+def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A log folder, empty before its first entry."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def _new_files(spark: SparkSession, folder: str, loaded: DataFrame) -> list[str]:
+    """Files of a type folder that the manifest does not hold (metadata
+    only; as many names as there are new files)."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
+    except AnalysisException:  # no message of this type so far
+        return []
+    names = files.select(F.col("path").alias("file_path")).join(loaded.select("file_path").distinct(), "file_path", "left_anti")
+    return sorted(r[0] for r in names.collect())
+
+
+def _named_file(error: Exception, files: list[str]) -> str | None:
+    """The one of ``files`` that a read error names."""
+    text = str(error)
+    leaf = {f.rsplit("/", 1)[-1]: f for f in files}
+    return next((leaf[n] for n in re.findall(r"[^/\s]+\.parquet", text) if n in leaf), None)
+
+
+def _load_table(spark: SparkSession, folder: str, table_root: str, state_root: str, schema: T.StructType) -> int:
+    loaded = _log(spark, f"{state_root}/manifest", _LOADED)
+    files = _new_files(spark, folder, loaded)
+    load_id = (loaded.agg(F.max("load_id")).first()[0] or 0) + 1
+    target, failed = f"{table_root}/load-{load_id:06d}", []
+    while files:
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*files)
+        typed = F.to_variant_object(F.struct(*[F.col(f.name) for f in schema.fields if f.name != RAW_JSON]))
+        parsed = F.try_parse_json(F.col(RAW_JSON))
+        good = rows.filter(F.col(RAW_JSON).isNull() | parsed.isNotNull())
+        bad = rows.filter(F.col(RAW_JSON).isNotNull() & parsed.isNull())
+        try:
+            good.select(F.coalesce(parsed, typed).alias("raw_data"), F.localtimestamp().alias("loaded_at")).write.mode(
+                "overwrite"
+            ).parquet(target)
+            bad.select(
+                F.col("_metadata.file_path").alias("file_path"), F.lit(ERR_JSON).alias("error"), RAW_JSON, F.lit(load_id).alias("load_id")
+            ).write.mode("overwrite").parquet(f"{state_root}/row_errors/load-{load_id:06d}")
+            break
+        except (PySparkException, Py4JJavaError) as error:
+            name = _named_file(error, files)
+            if name is None:
+                raise
+            files.remove(name)
+            failed.append((name, str(error).split("\n", 1)[0][:500], None, load_id))
+    if failed:
+        spark.createDataFrame(failed, _ERRORS).coalesce(1).write.mode("append").parquet(f"{state_root}/file_errors")
+    if not files:
+        return 0
+    spark.createDataFrame([(f, load_id) for f in files], _LOADED).coalesce(1).write.mode("append").parquet(f"{state_root}/manifest")
+    return spark.read.parquet(target).count()
+
+
+def legacy_load(spark: SparkSession, lake_root: str, tables_root: str, state_root: str) -> dict[str, int]:
+    """Load new files of each known type's folder into its raw table.
 
     ``raw_data`` is the whole row as a VARIANT: the original message text
     when the file carries it, else the typed columns as an object;
-    ``loaded_at`` is the load time. Unreadable files are skipped (continue
-    on error). Returns the rows appended per table.
+    ``loaded_at`` is the load time. What cannot be read or parsed is skipped
+    and recorded (:func:`load_errors`). A load writes a folder of its own and
+    counts once the manifest names it, so a load that broke off is done
+    anew. Returns the rows appended per table.
     """
-    appended: dict[str, int] = {}
+    lake, tables, state = lake_root.rstrip("/"), tables_root.rstrip("/"), state_root.rstrip("/")
+    appended = {}
     for table, event_type in LEGACY_TABLES.items():
-        schema = T.StructType(
-            LEGACY_SCHEMAS[event_type].fields
-            + [T.StructField(RAW_JSON, S)]
-            + [T.StructField(p, S) for p in LEGACY_PARTITIONS]
-        )
-        data_cols = [f.name for f in LEGACY_SCHEMAS[event_type].fields]
-        stream = (
-            spark.readStream.schema(schema)
-            .option("ignoreCorruptFiles", "true")
-            .parquet(f"{lake_root.rstrip('/')}/{event_type}")
-        )
-        typed = F.to_variant_object(F.struct(*[F.col(c) for c in data_cols]))
-        rows = stream.select(
-            F.coalesce(F.try_parse_json(F.col(RAW_JSON)), typed).alias("raw_data"),
-            F.localtimestamp().alias("loaded_at"),
-        )
-        query = (
-            rows.writeStream.format("parquet")
-            .option("path", f"{tables_root.rstrip('/')}/{table}")
-            .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{table}")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        appended[table] = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+        schema = T.StructType(LEGACY_SCHEMAS[event_type].fields + [T.StructField(RAW_JSON, S)])
+        folder = f"{lake}/{TYPE_PARTITION}={event_type}"
+        appended[table] = _load_table(spark, folder, f"{tables}/{table}", f"{state}/{table}", schema)
     return appended
 
 
-def legacy_row_count(spark: SparkSession, tables_root: str, table: str) -> int:
+def read_legacy_table(spark: SparkSession, tables_root: str, state_root: str, table: str) -> DataFrame:
+    """A raw table: the rows of all loads that the manifest names."""
+    loads = _log(spark, f"{state_root.rstrip('/')}/{table}/manifest", _LOADED).select("load_id").distinct().collect()
+    if not loads:
+        return spark.createDataFrame([], "raw_data variant, loaded_at timestamp_ntz")
+    return spark.read.parquet(*[f"{tables_root.rstrip('/')}/{table}/load-{r[0]:06d}" for r in loads])
+
+
+def load_errors(spark: SparkSession, state_root: str, table: str) -> DataFrame:
+    """What loads skipped: ``file_path, error, raw_json, load_id`` (a NULL
+    text for a whole file, which the next load tries again)."""
+    root = f"{state_root.rstrip('/')}/{table}"
+    try:
+        rows = spark.read.schema(_ERRORS).option("recursiveFileLookup", "true").parquet(f"{root}/row_errors")
+    except AnalysisException:
+        rows = spark.createDataFrame([], _ERRORS)
+    return rows.unionByName(_log(spark, f"{root}/file_errors", _ERRORS))
+
+
+def legacy_row_count(spark: SparkSession, tables_root: str, state_root: str, table: str) -> int:
     """Post-load sanity count of one raw table."""
-    return spark.read.parquet(f"{tables_root.rstrip('/')}/{table}").count()
+    return read_legacy_table(spark, tables_root, state_root, table).count()

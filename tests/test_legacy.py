@@ -3,7 +3,16 @@ import os
 
 from pyspark.sql import functions as F
 
-from evstar.streaming.legacy import legacy_ingest, legacy_load, legacy_publish_frame, legacy_row_count
+from evstar.sources.lake import read_dead_letters
+from evstar.streaming.legacy import (
+    legacy_ingest,
+    legacy_load,
+    legacy_publish_frame,
+    legacy_row_count,
+    legacy_rows,
+    load_errors,
+    read_legacy_table,
+)
 from helpers import land, stream
 
 
@@ -12,6 +21,15 @@ def flat(event_type, i, **extra):
                        "event_timestamp": "2026-09-01T10:00:00+00:00", **extra})
 
 
+def run(spark, rows, tmp):
+    land(spark, rows, f"{tmp}/topic")
+    legacy_ingest(stream(spark, f"{tmp}/topic"), f"{tmp}/lake", f"{tmp}/dlq", f"{tmp}/_ck/ingest", available_now=True).awaitTermination()
+
+
+def load(spark, tmp):
+    return legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_load")
+
+
 def test_legacy_path_per_type(spark, tmp):
     rows = []
     for i in range(3):
@@ -19,26 +37,42 @@ def test_legacy_path_per_type(spark, tmp):
     for i in range(2):
         rows.append(("page_view", flat("page_view", i, device="mobile").encode(), 1, i, None))
     rows.append(("inventory_update", flat("inventory_update", 0, quantity_change=-2, reason="sale").encode(), 2, 0, None))
-    topic = f"{tmp}/topic"
-    land(spark, rows, topic)
-    q = legacy_ingest(stream(spark, topic), f"{tmp}/lake", f"{tmp}/_ck/ingest", available_now=True)
-    q.awaitTermination()
-    assert sorted(os.listdir(f"{tmp}/lake")) == ["inventory_update", "page_view", "purchase"]
-    assert any(d.startswith("dt=") for d in os.listdir(f"{tmp}/lake/purchase"))
-
-    # a corrupt file in a type folder is skipped, not fatal
-    with open(f"{tmp}/lake/purchase/junk.parquet", "wb") as f:
+    run(spark, rows, tmp)
+    folders = sorted(d for d in os.listdir(f"{tmp}/lake") if "=" in d)
+    assert folders == ["event_type=inventory_update", "event_type=page_view", "event_type=purchase"]
+    assert any(d.startswith("dt=") for d in os.listdir(f"{tmp}/lake/event_type=purchase"))
+
+    # a file that is no Parquet: the rest loads, the failure is on record
+    junk = f"{tmp}/lake/event_type=purchase/junk.parquet"
+    with open(junk, "wb") as f:
         f.write(b"not parquet")
-    added = legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck/load")
-    assert added == {"purchase_events": 3, "page_view_events": 2, "inventory_events": 1}
-    assert legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck/load") == {
-        "purchase_events": 0, "page_view_events": 0, "inventory_events": 0}
-    assert legacy_row_count(spark, f"{tmp}/raw", "purchase_events") == 3
-    raw = spark.read.parquet(f"{tmp}/raw/purchase_events")
+    assert load(spark, tmp) == {"purchase_events": 3, "page_view_events": 2, "inventory_events": 1}
+    assert load(spark, tmp) == {"purchase_events": 0, "page_view_events": 0, "inventory_events": 0}
+    failed = load_errors(spark, f"{tmp}/_load", "purchase_events").collect()
+    assert {r.file_path.rsplit("/", 1)[-1] for r in failed} == {"junk.parquet"} and len(failed) == 2  # tried both times
+    assert legacy_row_count(spark, f"{tmp}/raw", f"{tmp}/_load", "purchase_events") == 3
+    raw = read_legacy_table(spark, f"{tmp}/raw", f"{tmp}/_load", "purchase_events")
     assert dict(raw.dtypes) == {"raw_data": "variant", "loaded_at": "timestamp_ntz"}
     qty = sorted(r.q for r in raw.select(F.variant_get("raw_data", "$.quantity", "int").alias("q")).collect())
     assert qty == [2, 2, 2]
 
+    # once the file is whole, the next load takes it
+    os.remove(junk)
+    spark.createDataFrame([(flat("purchase", 9),)], "raw_json string").coalesce(1).write.parquet(f"{tmp}/fixed")
+    name = next(n for n in os.listdir(f"{tmp}/fixed") if n.endswith(".parquet"))
+    os.rename(f"{tmp}/fixed/{name}", junk)
+    assert load(spark, tmp)["purchase_events"] == 1
+
+
+def test_no_message_is_dropped(spark, tmp):
+    values = [("refund", flat("refund", 0)), (None, flat("purchase", 0)), ("", flat("purchase", 1)), ("purchase", "{not json"), ("purchase", flat("purchase", 2) + " x"), ("a b/c", flat("odd", 0))]
+    rows = [(k, v.encode(), 0, i, None) for i, (k, v) in enumerate(values)] + [("purchase", None, 0, 6, None), ("purchase", b"\xff\xfe", 0, 7, None)]
+    run(spark, rows, tmp)
+    lake = spark.read.parquet(f"{tmp}/lake")
+    assert sorted((r.event_type, json.loads(r.raw_json)["event_id"]) for r in lake.collect()) == [("a b/c", "odd-0"), ("refund", "refund-0")]
+    dead = {r.offset: r.error for r in read_dead_letters(spark, f"{tmp}/dlq").collect()}
+    assert dead == {1: "message without an event type", 2: "message without an event type", 3: "invalid JSON", 4: "invalid JSON", 6: "empty message", 7: "invalid UTF-8"}
+
 
 def test_legacy_publish_frame(spark):
     df = spark.createDataFrame([("e1", "purchase", 2)], "event_id string, event_type string, quantity int")
@@ -46,29 +80,40 @@ def test_legacy_publish_frame(spark):
     assert r.key == "purchase" and json.loads(r.value) == {"event_id": "e1", "event_type": "purchase", "quantity": 2}
 
 
-def test_legacy_load_skips_type_drifted_file(spark, tmp):
+def test_files_with_typed_columns_and_drift(spark, tmp):
     from evstar.streaming.legacy import LEGACY_SCHEMAS
 
     good = spark.createDataFrame(
         [("e1", "purchase", "t", "O1", "C1", "a@x", "P1", "n", "c", 1.0, 2, 2.0, "card", "NO")], LEGACY_SCHEMAS["purchase"]
     )
-    good.write.parquet(f"{tmp}/lake/purchase/dt=2026-09-01/hr=10")
+    good.write.parquet(f"{tmp}/lake/event_type=purchase/dt=2026-09-01/hr=10")
     drifted = good.withColumn("quantity", F.lit("two"))  # quantity written as text
-    drifted.write.parquet(f"{tmp}/lake/purchase/dt=2026-09-01/hr=11")
-    for t in ("page_view", "inventory_update"):
-        os.makedirs(f"{tmp}/lake/{t}")
-    added = legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck")
-    assert added == {"purchase_events": 1, "page_view_events": 0, "inventory_events": 0}
+    drifted.write.parquet(f"{tmp}/lake/event_type=purchase/dt=2026-09-01/hr=11")
+    assert load(spark, tmp) == {"purchase_events": 1, "page_view_events": 0, "inventory_events": 0}
+    assert {"hr=11" in r.file_path for r in load_errors(spark, f"{tmp}/_load", "purchase_events").collect()} == {True}
+
+
+def test_a_row_that_is_not_json_is_skipped_and_recorded(spark, tmp):
+    rows = [(flat("purchase", 0),), ("{broken",), (flat("purchase", 1),)]
+    spark.createDataFrame(rows, "raw_json string").coalesce(1).write.parquet(f"{tmp}/lake/event_type=purchase/dt=d/hr=1")
+    assert load(spark, tmp)["purchase_events"] == 2
+    assert [r.raw_json for r in load_errors(spark, f"{tmp}/_load", "purchase_events").collect()] == ["{broken"]
+
+
+def test_a_load_that_broke_off_is_done_anew(spark, tmp):
+    spark.createDataFrame([(flat("purchase", 0),)], "raw_json string").write.parquet(f"{tmp}/lake/event_type=purchase/dt=d/hr=1")
+    half = spark.createDataFrame([("{}",)], "j string").select(F.parse_json("j").alias("raw_data"), F.localtimestamp().alias("loaded_at"))
+    half.write.parquet(f"{tmp}/raw/purchase_events/load-000001")  # written, but not in the manifest
+    assert legacy_row_count(spark, f"{tmp}/raw", f"{tmp}/_load", "purchase_events") == 0
+    assert load(spark, tmp)["purchase_events"] == 1
+    assert legacy_row_count(spark, f"{tmp}/raw", f"{tmp}/_load", "purchase_events") == 1
 
 
 def test_legacy_raw_data_keeps_the_original_text(spark, tmp):
     rows = [("purchase", flat("purchase", 0, order_id="O0", quantity="two", unit_price=4.5).encode(), 0, 0, None)]
-    land(spark, rows, f"{tmp}/topic")
-    legacy_ingest(stream(spark, f"{tmp}/topic"), f"{tmp}/lake", f"{tmp}/_ck/ingest", available_now=True).awaitTermination()
-    for t in ("page_view", "inventory_update"):
-        os.makedirs(f"{tmp}/lake/{t}", exist_ok=True)
-    legacy_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/_ck/load")
-    lake_row = spark.read.parquet(f"{tmp}/lake/purchase").first()
-    assert lake_row.quantity is None  # does not fit the typed column
-    raw = spark.read.parquet(f"{tmp}/raw/purchase_events")
+    run(spark, rows, tmp)
+    load(spark, tmp)
+    row = legacy_rows(spark.read.parquet(f"{tmp}/lake"), "purchase").first()
+    assert row.quantity is None and row.order_id == "O0"  # does not fit the typed column
+    raw = read_legacy_table(spark, f"{tmp}/raw", f"{tmp}/_load", "purchase_events")
     assert raw.select(F.variant_get("raw_data", "$.quantity", "string").alias("q")).first().q == "two"
