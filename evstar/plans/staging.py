@@ -22,7 +22,7 @@ ORDER_FIELDS = [
     ("payment_method", "payment_method", "string"),
     ("order_status", "order_status", "string"),
 ]
-_BAD = "__evstar_bad_field"
+BAD_FIELD = "__evstar_bad_field"
 
 
 def _typed(path: str, type_: str) -> Column:
@@ -35,16 +35,10 @@ def _uncastable(path: str, type_: str) -> Column:
     return _typed(path, type_).isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
 
 
-def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
-    """One row per order event, the earliest delivered copy (M1).
-
-    Filter on the event type first (F9), then dedup by event_id (W1), with
-    the payload fields typed (F6): a missing or JSON-null field gives NULL,
-    a value that does not cast fails the query. The fields are read before
-    the dedup, so the scan of a shredded VARIANT payload reads only these
-    fields and the shuffle carries typed columns; a cast failure is raised
-    only for the copy the dedup keeps, exactly as if typing came after it.
-    """
+def typed_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
+    """Every order event with its payload fields typed (F9, F6), before the
+    dedup: a missing or JSON-null field gives NULL, and a row with a value
+    that does not cast names that field in ``BAD_FIELD``."""
     orders = raw_events.filter(F.col("event_type") == F.lit(order_type))
     fields = [(name, _typed(path, t)) for name, path, t in ORDER_FIELDS]
     # Only a field that came back NULL can hold an uncastable value, so rows
@@ -54,19 +48,24 @@ def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
     for _, value in fields:
         any_null = any_null | value.isNull()
     bad = F.when(any_null, F.coalesce(*[F.when(_uncastable(path, t), F.lit(path)) for _, path, t in ORDER_FIELDS]))
-    typed = orders.select(
+    return orders.select(
         "event_id",
         *[value.alias(name) for name, value in fields],
         F.col("event_timestamp").alias("ordered_at"),
         "ingested_at",
         "kafka_offset",
-        bad.alias(_BAD),
+        bad.alias(BAD_FIELD),
     )
-    firsts = first_delivery(typed)
-    checked = firsts.filter(
+
+
+def first_orders(typed: DataFrame) -> DataFrame:
+    """One row per order event, the earliest delivered copy (W1); fails if
+    that copy holds a value that does not cast."""
+    event = F.coalesce(F.col("event_id"), F.lit("NULL"))
+    checked = first_delivery(typed).filter(
         F.when(
-            F.col(_BAD).isNotNull(),
-            F.raise_error(F.concat(F.lit("payload field cannot be cast: "), F.col(_BAD), F.lit(" of event "), F.col("event_id"))),
+            F.col(BAD_FIELD).isNotNull(),
+            F.raise_error(F.concat(F.lit("payload field cannot be cast: "), F.col(BAD_FIELD), F.lit(" of event "), event)),
         ).otherwise(F.lit(True))
     )
     return checked.select(
@@ -84,6 +83,18 @@ def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
     )
 
 
+def stg_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
+    """One row per order event, the earliest delivered copy (M1).
+
+    Filter on the event type first (F9), then dedup by event_id (W1), with
+    the payload fields typed (F6). The fields are read before the dedup, so
+    the scan of a shredded VARIANT payload reads only these fields and the
+    shuffle carries typed columns; a cast failure is raised only for the
+    copy the dedup keeps, exactly as if typing came after it.
+    """
+    return first_orders(typed_orders(raw_events, order_type))
+
+
 def stg_products(raw_products: DataFrame, tiebreak: Sequence[Column] = ()) -> DataFrame:
     """Latest snapshot of each product."""
     latest = latest_version(raw_products, "product_id", "snapshot_date", tiebreak)

@@ -39,8 +39,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.parquet.compression.codec": "snappy",
-    # streaming state (the optional resend drop keeps one entry per message
-    # in its window): off-heap RocksDB, changelog checkpoints
+    # state of any stateful query: off-heap RocksDB, changelog checkpoints
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

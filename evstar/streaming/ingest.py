@@ -69,30 +69,6 @@ def write_micro_batch(
         parsed.unpersist()
 
 
-_DIGEST = "__evstar_digest"
-
-
-def drop_resends(messages: DataFrame, window: str, time_col: str = "timestamp") -> DataFrame:
-    """Drop a message whose exact bytes were already seen within ``window``
-    of message time (T-5, optional pre-filter).
-
-    Keyed by the SHA-256 of the value (an empty message keys on its own
-    partition/offset, so distinct empty messages stay). State is kept in the
-    query checkpoint and expires with the watermark, so it stays bounded
-    by the window; the staging dedup still removes any later copy.
-    """
-    digest = F.coalesce(
-        F.sha2(F.col("value").cast("binary"), 256),
-        F.concat_ws("/", F.lit("empty"), F.col("partition").cast("string"), F.col("offset").cast("string")),
-    )
-    return (
-        messages.withColumn(_DIGEST, digest)
-        .withWatermark(time_col, window)
-        .dropDuplicatesWithinWatermark([_DIGEST])
-        .drop(_DIGEST)
-    )
-
-
 def ingest(
     messages: DataFrame,
     lake_root: str,
@@ -102,19 +78,16 @@ def ingest(
     trigger_interval: str = "30 seconds",
     files_per_batch: int | None = None,
     query_name: str | None = None,
-    drop_resends_within: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest query over a streaming DataFrame with Kafka's columns.
 
     ``available_now=True`` drains everything available and stops (bounded
     run, S3/S4); otherwise a micro-batch runs every ``trigger_interval``
     (T-1). With a topic source, ``minOffsetsPerTrigger``/``maxTriggerDelay``
-    reader options give the "N rows or T seconds" flush rule.
-    ``drop_resends_within`` (e.g. ``"10 minutes"``) drops byte-identical
-    re-sends inside that window before they reach the lake.
+    reader options give the "N rows or T seconds" flush rule. Nothing is
+    dropped here, however late or often it comes (T-5, T-6): the staging
+    dedup keeps one copy of an event.
     """
-    if drop_resends_within:
-        messages = drop_resends(messages, drop_resends_within)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: write_micro_batch(
             df, batch_id, lake_root, dead_letter_root, files_per_batch=files_per_batch

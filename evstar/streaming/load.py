@@ -2,7 +2,8 @@
 
 A file-source stream over the lake: the checkpoint's file log remembers
 every file already loaded, so each file is loaded exactly once and a second
-run with no new file appends nothing. ``parse_json`` raises on bad payload
+run with no new file appends nothing. A file counts as new by its path
+alone, however old its time stamp is. ``parse_json`` raises on bad payload
 text, which fails the batch before any output is committed (abort on
 error). ``trigger(availableNow=True)`` drains what is there and stops.
 """
@@ -13,6 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.lake import LAKE_SCHEMA
+from .progress import RowCounter
+
+#: File sources pass over files this much older than the newest one they have
+#: seen; their default is a week, and a lake may get older files later.
+MAX_FILE_AGE = "36500d"
 
 
 def load_projection(lake_rows: DataFrame, source_file: Column | None = None) -> DataFrame:
@@ -42,27 +48,29 @@ def load_raw(
 ) -> int:
     """Append lake files not loaded before into ``table_root`` (Parquet).
 
-    Returns the number of rows appended by this run, as reported by the
-    query's progress (the most recent ``spark.sql.streaming.
-    numRecentProgressUpdates`` batches). ``loaded_at=True`` adds a
-    load-time column (K12).
+    Returns the number of rows appended by this run, over all its batches.
+    ``loaded_at=True`` adds a load-time column (K12).
     """
-    reader = spark.readStream.schema(LAKE_SCHEMA)
+    reader = spark.readStream.schema(LAKE_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = load_projection(reader.parquet(lake_root))
     if loaded_at:
         rows = rows.withColumn("loaded_at", F.localtimestamp())
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", table_root)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    counter = RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = (
+            rows.writeStream.format("parquet")
+            .option("path", table_root)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        return counter.drained(query)
+    finally:
+        spark.streams.removeListener(counter)
 
 
 def read_raw_events(spark: SparkSession, table_root: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """Incremental order staging: only raw rows loaded since the last run are
-deduplicated, instead of every order event on every build.
+parsed and typed, instead of every order event on every build.
 
 A file-source stream over the raw table (it reads the table's commit log,
-so only committed files) feeds micro-batches; each batch keeps the first
-delivery of every event within itself (W1) and drops events already in the
-staged table, then appends. Rows loaded later were ingested later, so an
-event already staged keeps its earlier copy: the staged table equals the
-full ``stg_orders`` rebuild. The anti-join reads only the staged ``event_id``
-column. A batch replayed after a crash finds its own rows already staged and
-adds nothing, so the staged table is exactly-once.
+so only committed files) feeds micro-batches. Each batch keeps the first
+delivery of every event within itself and writes its typed rows to a folder
+of its own, ``{root}/batch=N``; a batch replayed after a crash replaces that
+folder. The staged orders are the first deliveries (W1: ingest time, then
+offset) over all these rows, whatever order the copies came in, and NULL ids
+form one event: the same as ``stg_orders`` over the whole raw table. A batch
+costs as much as its own rows; only the reader dedups across batches, over
+typed columns.
 """
 
 from __future__ import annotations
@@ -17,47 +18,47 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.staging import stg_orders
+from ..operators.dedup import first_delivery
+from ..plans.staging import BAD_FIELD, first_orders, typed_orders
 from ..sources.lake import RAW_EVENTS_SCHEMA
+from .load import MAX_FILE_AGE
 
-STG_ORDERS_SCHEMA = T.StructType(
+TYPED_ORDERS_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
         T.StructField("order_id", T.StringType()),
         T.StructField("customer_id", T.StringType()),
         T.StructField("product_id", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.DecimalType(38, 0)),
         T.StructField("unit_price", T.DecimalType(10, 2)),
         T.StructField("total_amount", T.DecimalType(10, 2)),
         T.StructField("payment_method", T.StringType()),
         T.StructField("order_status", T.StringType()),
         T.StructField("ordered_at", T.TimestampType()),
         T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("kafka_offset", T.LongType()),
+        T.StructField(BAD_FIELD, T.StringType()),
     ]
 )
 
 
-def read_staged_orders(spark: SparkSession, staged_root: str) -> DataFrame:
-    """The staged orders table (empty, with its schema, before the first run)."""
-    return spark.read.schema(STG_ORDERS_SCHEMA).parquet(staged_root)
+def read_typed_orders(spark: SparkSession, staged_root: str) -> DataFrame:
+    """The typed copies of all batches (none before the first run)."""
+    try:
+        return spark.read.schema(TYPED_ORDERS_SCHEMA).parquet(staged_root).select(*TYPED_ORDERS_SCHEMA.fieldNames())
+    except AnalysisException:  # no batch yet
+        return spark.createDataFrame([], TYPED_ORDERS_SCHEMA)
 
 
-def _ensure_table(spark: SparkSession, staged_root: str) -> None:
-    """Create the (empty) staged table on the first run only."""
-    try:
-        read_staged_orders(spark, staged_root)  # resolving a missing path raises
-    except AnalysisException:
-        spark.createDataFrame([], STG_ORDERS_SCHEMA).write.mode("append").parquet(staged_root)
+def read_staged_orders(spark: SparkSession, staged_root: str) -> DataFrame:
+    """The staged orders, one row per event."""
+    return first_orders(read_typed_orders(spark, staged_root))
 
 
-def stage_batch(batch: DataFrame, staged_root: str, order_type: str = "order") -> None:
-    """Append the orders of one batch of raw rows that are not staged yet."""
-    spark = batch.sparkSession
-    new = stg_orders(batch, order_type)
-    known = read_staged_orders(spark, staged_root).select("event_id")
-    new.join(known, "event_id", "left_anti").select(*STG_ORDERS_SCHEMA.fieldNames()).write.mode("append").parquet(
-        staged_root
-    )
+def stage_batch(batch: DataFrame, batch_id: int, staged_root: str, order_type: str = "order") -> None:
+    """Write the typed orders of one batch of raw rows to its folder."""
+    rows = first_delivery(typed_orders(batch, order_type))
+    rows.select(*TYPED_ORDERS_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{staged_root}/batch={batch_id}")
 
 
 def stage_orders(
@@ -68,15 +69,14 @@ def stage_orders(
     order_type: str = "order",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Bring the staged orders table up to date with the raw table and return it."""
-    _ensure_table(spark, staged_root)
-    reader = spark.readStream.schema(RAW_EVENTS_SCHEMA)
+    """Bring the staged orders up to date with the raw table and return them."""
+    reader = spark.readStream.schema(RAW_EVENTS_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     query = (
         reader.parquet(raw_root)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, batch_id: stage_batch(df, staged_root, order_type))
+        .foreachBatch(lambda df, batch_id: stage_batch(df, batch_id, staged_root, order_type))
         .trigger(availableNow=True)
         .start()
     )

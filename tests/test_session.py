@@ -18,25 +18,3 @@ def test_shared_root_reads_session_setting(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(root + "/x-")
-
-
-def test_cluster_state_store_runs_the_resend_drop(spark, tmp):
-    from evstar.streaming import ingest
-    from evstar.sources.lake import read_lake
-    from helpers import land, message_rows, order, stream
-
-    keys = [k for k in CLUSTER_SETTINGS if k.startswith("spark.sql.streaming.stateStore")]
-    old = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k in keys:
-            spark.conf.set(k, CLUSTER_SETTINGS[k])
-        land(spark, message_rows([order("e1", "O1"), order("e1", "O1")]), f"{tmp}/topic")
-        q = ingest(stream(spark, f"{tmp}/topic"), f"{tmp}/lake", f"{tmp}/dlq", f"{tmp}/ck", drop_resends_within="5 minutes")
-        q.awaitTermination()
-        assert read_lake(spark, f"{tmp}/lake").count() == 1
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

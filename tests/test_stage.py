@@ -1,5 +1,13 @@
+import datetime as dt
+import json
+import os
+import time
+
+from pyspark.sql import functions as F
+
 from evstar.plans import stg_orders
-from evstar.streaming import ingest, load_raw, stage_orders
+from evstar.sources.lake import LAKE_SCHEMA
+from evstar.streaming import ingest, load_raw, read_staged_orders, stage_orders
 from evstar.streaming.load import read_raw_events
 from helpers import land, message_rows, order, stream
 
@@ -32,16 +40,51 @@ def test_incremental_staging_equals_full_rebuild(spark, tmp):
     assert rows(stage_orders(spark, raw, staged, f"{ck}/stage")) == rows(final)
 
 
-def test_staged_table_created_once(spark, tmp):
-    import glob
-
-    from evstar.streaming.stage import _ensure_table
-
-    root = f"{tmp}/stg"
-    _ensure_table(spark, root)
-    first = sorted(glob.glob(f"{root}/*"))
-    _ensure_table(spark, root)
-    assert sorted(glob.glob(f"{root}/*")) == first
+def raw_row(event_id, offset, ingested, status):
+    at = dt.datetime(2026, 9, 1, ingested)
+    payload = json.dumps({"order_id": f"O{offset}", "order_status": status})
+    return (event_id, "order", at, payload, 0, offset, at, None)
+
+
+def test_copies_out_of_order_and_null_ids(spark, tmp):
+    """The earlier ingested copy comes in a later file, with other content;
+    NULL ids form one event; a batch is replayed."""
+    from evstar.streaming.stage import stage_batch
+    from evstar.sources.lake import RAW_EVENTS_SCHEMA
+
+    batches = [
+        [raw_row("e1", 5, 2, "late"), raw_row(None, 7, 3, "n1")],
+        [raw_row("e1", 6, 1, "early"), raw_row(None, 8, 2, "n0"), raw_row("e2", 9, 4, "x")],
+        [raw_row("e2", 10, 4, "same time, later offset")],
+    ]
+    plain = RAW_EVENTS_SCHEMA.simpleString().replace("variant", "string")
+    frames = [spark.createDataFrame(b, plain).withColumn("payload", F.parse_json("payload")) for b in batches]
+    for i, frame in enumerate([*frames, frames[0]]):
+        stage_batch(frame, i % 3, f"{tmp}/stg")
+    whole = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    got = read_staged_orders(spark, f"{tmp}/stg")
+    assert rows(got) == rows(stg_orders(whole))
+    assert {r.event_id: r.order_status for r in got.collect()} == {"e1": "early", None: "n0", "e2": "x"}
+
+
+def test_old_files_and_many_batches_are_loaded_and_counted(spark, tmp):
+    lake = f"{tmp}/lake"
+    row = ("e1", "order", "2026-09-01T10:00:00+00:00", "{}", 0, 1, "2026-09-01T10:00:01+00:00", "2026-09-01", "10")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for _ in range(5):
+            spark.createDataFrame([row], LAKE_SCHEMA).coalesce(1).write.mode("append").partitionBy("ingest_date", "ingest_hour").parquet(lake)
+        assert load_raw(spark, lake, f"{tmp}/raw", f"{tmp}/ck", max_files_per_trigger=1) == 5
+        spark.createDataFrame([row], LAKE_SCHEMA).coalesce(1).write.parquet(f"{tmp}/late")
+        name = next(n for n in os.listdir(f"{tmp}/late") if n.endswith(".parquet"))
+        target = f"{lake}/ingest_date=2026-09-01/ingest_hour=10/late.parquet"
+        os.rename(f"{tmp}/late/{name}", target)
+        old = time.time() - 30 * 86400
+        os.utime(target, (old, old))
+        assert load_raw(spark, lake, f"{tmp}/raw", f"{tmp}/ck") == 1
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
 def test_refresh_latest_catalog_equals_full_view(spark, tmp):
@@ -65,6 +108,32 @@ def test_refresh_latest_catalog_equals_full_view(spark, tmp):
     check()
     snap("2026-09-02", [("P1", "1.75"), ("P3", "3.00")])  # same-day re-run replaces that day
     check()
-    snap("2026-09-03", [("P2", "2.50")])
+    snap("2026-09-04", [("P2", "2.50")])
     check()
     check()  # nothing new
+    snap("2026-09-03", [("P2", "9.00"), ("P4", "4.00")])  # comes late: only P4 is new
+    check()
+    snap("2026-09-01", [("P1", "1.00")])  # an old day corrected: P2 is no longer in it
+    check()
+    assert sorted(d for d in os.listdir(f"{tmp}/latest") if d.startswith("state-"))[0] != "state-1"
+
+
+def test_refresh_opens_only_new_days(spark, tmp):
+    from evstar.plans.catalog_state import refresh_latest, snapshot_days
+    from evstar.sources.catalogs import CATALOG_SCHEMAS, write_snapshot
+
+    one = spark.createDataFrame([("P1", "n", "c", None)], CATALOG_SCHEMAS["products"])
+    write_snapshot(one, f"{tmp}/cat", "products", "2026-09-01")
+    refresh_latest(spark, f"{tmp}/cat", "products", f"{tmp}/latest", "product_id")
+    write_snapshot(one, f"{tmp}/cat", "products", "2026-09-02")
+    folder = f"{tmp}/cat/products/snapshot_date=2026-09-01"
+    for n in os.listdir(folder):  # the merged day can no longer be read, at the same size and time
+        stat = os.stat(f"{folder}/{n}")
+        with open(f"{folder}/{n}", "wb") as f:
+            f.write(b"x" * stat.st_size)
+        os.utime(f"{folder}/{n}", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    for n in os.listdir(folder):
+        if n.endswith(".crc"):
+            os.remove(f"{folder}/{n}")
+    assert set(snapshot_days(spark, f"{tmp}/cat", "products")) == {"2026-09-01", "2026-09-02"}
+    assert refresh_latest(spark, f"{tmp}/cat", "products", f"{tmp}/latest", "product_id").count() == 1

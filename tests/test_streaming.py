@@ -85,18 +85,6 @@ def test_stg_orders_casts(spark, tmp):
     assert str(rows["e3"].ordered_at) == "2026-09-02 04:30:00"
 
 
-def test_resends_dropped_within_window(spark, tmp):
-    topic = f"{tmp}/topic"
-    msgs = [order("e1", "O1"), order("e1", "O1"), order("e2", "O2"), None, None]
-    land(spark, message_rows(msgs), topic)
-    q = ingest(stream(spark, topic), f"{tmp}/lake", f"{tmp}/dlq", f"{tmp}/_ck/i", drop_resends_within="10 minutes")
-    q.awaitTermination()
-    lake = read_lake(spark, f"{tmp}/lake")
-    assert sorted(r.event_id for r in lake.collect()) == ["e1", "e2"]
-    # distinct empty messages are not collapsed
-    assert read_dead_letters(spark, f"{tmp}/dlq").count() == 2
-
-
 def test_files_per_batch_bounds_lake_files(spark, tmp):
     import glob
 
