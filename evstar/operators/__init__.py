@@ -10,6 +10,7 @@ from .profiling import (
     lake_summary,
     latest_files,
     partition_counts,
+    rows_per_file,
     rows_per_type,
     schema_report,
 )
@@ -48,6 +49,7 @@ __all__ = [
     "not_null",
     "partition_counts",
     "relationships",
+    "rows_per_file",
     "rows_per_type",
     "schema_report",
     "singular",

@@ -35,13 +35,14 @@ def lookup(
 def missing_parents(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child key values (non-NULL) with no parent row, with their row counts.
 
-    Child keys are pre-aggregated first (partial aggregation in every map
-    task), so a hot key reaches the anti-join as a single row.
+    Both sides are reduced to distinct keys first (partial aggregation in
+    every map task), so a key that is hot on either side reaches the
+    anti-join as a single row.
     """
     keys = (
         child.filter(F.col(column).isNotNull())
         .groupBy(F.col(column).alias(column))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    parents = parent.select(F.col(field).alias("__parent_key")).filter(F.col("__parent_key").isNotNull())
+    parents = parent.select(F.col(field).alias("__parent_key")).filter(F.col("__parent_key").isNotNull()).distinct()
     return keys.join(parents, keys[column] == parents["__parent_key"], "left_anti")

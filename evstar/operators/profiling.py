@@ -70,6 +70,16 @@ def lake_files(spark: SparkSession, path: str, suffix: str = "*.parquet") -> Dat
     )
 
 
+def rows_per_file(rows: DataFrame) -> DataFrame:
+    """``file_path, file_size, n_rows, n_sizes`` of every file that rows come
+    from (A9); ``rows`` carries the two ``_metadata`` columns."""
+    return rows.groupBy("file_path").agg(
+        F.max("file_size").alias("file_size"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("file_size").alias("n_sizes"),
+    )
+
+
 def latest_files(files: DataFrame, n: int = 3) -> DataFrame:
     """The last ``n`` files by path (O1): a top-k report, the limit is the feature."""
     return files.orderBy(F.col("file_path").desc()).limit(n)

@@ -1,18 +1,23 @@
 """Build gate (Q-GATE): models in dependency order, each followed by its
 data-quality checks; a failing check stops the build loudly.
 
-Staging models are views: they stay lazy and are persisted while the
-checks and downstream models reuse them. Marts are tables: written as
-Parquet (full rebuild, overwrite) and read back, which also cuts their
-lineage so a lost executor never recomputes the upstream chain.
+Every build writes its models to a folder of its own,
+``{warehouse}/builds/{build id}``: staging models for the time of the build,
+marts to stay. Reading them back cuts their lineage, so a lost executor never
+recomputes the upstream chain. Once all checks have run, the build is
+published by one more entry in ``{warehouse}/published``; readers
+(:func:`read_mart`) follow the last entry, so they see a whole build or the
+one before it, never a half-written table.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -163,8 +168,7 @@ def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> Dat
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as a Parquet table at ``path`` (full overwrite) and return
-    a scan of it: later jobs read stored columns, with pruning and filter
+    """Write ``df`` as a Parquet table at ``path`` and return a scan of it: later jobs read stored columns, with pruning and filter
     pushdown, and never recompute the lineage after a lost executor."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -174,10 +178,41 @@ class BuildFailed(RuntimeError):
     """A data-quality check returned rows."""
 
 
+_PUBLISHED = "build_id string"
+
+
+def _warehouse_path(warehouse: str, *parts: str) -> str:
+    return "/".join([warehouse.rstrip("/"), *parts])
+
+
+def publish(spark: SparkSession, warehouse: str, build_id: str) -> None:
+    """Make a build the one that readers see."""
+    spark.createDataFrame([(build_id,)], _PUBLISHED).coalesce(1).write.mode("append").parquet(
+        _warehouse_path(warehouse, "published")
+    )
+
+
+def published_build(spark: SparkSession, warehouse: str) -> str | None:
+    """The id of the last published build (ids sort by time)."""
+    try:
+        return spark.read.schema(_PUBLISHED).parquet(_warehouse_path(warehouse, "published")).agg(F.max("build_id")).first()[0]
+    except AnalysisException:  # nothing published yet
+        return None
+
+
+def read_mart(spark: SparkSession, warehouse: str, model: str) -> DataFrame:
+    """A mart of the last published build."""
+    build_id = published_build(spark, warehouse)
+    if build_id is None:
+        raise FileNotFoundError(f"no published build in {warehouse}")
+    return spark.read.parquet(_warehouse_path(warehouse, "builds", build_id, model))
+
+
 @dataclass
 class BuildResult:
     models: dict[str, DataFrame]
     results: list[tuple[str, int]]
+    build_id: str = ""
 
     @property
     def failed(self) -> list[tuple[str, int]]:
@@ -205,8 +240,11 @@ def build(
     (see :mod:`evstar.streaming.stage`) used instead of deduplicating all raw
     events again; ``staged_products`` / ``staged_customers`` likewise replace
     the latest-snapshot views (see :mod:`evstar.plans.catalog_state`).
-    Tables land in ``{warehouse}/{model}``.
+    Marts are read with :func:`read_mart`. A build that stops at a failing
+    check publishes nothing; one that only reports (``fail_fast=False``)
+    publishes whatever the checks say.
     """
+    build_id = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     models: dict[str, DataFrame] = {
         "raw_events": raw_events,
         "raw_products": raw_products,
@@ -221,30 +259,21 @@ def build(
         if df is not None:
             models[name] = df
     results: list[tuple[str, int]] = []
-    persisted: list[DataFrame] = []
-    try:
-        for name, kind, builder in steps(order_type):
-            df = builder(models)
-            if kind == "view":
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                persisted.append(df)
-            else:
-                df = materialize(df, f"{warehouse.rstrip('/')}/{name}")
-            models[name] = df
-            model_checks = [c for c in checks if c.model == name]
-            model_failures = []
-            if model_checks:
-                # one job per model; one small row back per check
-                counts = {r["check"]: r["failures"] for r in failures_frame(model_checks, models).collect()}
-                for check in model_checks:
-                    n = int(counts[check.name])
-                    results.append((check.name, n))
-                    if n:
-                        model_failures.append((check.name, n))
-            if model_failures and fail_fast:
-                listed = ", ".join(f"{c} ({n} failing)" for c, n in model_failures)
-                raise BuildFailed(f"model {name}: {listed}")
-    finally:
-        for df in persisted:
-            df.unpersist()
-    return BuildResult(models, results)
+    for name, kind, builder in steps(order_type):
+        folder = "staging/" + name if kind == "view" else name
+        models[name] = materialize(builder(models), _warehouse_path(warehouse, "builds", build_id, folder))
+        model_checks = [c for c in checks if c.model == name]
+        model_failures = []
+        if model_checks:
+            # one job per model; one small row back per check
+            counts = {r["check"]: r["failures"] for r in failures_frame(model_checks, models).collect()}
+            for check in model_checks:
+                n = int(counts[check.name])
+                results.append((check.name, n))
+                if n:
+                    model_failures.append((check.name, n))
+        if model_failures and fail_fast:
+            listed = ", ".join(f"{c} ({n} failing)" for c, n in model_failures)
+            raise BuildFailed(f"model {name}: {listed}")
+    publish(spark, warehouse, build_id)
+    return BuildResult(models, results, build_id)

@@ -2,7 +2,7 @@
 
 Every stage is safe to re-run: the ingest and load queries keep their
 progress in checkpoints under the pipeline root (a second run with no new
-messages or files adds nothing), and the build overwrites the marts from
+messages or files adds nothing), and the build publishes marts made from
 the same inputs, so the tables come out identical.
 """
 
@@ -76,10 +76,10 @@ def run_pipeline(
     """Drain ``messages`` (a streaming DataFrame with Kafka's columns) into
     the lake, load new lake files into the raw table, then build and test
     the models. ``calendar=None`` sizes the date dimension to the orders.
-    ``incremental_staging`` stages only newly loaded orders (same result as
-    the full dedup, cost proportional to the new data);
-    ``incremental_catalogs`` keeps latest-per-id catalog tables and merges
-    only new snapshots into them (same result as the full views)."""
+    ``incremental_staging`` parses and types only newly loaded orders (same
+    result as over the whole raw table); ``incremental_catalogs`` keeps
+    latest-per-id catalog tables and merges only new snapshots into them
+    (same result as the full views)."""
     query = ingest(messages, layout.lake, layout.dead_letter, layout.checkpoint("ingest"), available_now=True)
     query.awaitTermination()
     load_raw(spark, layout.lake, layout.raw_events, layout.checkpoint("load"))

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from evstar.plans.build import BuildFailed, build
+from evstar.plans.build import BuildFailed, build, published_build, read_mart
 from test_models import catalog, raw_events
 
 T0 = dt.datetime(2026, 9, 1, 10, 0)
@@ -60,6 +60,17 @@ def test_fail_fast_stops_before_marts(spark, tmp, catalogs):
     raw = raw_events(spark, [("e1", "order", T0, payload("O1", status="pending"), 1, T0)])
     with pytest.raises(BuildFailed, match="model stg_orders: accepted_values:stg_orders.order_status"):
         build(spark, raw, *catalogs, f"{tmp}/wh")
-    import os
-
-    assert not os.path.exists(f"{tmp}/wh/fact_orders")
+    assert published_build(spark, f"{tmp}/wh") is None
+
+
+def test_readers_keep_the_last_whole_build(spark, tmp, catalogs):
+    first = build(spark, raw_events(spark, [("e1", "order", T0, payload("O1"), 1, T0)]), *catalogs, f"{tmp}/wh")
+    before = read_mart(spark, f"{tmp}/wh", "fact_orders")
+    bad = raw_events(spark, [("e1", "order", T0, payload("O1"), 1, T0), ("e2", "order", T0, payload("O1"), 2, T0)])
+    with pytest.raises(BuildFailed):
+        build(spark, bad, *catalogs, f"{tmp}/wh")
+    assert published_build(spark, f"{tmp}/wh") == first.build_id
+    good = raw_events(spark, [("e1", "order", T0, payload("O1"), 1, T0), ("e2", "order", T0, payload("O2"), 2, T0)])
+    build(spark, good, *catalogs, f"{tmp}/wh")
+    assert read_mart(spark, f"{tmp}/wh", "fact_orders").count() == 2
+    assert before.count() == 1  # a reader that began earlier is not disturbed

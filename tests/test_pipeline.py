@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 
+from evstar.plans.build import read_mart
 from evstar.plans.build import CHECKS, BuildFailed
 from evstar.plans.pipeline import Layout, run_pipeline
 from evstar.sources.catalogs import CATALOG_SCHEMAS, write_snapshot
@@ -21,7 +22,7 @@ def write_catalogs(spark, layout, customers=("C1", "C2")):
 def snapshot(spark, layout):
     out = {}
     for name in ("dim_customers", "dim_products", "dim_date", "fact_orders"):
-        out[name] = sorted(tuple(r) for r in spark.read.parquet(f"{layout.warehouse}/{name}").collect())
+        out[name] = sorted(tuple(r) for r in read_mart(spark, layout.warehouse, name).collect())
     return out
 
 
@@ -60,7 +61,7 @@ def test_pipeline_calendar_from_orders(spark, tmp):
     land(spark, message_rows(msgs), topic)
     result = run_pipeline(spark, stream(spark, topic), layout, calendar=None)
     assert result.failed == []
-    assert spark.read.parquet(f"{layout.warehouse}/dim_date").count() == 3
+    assert read_mart(spark, layout.warehouse, "dim_date").count() == 3
 
 
 def test_pipeline_incremental_staging_matches(spark, tmp):

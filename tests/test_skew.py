@@ -76,3 +76,15 @@ def test_grouped_checks_on_hot_key(spark):
         )
     )
     assert dedup.count() == 501
+
+
+def test_hot_parent_key_is_reduced_before_the_exchange(spark, skew_conf, capsys):
+    """Two thirds of the parent rows share one key."""
+    parents = spark.range(30000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("pk"))
+    children = spark.createDataFrame([("hot",), ("hot",), ("none",), ("3",)], "ck string")
+    missing = relationships(children, "ck", parents, "pk")
+    assert [tuple(r) for r in missing.rows.collect()] == [("none", 1)]
+    missing.rows.explain()
+    plan = capsys.readouterr().out.split("LeftAnti", 1)[1]
+    parent_side = plan[: plan.rindex("Range")]
+    assert parent_side.rindex("HashAggregate") > parent_side.rindex("Exchange")  # partial distinct below the shuffle
