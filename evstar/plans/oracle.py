@@ -22,7 +22,12 @@ e AS (
     CASE WHEN event_type = 'purchase' THEN 'order' ELSE event_type END AS etype,
     CASE WHEN event_type = 'error' THEN NULL
          WHEN event_type = 'purchase' AND k = 13 THEN 'G' || CAST(user_id AS VARCHAR)
+         WHEN k = 17 THEN ''
          ELSE CAST(user_id AS VARCHAR) END AS cid,
+    CASE WHEN k <> 61 THEN CAST(event_id AS VARCHAR) END AS eid,
+    CASE WHEN event_type = 'purchase' THEN NULL
+         WHEN k = 23 THEN '"hello"' WHEN k = 29 THEN '"123"' WHEN k = 31 THEN '42'
+         WHEN k = 37 THEN '[1, 2]' WHEN k = 41 THEN 'null' WHEN k = 43 THEN '"null"' END AS scalar,
     CAST(k AS VARCHAR) AS pid,
     CAST(k % 3 + 1 AS INTEGER) AS qty,
     CAST(value AS DECIMAL(10,2)) AS price,
@@ -42,28 +47,38 @@ e AS (
       || '", "product_id": "' || pid || '", "quantity": ' || CAST(qty AS VARCHAR)
       || ', "unit_price": ' || CAST(price AS VARCHAR) || ', "total_amount": ' || CAST(total AS VARCHAR)
       || ', "payment_method": "' || pay || '", "order_status": "' || status || '"}'
+    WHEN scalar IS NOT NULL THEN scalar
     WHEN cid IS NULL THEN '{"product_id": "' || pid || '"}'
     ELSE '{"customer_id": "' || cid || '", "product_id": "' || pid || '"}' END AS payload_text,
-    '{"event_id": "' || CAST(event_id AS VARCHAR) || '", "event_type": "' || etype
+    '{"event_id": ' || COALESCE('"' || eid || '"', 'null') || ', "event_type": "' || etype
       || '", "event_timestamp": "' || ts_text || '"' AS head
   FROM c
 ), copies AS (
   SELECT *, 0 AS copy FROM p
   UNION ALL
-  SELECT *, 1 AS copy FROM p WHERE k = 42
+  SELECT * REPLACE ('cancelled' AS status, replace(payload_text, '"completed"', '"cancelled"') AS payload_text), 1 AS copy
+  FROM p WHERE k = 42
 ), m AS (
   SELECT *,
     CAST(user_id % 3 AS INTEGER) AS partition,
     CAST(event_id * 2 + copy AS BIGINT) AS "offset",
     COALESCE(NULLIF(cid, ''), pid) AS key,
-    ts + INTERVAL 30 SECOND AS ingested,
+    ts + CASE WHEN copy = 0 THEN INTERVAL 30 SECOND WHEN event_id % 2 = 0 THEN INTERVAL 10 SECOND
+              ELSE INTERVAL 90 SECOND END AS ingested,
+    -- as kept: compact, numbers through a double
+    replace(replace(replace(replace(payload_text, '": ', '":'), ', "', ',"'), ', 2]', ',2]'),
+      ',"unit_price":' || CAST(price AS VARCHAR) || ',"total_amount":' || CAST(total AS VARCHAR),
+      ',"unit_price":' || CAST(CAST(price AS DOUBLE) AS VARCHAR) || ',"total_amount":' || CAST(CAST(total AS DOUBLE) AS VARCHAR)
+    ) AS payload,
     CASE WHEN k = 79 THEN NULL
          WHEN k = 97 THEN substring(head || ', "payload": ' || payload_text || '}', 1, 40)
          WHEN k = 83 THEN '[' || head || ', "payload": ' || payload_text || '}]'
          WHEN k = 89 THEN head || '}'
+         WHEN k = 71 THEN head || ', "payload": ' || payload_text || '}'
+           || CASE WHEN event_id % 2 = 0 THEN ' x' ELSE head || ', "payload": ' || payload_text || '}' END
          ELSE head || ', "payload": ' || payload_text || '}' END AS msg,
     CASE WHEN k = 79 THEN 'empty message'
-         WHEN k = 97 THEN 'invalid JSON'
+         WHEN k IN (71, 97) THEN 'invalid JSON'
          WHEN k = 83 THEN 'message is not a JSON object'
          WHEN k = 89 THEN 'missing fields: [''payload'']' END AS error
   FROM copies
@@ -71,16 +86,19 @@ e AS (
 
 _STG_ORDERS = """
 stg_orders AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id,
+  SELECT eid AS event_id,
          'O' || CAST(event_id AS VARCHAR) AS order_id,
          cid AS customer_id, pid AS product_id, qty AS quantity, price AS unit_price,
          CAST(total AS DECIMAL(10,2)) AS total_amount, pay AS payment_method,
          status AS order_status, ts AS ordered_at, ingested AS ingested_at
   FROM m
   WHERE error IS NULL AND etype = 'order'
-  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingested, "offset") = 1
+  QUALIFY row_number() OVER (PARTITION BY m.eid ORDER BY ingested, "offset") = 1
 )"""
 
+# Through the whole chain all messages are ingested together: the offset decides.
+_STG_ORDERS_TOGETHER = _STG_ORDERS.replace("ORDER BY ingested, ", "ORDER BY ")
+
 _STG_PRODUCTS = """
 product_snapshots AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
@@ -99,10 +117,12 @@ _STG_CUSTOMERS = """
 stg_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS full_name,
          lower(replace(c_name, '#', '.')) || '@example.com' AS email,
-         CAST(NULL AS VARCHAR) AS city, n_name AS country, CAST(NULL AS DATE) AS signup_date,
-         DATE '2024-01-01' AS snapshot_date
+         CASE WHEN day = DATE '2023-12-01' THEN 'Old ' ELSE '' END || 'City ' || CAST(c_custkey % 50 AS VARCHAR) AS city,
+         n_name AS country, DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS signup_date, day AS snapshot_date
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY 1) = 1
+  JOIN (VALUES (DATE '2023-12-01'), (DATE '2024-01-01')) AS snapshots(day)
+    ON day = DATE '2023-12-01' OR c_custkey % 10 <> 0
+  QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY day DESC) = 1
 )"""
 
 _DIMS = """
@@ -151,9 +171,10 @@ _ROUTE = """
 SELECT partition, "offset",
        CASE WHEN error IS NULL THEN 'accepted' ELSE 'quarantined' END AS status,
        error,
-       CASE WHEN error IS NULL THEN CAST(event_id AS VARCHAR) END AS event_id,
+       CASE WHEN error IS NULL THEN eid END AS event_id,
        CASE WHEN error IS NULL THEN etype END AS event_type,
        CASE WHEN error IS NULL THEN ts_text END AS event_timestamp,
+       CASE WHEN error IS NULL THEN payload END AS payload,
        CASE WHEN error IS NOT NULL THEN msg END AS raw_value
 FROM m"""
 
@@ -187,10 +208,10 @@ def _check_sql(check: Check) -> str:
 ORACLE_SQL: dict[str, str] = {
     "stg_orders": _with(_MESSAGES, _STG_ORDERS) + "SELECT * FROM stg_orders",
     "dedup_keep_first": _with(_MESSAGES)
-    + """SELECT CAST(event_id AS VARCHAR) AS event_id, etype AS event_type, partition AS kafka_partition,
+    + """SELECT eid AS event_id, etype AS event_type, partition AS kafka_partition,
        "offset" AS kafka_offset, ingested AS ingested_at
 FROM m WHERE error IS NULL
-QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingested, "offset") = 1""",
+QUALIFY row_number() OVER (PARTITION BY m.eid ORDER BY ingested, "offset") = 1""",
     "latest_snapshot": """SELECT * FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey DESC) = 1""",
     "stg_products": _with(_STG_PRODUCTS) + "SELECT * FROM stg_products",
@@ -231,15 +252,15 @@ WHERE abs(total_amount - quantity * unit_price) > 0.01""",
     "dq_summary": _with(_MESSAGES, _STG_ORDERS, _STG_PRODUCTS, _STG_CUSTOMERS, _DIMS, _calendar("stg_orders", "ordered_at"))
     + "\nUNION ALL\n".join(_check_sql(c) for c in CHECKS),
     "pipeline_roundtrip": _with(
-        _MESSAGES, _STG_ORDERS, _STG_PRODUCTS, _STG_CUSTOMERS, _DIMS, _calendar("stg_orders", "ordered_at")
+        _MESSAGES, _STG_ORDERS_TOGETHER, _STG_PRODUCTS, _STG_CUSTOMERS, _DIMS, _calendar("stg_orders", "ordered_at")
     )
     + "\nUNION ALL\n".join(_check_sql(c) for c in CHECKS),
     "profile_lake": _with(_MESSAGES)
-    + """SELECT count(*) AS total_rows, count(DISTINCT event_id) AS distinct_event_ids,
-       count(*) - count(DISTINCT event_id) AS duplicate_rows
+    + """SELECT count(*) AS total_rows, count(DISTINCT COALESCE(eid, 'none')) AS distinct_event_ids,
+       count(*) - count(DISTINCT COALESCE(eid, 'none')) AS duplicate_rows
 FROM m WHERE error IS NULL""",
     "profile_lake_by_type": _with(_MESSAGES)
-    + "SELECT etype AS event_type, count(event_id) AS n_events FROM m WHERE error IS NULL GROUP BY etype",
+    + "SELECT etype AS event_type, count(eid) AS n_events FROM m WHERE error IS NULL GROUP BY etype",
     "topic_partition_counts": _with(_MESSAGES) + "SELECT partition, count(*) AS n_messages FROM m GROUP BY partition",
     "topic_key_summary": _with(_MESSAGES)
     + """SELECT count(*) FILTER (WHERE key IS NULL) AS messages_without_key,
@@ -249,21 +270,49 @@ FROM m WHERE error IS NULL""",
 FROM m WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT partition) > 1""",
     "ingest_roundtrip": _with(_MESSAGES) + _ROUTE,
     "raw_load_roundtrip": _with(_MESSAGES)
-    + """SELECT CAST(event_id AS VARCHAR) AS event_id, etype AS event_type, ts AS event_timestamp,
-       partition AS kafka_partition, "offset" AS kafka_offset, cid AS customer_id, pid AS product_id,
+    + """SELECT eid AS event_id, etype AS event_type, ts AS event_timestamp,
+       partition AS kafka_partition, "offset" AS kafka_offset,
+       CASE WHEN scalar IS NULL THEN cid END AS customer_id, CASE WHEN scalar IS NULL THEN pid END AS product_id,
+       CASE WHEN scalar IS NULL THEN 'OBJECT' WHEN scalar LIKE '"%' THEN 'STRING' WHEN scalar LIKE '[%' THEN 'ARRAY'
+            WHEN scalar = 'null' THEN 'VOID' ELSE 'BIGINT' END AS payload_type,
        true AS has_source_file
 FROM m WHERE error IS NULL""",
     "catalog_snapshot": _with(_STG_PRODUCTS) + "SELECT * FROM stg_products",
     "staged_orders_roundtrip": _with(_MESSAGES, _STG_ORDERS)
-    + """SELECT event_id, order_id, customer_id, product_id, quantity, unit_price, total_amount,
-       payment_method, order_status, ordered_at FROM stg_orders""",
-    "legacy_load_roundtrip": """SELECT
-  CASE WHEN event_type IN ('view', 'click') THEN 'page_view_events'
-       WHEN event_type = 'purchase' THEN 'purchase_events' ELSE 'inventory_events' END AS table_name,
-  CAST(event_id AS VARCHAR) AS event_id,
-  CASE WHEN event_type IN ('view', 'click') THEN 'page_view'
-       WHEN event_type = 'purchase' THEN 'purchase' ELSE 'inventory_update' END AS event_type,
-  json_extract_string(props, '$.k') AS product_id,
-  true AS has_loaded_at
+    + "SELECT * FROM stg_orders",
+    "legacy_load_roundtrip": """WITH v1 AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+    CASE WHEN event_type IN ('view', 'click') THEN 'page_view' WHEN event_type <> 'purchase' THEN 'inventory_update'
+         WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) = 53 THEN 'refund' ELSE 'purchase' END AS v1_type
+  FROM events
+)
+SELECT CASE v1_type WHEN 'page_view' THEN 'page_view_events' WHEN 'purchase' THEN 'purchase_events'
+            WHEN 'inventory_update' THEN 'inventory_events' ELSE 'lake only' END AS table_name,
+       CAST(event_id AS VARCHAR) AS event_id, v1_type AS event_type, CAST(k AS VARCHAR) AS product_id,
+       v1_type <> 'refund' AS has_loaded_at, CAST(NULL AS VARCHAR) AS error
+FROM v1 WHERE k NOT IN (59, 67)
+UNION ALL
+SELECT 'quarantine', CAST(event_id AS VARCHAR), NULL, NULL, false,
+       CASE WHEN k = 59 THEN 'message without an event type' ELSE 'invalid JSON' END
+FROM v1 WHERE k IN (59, 67)""",
+    "lake_files": _with(_MESSAGES)
+    + """SELECT count(*) AS total_rows, true AS has_files, true AS sizes_known, CAST(1 AS BIGINT) AS sizes_per_file,
+       count(*) AS loaded_rows, true AS last_files_are_last
+FROM m WHERE error IS NULL""",
+    "publish_frame": """SELECT
+  CASE WHEN event_type = 'error' THEN json_extract_string(props, '$.k') ELSE CAST(user_id AS VARCHAR) END AS key,
+  '{"event_id":"' || CAST(event_id AS VARCHAR) || '","event_type":"' || event_type
+    || '","event_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '","payload":{'
+    || CASE WHEN event_type = 'error' THEN '' ELSE '"customer_id":"' || CAST(user_id AS VARCHAR) || '",' END
+    || '"product_id":"' || json_extract_string(props, '$.k') || '"}}' AS value
+FROM events""",
+    "legacy_publish_frame": """SELECT event_type AS key,
+  '{"event_id":"' || CAST(event_id AS VARCHAR) || '","event_type":"' || event_type
+    || '","product_id":"' || json_extract_string(props, '$.k') || '"}' AS value
 FROM events""",
+    "date_spine_orders": """SELECT d.date_day, count(o_orderkey) AS n_orders
+FROM (SELECT CAST(unnest(generate_series(DATE '1996-01-01', DATE '1998-12-30', INTERVAL 1 DAY)) AS DATE) AS date_day) d
+LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d.date_day GROUP BY d.date_day""",
+    "catalog_refresh": _with(_STG_PRODUCTS.replace("FROM part\n  UNION ALL", "FROM part WHERE p_partkey % 10 <> 0\n  UNION ALL"))
+    + "SELECT * FROM stg_products",
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import date_spine_covering
+from ..functions.calendar import date_spine, date_spine_covering
 from ..operators import dedup, profiling, quality, routing
 from ..session import scratch_dir
 from . import build as gate
@@ -16,9 +16,13 @@ from . import marts
 from .inputs import Inputs
 from .reports import revenue_by_date_nation as _revenue
 from ..sources import testdata as td
+from ..sources.topic import publish_frame
+from ..streaming.legacy import legacy_publish_frame
 from .roundtrips import (
+    catalog_refresh_roundtrip,
     catalog_roundtrip,
     ingest_roundtrip,
+    lake_files_roundtrip,
     legacy_roundtrip,
     pipeline_roundtrip,
     raw_load_roundtrip,
@@ -61,6 +65,7 @@ def route_view(parsed: DataFrame) -> DataFrame:
         F.when(ok, F.col("event_id")).alias("event_id"),
         F.when(ok, F.col("event_type")).alias("event_type"),
         F.when(ok, F.col("event_timestamp")).alias("event_timestamp"),
+        F.when(ok, F.col("payload")).alias("payload"),
         F.when(~ok, F.make_valid_utf8(F.col("value").cast("string"))).alias("raw_value"),
     )
 
@@ -185,7 +190,45 @@ def q_topic_key_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lake_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.lake_files(spark, sf_dir)
+    return lake_files_roundtrip(spark, Inputs(spark, sf_dir).messages, scratch_dir(spark, "lake-files"))
+
+
+def q_publish_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes and keys for the topic from the ``events`` table."""
+    events = Inputs(spark, sf_dir).table("events")
+    k = F.get_json_object("props", "$.k")
+    payload = F.struct(
+        F.when(F.col("event_type") != "error", F.col("user_id").cast("string")).alias("customer_id"), k.alias("product_id")
+    )
+    stamped = events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        "event_type",
+        F.date_format("ts", td.ISO_TEXT).alias("event_timestamp"),
+        payload.alias("payload"),
+    )
+    return publish_frame(stamped)
+
+
+def q_legacy_publish_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat rows keyed by event type for the older topic (K9)."""
+    events = Inputs(spark, sf_dir).table("events")
+    flat = events.select(
+        F.col("event_id").cast("string").alias("event_id"), "event_type", F.get_json_object("props", "$.k").alias("product_id")
+    )
+    return legacy_publish_frame(flat)
+
+
+def q_date_spine_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fixed-range date spine (start inclusive, end exclusive) with the
+    number of orders of each day (S13)."""
+    orders = Inputs(spark, sf_dir).table("orders")
+    spine = date_spine(spark, "1996-01-01", "1998-12-31")
+    per_day = orders.groupBy(F.col("o_orderdate").cast("date").alias("date_day")).agg(F.count(F.lit(1)).alias("n"))
+    return spine.join(per_day, "date_day", "left").select("date_day", F.coalesce("n", F.lit(0)).cast("long").alias("n_orders"))
+
+
+def q_catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog_refresh_roundtrip(spark, Inputs(spark, sf_dir).table("part"), scratch_dir(spark, "catalog-refresh"))
 
 
 def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +250,7 @@ def q_legacy_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_staged_orders_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging_roundtrip(spark, Inputs(spark, sf_dir).messages, scratch_dir(spark, "stage"))
+    return staging_roundtrip(spark, Inputs(spark, sf_dir).lake_rows, scratch_dir(spark, "stage"))
 
 
 def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,6 +286,10 @@ QUERIES: dict[str, Query] = {
     "topic_key_summary": q_topic_key_summary,
     "topic_key_affinity": q_topic_key_affinity,
     "lake_files": q_lake_files,
+    "publish_frame": q_publish_frame,
+    "legacy_publish_frame": q_legacy_publish_frame,
+    "date_spine_orders": q_date_spine_orders,
+    "catalog_refresh": q_catalog_refresh,
     "ingest_roundtrip": q_ingest_roundtrip,
     "raw_load_roundtrip": q_raw_load_roundtrip,
     "catalog_snapshot": q_catalog_snapshot,

@@ -8,35 +8,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import profiling
 from ..sources import testdata as td
 from ..sources.catalogs import read_snapshots, write_snapshot, write_snapshots
 from ..sources.lake import read_dead_letters, read_lake
 from ..streaming.ingest import ingest
-from ..streaming.legacy import LEGACY_TABLES, legacy_ingest, legacy_load
-from ..streaming.load import load_raw
+from ..streaming.legacy import LEGACY_TABLES, RAW_JSON, TYPE_PARTITION, legacy_ingest, legacy_load, read_legacy_table
+from ..streaming.load import MAX_FILE_AGE, load_projection, load_raw
 from ..streaming.stage import stage_orders
 from . import staging
+from .catalog_state import refresh_latest
 from .pipeline import Layout, run_pipeline
 
 
+#: Micro-batches the staging job's raw files are staged in.
+STAGED_BATCHES = 3
+#: Messages of a file of the landed topic, and files of one micro-batch: they
+#: bound what a batch holds, however long the backlog is.
+MESSAGES_PER_FILE = 100_000
+FILES_PER_BATCH = 256
+
+
 def _land_topic(messages: DataFrame, root: str) -> str:
-    """Store messages as a broker log stand-in: one file per topic partition."""
+    """Store messages as a broker log stand-in; every input task writes its
+    own files."""
     path = f"{root}/topic"
-    messages.repartition(td.TOPIC_PARTITIONS, "partition").write.parquet(path)
+    messages.write.option("maxRecordsPerFile", MESSAGES_PER_FILE).parquet(path)
     return path
 
 
-def run_ingest(
-    spark: SparkSession, messages: DataFrame, root: str, files_per_batch: int | None = None
-) -> tuple[str, str]:
-    """Drain the landed topic through the streaming ingest; returns the lake
-    and dead-letter folders. ``files_per_batch`` caps a micro-batch (default:
-    everything available in one batch)."""
+def _topic_stream(spark: SparkSession, messages: DataFrame, root: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The landed messages as a stream of bounded micro-batches."""
     topic = _land_topic(messages, root)
-    reader = spark.readStream.schema(messages.schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = reader.parquet(topic)
+    reader = spark.readStream.schema(messages.schema).option("maxFileAge", MAX_FILE_AGE)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(topic)
+
+
+def run_ingest(spark: SparkSession, messages: DataFrame, root: str, files_per_batch: int = FILES_PER_BATCH) -> tuple[str, str]:
+    """Drain the landed topic through the streaming ingest in bounded
+    micro-batches; returns the lake and dead-letter folders."""
+    stream = _topic_stream(spark, messages, root, files_per_batch)
     lake, dead = f"{root}/lake", f"{root}/dead_letter"
     query = ingest(stream, lake, dead, f"{root}/_checkpoints/ingest", available_now=True)
     query.awaitTermination()
@@ -54,6 +65,7 @@ def ingest_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> Dat
         "event_id",
         "event_type",
         "event_timestamp",
+        "payload",
         F.lit(None).cast("string").alias("raw_value"),
     )
     bad = read_dead_letters(spark, dead).select(
@@ -64,6 +76,7 @@ def ingest_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> Dat
         F.lit(None).cast("string").alias("event_id"),
         F.lit(None).cast("string").alias("event_type"),
         F.lit(None).cast("string").alias("event_timestamp"),
+        F.lit(None).cast("string").alias("payload"),
         "raw_value",
     )
     return good.unionByName(bad)
@@ -84,8 +97,9 @@ def raw_load_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> D
         "event_timestamp",
         "kafka_partition",
         "kafka_offset",
-        F.variant_get("payload", "$.customer_id", "string").alias("customer_id"),
-        F.variant_get("payload", "$.product_id", "string").alias("product_id"),
+        F.try_variant_get("payload", "$.customer_id", "string").alias("customer_id"),
+        F.try_variant_get("payload", "$.product_id", "string").alias("product_id"),
+        F.regexp_extract(F.schema_of_variant("payload"), "^[A-Z]+", 0).alias("payload_type"),
         F.col("source_file").isNotNull().alias("has_source_file"),
     )
 
@@ -102,41 +116,105 @@ def catalog_roundtrip(spark: SparkSession, part: DataFrame, root: str) -> DataFr
 
 def legacy_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> DataFrame:
     """Per-type channel: ingest by key into type folders, load each folder
-    into its raw table twice (the second adds nothing), read the rows back."""
-    topic = _land_topic(messages, root)
-    stream = spark.readStream.schema(messages.schema).parquet(topic)
-    lake = f"{root}/lake"
-    legacy_ingest(stream, lake, f"{root}/_checkpoints/ingest", available_now=True).awaitTermination()
-    tables, checkpoints = f"{root}/raw", f"{root}/_checkpoints/load"
-    legacy_load(spark, lake, tables, checkpoints)
-    again = legacy_load(spark, lake, tables, checkpoints)
+    into its raw table twice (the second adds nothing), read the rows back;
+    with them the messages of types without a table, as they lie in the lake,
+    and the quarantined ones. One row per message."""
+    stream = _topic_stream(spark, messages, root)
+    lake, dead = f"{root}/lake", f"{root}/dead_letter"
+    legacy_ingest(stream, lake, dead, f"{root}/_checkpoints/ingest", available_now=True).awaitTermination()
+    tables, state = f"{root}/raw", f"{root}/_load"
+    legacy_load(spark, lake, tables, state)
+    again = legacy_load(spark, lake, tables, state)
     if any(again.values()):
         raise RuntimeError(f"second load appended rows: {again}; files must load once")
+    none = F.lit(None).cast("string")
     frames = [
-        spark.read.parquet(f"{tables}/{table}").select(
+        read_legacy_table(spark, tables, state, table).select(
             F.lit(table).alias("table_name"),
             F.variant_get("raw_data", "$.event_id", "string").alias("event_id"),
             F.variant_get("raw_data", "$.event_type", "string").alias("event_type"),
             F.variant_get("raw_data", "$.product_id", "string").alias("product_id"),
             F.col("loaded_at").isNotNull().alias("has_loaded_at"),
+            none.alias("error"),
         )
         for table in LEGACY_TABLES
     ]
+    parsed = F.parse_json(F.col(RAW_JSON))
+    other = spark.read.parquet(lake).filter(~F.col(TYPE_PARTITION).isin(list(LEGACY_TABLES.values())))
+    frames.append(
+        other.select(
+            F.lit("lake only").alias("table_name"),
+            F.variant_get(parsed, "$.event_id", "string").alias("event_id"),
+            F.col(TYPE_PARTITION).cast("string").alias("event_type"),
+            F.variant_get(parsed, "$.product_id", "string").alias("product_id"),
+            F.lit(False).alias("has_loaded_at"),
+            none.alias("error"),
+        )
+    )
+    frames.append(
+        read_dead_letters(spark, dead).select(
+            F.lit("quarantine").alias("table_name"),
+            F.col("offset").cast("string").alias("event_id"),
+            none.alias("event_type"),
+            none.alias("product_id"),
+            F.lit(False).alias("has_loaded_at"),
+            "error",
+        )
+    )
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def staging_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> DataFrame:
-    """Ingest, load, then stage orders incrementally one raw file per batch;
-    the staged table must equal the full rebuild. The ingest time is left
-    out (it is the wall clock of the run)."""
+def staging_roundtrip(spark: SparkSession, lake_rows: DataFrame, root: str) -> DataFrame:
+    """Store raw rows, then stage their orders incrementally in several
+    batches; the staged table must equal the full rebuild, although copies
+    of one event differ and lie in any batch. The raw files are dealt by the
+    message's offset, so copies of an event come in different files."""
+    raw, files = f"{root}/raw_events", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    load_projection(lake_rows, F.lit(None)).repartition(files, "kafka_offset").write.parquet(raw)
+    per_batch = max(files // STAGED_BATCHES, 1)
+    return stage_orders(spark, raw, f"{root}/stg_orders", f"{root}/_checkpoints/stage", max_files_per_trigger=per_batch)
+
+
+def catalog_refresh_roundtrip(spark: SparkSession, part: DataFrame, root: str) -> DataFrame:
+    """Incremental latest-per-product table over snapshots that arrive out of
+    order: the newer day is merged first, then the older one is backfilled,
+    then a refresh finds nothing new."""
+    snaps = td.product_snapshots(part)
+    for day in (td.CURRENT_SNAPSHOT, td.PREVIOUS_SNAPSHOT):
+        # the newer day lacks some products, which only the backfill brings
+        some = F.lit(True) if day == td.PREVIOUS_SNAPSHOT else F.col("product_id").cast("long") % 10 != 0
+        one_day = snaps.filter((F.col("snapshot_date") == F.lit(day)) & some).drop("snapshot_date")
+        write_snapshot(one_day, f"{root}/catalogs", "products", day)
+        refresh_latest(spark, f"{root}/catalogs", "products", f"{root}/latest", "product_id")
+    latest = refresh_latest(spark, f"{root}/catalogs", "products", f"{root}/latest", "product_id")
+    return staging.stg_products(latest)
+
+
+def lake_files_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> DataFrame:
+    """Ingest, then the lake's file report from the rows themselves: every
+    row knows its file (A9), the last files by path (O1), and the counts
+    after a load (A8), as facts that do not depend on how files are cut."""
     lake, _ = run_ingest(spark, messages, root)
-    raw = f"{root}/raw_events"
-    load_raw(spark, lake, raw, f"{root}/_checkpoints/load")
-    staged = stage_orders(spark, raw, f"{root}/stg_orders", f"{root}/_checkpoints/stage", max_files_per_trigger=1)
-    return staged.drop("ingested_at")
+    rows = read_lake(spark, lake).select("event_type", "_metadata.file_path", "_metadata.file_size")
+    per_file = profiling.rows_per_file(rows)
+    listed = profiling.lake_files(spark, lake)
+    last = [r["file_path"] for r in profiling.latest_files(listed).collect()]
+    same = listed.filter(F.col("file_path") >= min(last, default="")).count() == len(last)
+    loaded = load_raw(spark, lake, f"{root}/raw_events", f"{root}/_checkpoints/load")
+    facts = per_file.agg(
+        F.sum("n_rows").cast("long").alias("total_rows"),
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        (F.min("file_size") > 0).alias("sizes_known"),
+        F.max("n_sizes").cast("long").alias("sizes_per_file"),
+    ).first()
+    schema = (
+        "total_rows long, has_files boolean, sizes_known boolean, sizes_per_file long, "
+        "loaded_rows long, last_files_are_last boolean"
+    )
+    return spark.createDataFrame([(*facts, loaded, same)], schema)
 
 
 def pipeline_roundtrip(
@@ -148,7 +226,6 @@ def pipeline_roundtrip(
     layout = Layout(root)
     write_snapshots(products, layout.catalogs, "products")
     write_snapshots(customers, layout.catalogs, "customers")
-    topic = _land_topic(messages, root)
-    stream = spark.readStream.schema(messages.schema).parquet(topic)
+    stream = _topic_stream(spark, messages, root)
     result = run_pipeline(spark, stream, layout, calendar=None, fail_fast=False)
     return spark.createDataFrame(result.results, "check string, failures long")

@@ -52,13 +52,27 @@ def write_snapshots(df: DataFrame, root: str, name: str) -> None:
     )
 
 
+def read_export(spark: SparkSession, name: str, file: str) -> DataFrame:
+    """A catalog export (one JSON array), checked: a text that is cut short or
+    does not fit the schema raises, and so does an export without records or
+    with a record that has no id."""
+    schema = CATALOG_SCHEMAS[name]
+    df = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(file)
+    key = schema.fields[0].name
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("ids")).first()
+    if not seen["n"] or seen["n"] != seen["ids"]:
+        raise ValueError(f"{file}: {seen['n']} records, {seen['ids']} with a {key}")
+    return df
+
+
 def read_snapshots(spark: SparkSession, root: str, name: str, json_array: bool = False) -> DataFrame:
     """All snapshots of catalog ``name`` with their ``snapshot_date`` (DATE).
 
     ``json_array=True`` reads files holding one JSON array each (the
     producer's export format, one record per element); the default reads
     JSON lines as written by :func:`write_snapshot`. The schema is explicit,
-    so nothing is inferred and the date partition is typed.
+    so nothing is inferred and the date partition is typed. A broken record
+    raises rather than turning into NULLs.
     """
     schema = T.StructType(CATALOG_SCHEMAS[name].fields + [T.StructField("snapshot_date", T.DateType())])
-    return spark.read.schema(schema).option("multiLine", json_array).json(f"{root.rstrip('/')}/{name}")
+    return spark.read.schema(schema).options(multiLine=json_array, mode="FAILFAST").json(f"{root.rstrip('/')}/{name}")

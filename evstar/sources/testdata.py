@@ -29,14 +29,24 @@ TOMBSTONE_K = 79  # message value is NULL
 TRUNCATED_K = 97  # message cut after 40 characters -> invalid JSON
 ARRAY_K = 83  # message wrapped in a JSON array -> not an object
 NO_PAYLOAD_K = 89  # envelope without payload -> missing fields
-REDELIVERED_K = 42  # published twice, the copy at the next offset
+TRAILING_K = 71  # more text after the message -> invalid JSON
+REDELIVERED_K = 42  # published twice; the copy differs and may be ingested first
+NULL_ID_K = 61  # event id is JSON null
 GUEST_K = 13  # order by a guest: customer id unknown to the catalog
+NO_CUSTOMER_K = 17  # customer id is the empty text
+# Payloads of other than orders that are no objects.
+SCALAR_PAYLOADS = {23: '"hello"', 29: '"123"', 31: "42", 37: "[1, 2]", 41: "null", 43: '"null"'}
 CANCEL_EVERY = 20  # k divisible by this -> cancelled order
 TRUNCATE_AT = 40
 TOPIC_PARTITIONS = 3
 INGEST_DELAY_SECONDS = 30
+REDELIVERY_DELAY_SECONDS = 10  # of the copy, when it overtakes the first delivery
+LATE_DELIVERY_SECONDS = 90  # of the copy, when it does not
 CURRENT_SNAPSHOT = dt.date(2024, 1, 1)
 PREVIOUS_SNAPSHOT = dt.date(2023, 12, 1)
+CITIES = 50
+FIRST_SIGNUP = dt.date(2020, 1, 1)
+SIGNUP_DAYS = 1000
 
 ISO_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
@@ -57,6 +67,7 @@ def topic_messages(events: DataFrame) -> DataFrame:
     cid = (
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
         .when(is_order & (F.col("k") == GUEST_K), F.concat(F.lit("G"), F.col("user_id").cast("string")))
+        .when(F.col("k") == NO_CUSTOMER_K, F.lit(""))
         .otherwise(F.col("user_id").cast("string"))
     )
     qty = (F.col("k") % 3 + 1).cast("int")
@@ -94,9 +105,13 @@ def topic_messages(events: DataFrame) -> DataFrame:
     other_payload = F.when(
         F.col("cid").isNull(), F.concat(F.lit('{"product_id": '), _q(F.col("pid")), F.lit("}"))
     ).otherwise(F.concat(F.lit('{"customer_id": '), _q(F.col("cid")), F.lit(', "product_id": '), _q(F.col("pid")), F.lit("}")))
-    payload = F.when(F.col("etype") == "order", order_payload).otherwise(other_payload)
+    scalar = F.element_at(
+        F.create_map(*[F.lit(x) for kv in SCALAR_PAYLOADS.items() for x in kv]), F.col("k")
+    )
+    payload = F.when(F.col("etype") == "order", order_payload).otherwise(F.coalesce(scalar, other_payload))
+    event_id = F.when(F.col("k") == NULL_ID_K, F.lit("null")).otherwise(_q(F.col("event_id").cast("string")))
     head = F.concat(
-        F.lit('{"event_id": '), _q(F.col("event_id").cast("string")),
+        F.lit('{"event_id": '), event_id,
         F.lit(', "event_type": '), _q(F.col("etype")),
         F.lit(', "event_timestamp": '), _q(F.col("ts_text")),
     )
@@ -106,6 +121,7 @@ def topic_messages(events: DataFrame) -> DataFrame:
         .when(F.col("k") == TRUNCATED_K, F.substring(envelope, 1, TRUNCATE_AT))
         .when(F.col("k") == ARRAY_K, F.concat(F.lit("["), envelope, F.lit("]")))
         .when(F.col("k") == NO_PAYLOAD_K, F.concat(head, F.lit("}")))
+        .when(F.col("k") == TRAILING_K, F.concat(envelope, F.when(F.col("event_id") % 2 == 0, F.lit(" x")).otherwise(envelope)))
         .otherwise(envelope)
     )
     copies = F.when(F.col("k") == REDELIVERED_K, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -118,14 +134,16 @@ def topic_messages(events: DataFrame) -> DataFrame:
         "timestamp",
         "event_id",
         copies.alias("copies"),
-        F.inline(F.array(F.struct(text.cast("binary").alias("value")))),
+        F.inline(F.array(F.struct(text.alias("text")))),
     )
     delivered = generated.select(
-        "key", "value", "partition", "timestamp", "event_id", F.explode("copies").alias("copy")
+        "key", "text", "partition", "timestamp", "event_id", F.explode("copies").alias("copy")
     )
+    # The copy of a redelivered order has another status.
+    changed = F.replace(F.col("text"), F.lit('"completed"'), F.lit('"cancelled"'))
     return delivered.select(
         "key",
-        "value",
+        F.when(F.col("copy") == 1, changed).otherwise(F.col("text")).cast("binary").alias("value"),
         "partition",
         (F.col("event_id") * 2 + F.col("copy")).cast("long").alias("offset"),
         "timestamp",
@@ -133,12 +151,15 @@ def topic_messages(events: DataFrame) -> DataFrame:
 
 
 def lake_rows(messages: DataFrame) -> DataFrame:
-    """Valid messages as lake rows, stamped ``INGEST_DELAY_SECONDS`` after
-    the message time (a deterministic stand-in for the batch clock)."""
+    """Valid messages as lake rows, stamped some seconds after the message
+    time (a deterministic stand-in for the batch clock). A redelivered copy
+    (odd offset) is ingested before or after the first delivery, by its id."""
     parsed = parse_messages(messages)
-    good = parsed.filter(F.col("error").isNull()).withColumn(
-        "__at", F.col("timestamp") + F.expr(f"INTERVAL {INGEST_DELAY_SECONDS} SECONDS")
+    copy, overtakes = F.col("offset") % 2 == 1, F.col("offset") % 4 == 1
+    delay = (
+        F.when(copy & overtakes, REDELIVERY_DELAY_SECONDS).when(copy, LATE_DELIVERY_SECONDS).otherwise(INGEST_DELAY_SECONDS)
     )
+    good = parsed.filter(F.col("error").isNull()).withColumn("__at", F.col("timestamp") + F.make_dt_interval(secs=delay))
     return _stamped(good)
 
 
@@ -178,33 +199,43 @@ def product_snapshots(part: DataFrame) -> DataFrame:
 
 
 def customer_snapshots(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """One catalog snapshot of every customer, country from its nation."""
+    """Two catalog snapshots of every customer, country from its nation; in
+    the older one every customer lives in another city, and customers whose
+    number divides by 10 are only in that one."""
     joined = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
-    return joined.select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
+    number = F.col("c_custkey")
+    base = joined.select(
+        number.cast("string").alias("customer_id"),
         F.col("c_name").alias("full_name"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-        F.lit(None).cast("string").alias("city"),
+        F.concat(F.lit("City "), (number % CITIES).cast("string")).alias("city"),
         F.col("n_name").alias("country"),
-        F.lit(None).cast("date").alias("signup_date"),
-        F.lit(CURRENT_SNAPSHOT).alias("snapshot_date"),
+        F.date_add(F.lit(FIRST_SIGNUP), (number % SIGNUP_DAYS).cast("int")).alias("signup_date"),
+        F.explode(F.when(number % 10 == 0, F.array(F.lit(PREVIOUS_SNAPSHOT))).otherwise(F.array(F.lit(PREVIOUS_SNAPSHOT), F.lit(CURRENT_SNAPSHOT)))).alias("snapshot_date"),
     )
+    older = F.col("snapshot_date") == F.lit(PREVIOUS_SNAPSHOT)
+    return base.withColumn("city", F.when(older, F.concat(F.lit("Old "), F.col("city"))).otherwise(F.col("city")))
 
 
 # Stand-in rules for the older per-type channel: event type -> v1 type.
 LEGACY_TYPE_OF = {"view": "page_view", "click": "page_view", "purchase": "purchase"}
 LEGACY_OTHER_TYPE = "inventory_update"
+LEGACY_REFUND_K = 53  # purchases of this product come under a type no table is loaded from
+LEGACY_NO_KEY_K = 59  # message without a key
+LEGACY_BROKEN_K = 67  # value cut short
 
 
 def legacy_messages(events: DataFrame) -> DataFrame:
     """v1-shaped messages (key = v1 event type, flat JSON value) from every
     ``events`` row: views and clicks are page views, purchases purchases,
-    everything else an inventory update."""
+    everything else an inventory update; some have an unknown type, no key,
+    or a value that is not JSON."""
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    v1_type = F.coalesce(
+    known_type = F.coalesce(
         F.element_at(F.create_map(*[F.lit(x) for kv in LEGACY_TYPE_OF.items() for x in kv]), F.col("event_type")),
         F.lit(LEGACY_OTHER_TYPE),
     )
+    v1_type = F.when((known_type == "purchase") & (k == LEGACY_REFUND_K), F.lit("refund")).otherwise(known_type)
     e = ensure_parallelism(events).select(
         F.col("event_id").cast("string").alias("event_id"),
         v1_type.alias("event_type"),
@@ -213,18 +244,20 @@ def legacy_messages(events: DataFrame) -> DataFrame:
         k.cast("string").alias("product_id"),
         (k % 3 + 1).cast("int").alias("quantity"),
         F.col("user_id").alias("user_id"),
+        k.alias("k"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
     record = F.when(
         F.col("event_type") == "inventory_update",
         F.struct("event_id", "event_type", "event_timestamp", "product_id", (-F.col("quantity")).alias("quantity_change")),
     )
-    flat = F.when(F.col("event_type") == "purchase", F.to_json(F.struct("event_id", "event_type", "event_timestamp", "customer_id", "product_id", "quantity"))).when(
+    flat = F.when(F.col("event_type").isin("purchase", "refund"), F.to_json(F.struct("event_id", "event_type", "event_timestamp", "customer_id", "product_id", "quantity"))).when(
         F.col("event_type") == "page_view", F.to_json(F.struct("event_id", "event_type", "event_timestamp", "customer_id", "product_id"))
     ).otherwise(F.to_json(record))
+    text = F.when(F.col("k") == LEGACY_BROKEN_K, F.substring(flat, 1, TRUNCATE_AT)).otherwise(flat)
     return e.select(
-        F.col("event_type").alias("key"),
-        flat.cast("binary").alias("value"),
+        F.when(F.col("k") == LEGACY_NO_KEY_K, F.lit(None).cast("string")).otherwise(F.col("event_type")).alias("key"),
+        text.cast("binary").alias("value"),
         (F.col("user_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         F.col("event_id").cast("long").alias("offset"),
         "timestamp",
