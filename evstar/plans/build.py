@@ -132,12 +132,19 @@ def _row_violation(check: Check) -> Column:
     return q.total_violation()
 
 
+def _named_counts(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """``(check, failures)`` rows from one row of columns ``c0, c1, ...``."""
+    pairs = [F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> DataFrame:
     """``(check, failures)`` for many checks as one DataFrame (one job).
 
     The row-level checks of a model (not-null, range, total tolerance) are
-    counted together in one aggregate pass over it; each grouped check
-    (unique, accepted values, relationships) is its own branch.
+    counted together in one aggregate pass over it, and so are its unique
+    checks, over one exchange of (check, value) pairs; each other grouped
+    check (accepted values, relationships) is its own branch.
     """
     checks = list(checks)
     frames: list[DataFrame] = []
@@ -147,19 +154,16 @@ def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> Dat
             counts = models[model].agg(
                 *[F.count_if(_row_violation(c)).cast("long").alias(f"c{i}") for i, c in enumerate(row_level)]
             )
-            frames.append(
-                counts.select(
-                    F.inline(
-                        F.array(
-                            *[
-                                F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failures"))
-                                for i, c in enumerate(row_level)
-                            ]
-                        )
-                    )
-                )
+            frames.append(_named_counts(counts, row_level))
+        unique = [c for c in checks if c.model == model and c.test == "unique"]
+        if unique:
+            values = models[model].select(
+                F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c.column).cast("string").alias("v")) for i, c in enumerate(unique)]))
             )
-    frames += [run_check(c, models).failures_frame() for c in checks if c.test not in _ROW_LEVEL]
+            repeated = values.filter("v is not null").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            counts = repeated.agg(*[F.count_if(F.col("i") == i).cast("long").alias(f"c{i}") for i in range(len(unique))])
+            frames.append(_named_counts(counts, unique))
+    frames += [run_check(c, models).failures_frame() for c in checks if c.test not in _ROW_LEVEL | {"unique"}]
     # Same two columns everywhere: union by position, pairwise, so each
     # step analyses a small plan instead of an ever longer chain.
     while len(frames) > 1:
@@ -168,7 +172,8 @@ def failures_frame(checks: Iterable[Check], models: dict[str, DataFrame]) -> Dat
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as a Parquet table at ``path`` and return a scan of it: later jobs read stored columns, with pruning and filter
+    """Write ``df`` as a Parquet table at ``path`` and return a scan of it:
+    later jobs read stored columns, with pruning and filter
     pushdown, and never recompute the lineage after a lost executor."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
