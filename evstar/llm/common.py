@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
-#: Rows turned into Python objects at a time inside a task.
+#: Rows, and bytes of text beyond a first row, that a task turns into Python
+#: objects at a time.
 ROWS_AT_A_TIME = 256
+BYTES_AT_A_TIME = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +32,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str]]]:
-    """``(first row, texts)`` over a batch, a bounded number of rows at a
-    time; null texts come as empty strings."""
+    """``(first row, texts)`` over a batch, a bounded number of rows and bytes
+    at a time; null texts come as empty strings."""
     values = batch.column(batch.schema.get_field_index(column))
-    for start in range(0, batch.num_rows, ROWS_AT_A_TIME):
-        yield start, [t or "" for t in values.slice(start, ROWS_AT_A_TIME).to_pylist()]
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + BYTES_AT_A_TIME, "right"))
+        stop = min(max(stop, start + 1), start + ROWS_AT_A_TIME, batch.num_rows)
+        yield start, [t or "" for t in values.slice(start, stop - start).to_pylist()]
+        start = stop
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -43,11 +54,3 @@ def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id's decimal text is divisible by 5 (a null
     id counts as the empty text, whose crc32 is 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
-
-
-def with_results(docs: DataFrame, **results: Column) -> DataFrame:
-    """``docs`` with result columns added; a result replaces an input column
-    of the same name in either case."""
-    taken = {name.lower() for name in results}
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
-    return docs.select(*kept, *[col.alias(name) for name, col in results.items()])

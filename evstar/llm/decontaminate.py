@@ -10,7 +10,6 @@ Documents are never shuffled.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -234,7 +233,3 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
             yield batch.set_column(position, "text", pa.array(cut, pa.string()))
 
     return found.mapInArrow(run, schema).drop("decon_found")
-
-
-def items_digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

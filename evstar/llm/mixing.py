@@ -10,8 +10,6 @@ globally by a hash.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,14 +92,3 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     copies = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
     key = F.md5(F.concat_ws(":", F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed), F.col("copy_no")))
     return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
-
-
-def poisson_quantile(mean: float, u: float) -> int:
-    """Smallest k whose cumulative probability exceeds ``u`` (for tests)."""
-    k, p = 0, math.exp(-mean)
-    c = p
-    while c <= u:
-        k += 1
-        p *= mean / k
-        c += p
-    return k

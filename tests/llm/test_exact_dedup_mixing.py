@@ -8,11 +8,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from evstar.llm.exact_dedup import ascii_lower, exact_dedup
-from evstar.llm.mixing import hash_uniform, mix_sources, mixing_rates, poisson_quantile
+from evstar.llm.mixing import hash_uniform, mix_sources, mixing_rates
 
 DOCS = "doc_id long, text string, source string, digest string, salt int, copy_no int, mix_cdf string"
 
 
+def poisson_quantile(mean, u):
+    """Smallest k whose cumulative probability exceeds ``u``."""
+    k, p = 0, math.exp(-mean)
+    c = p
+    while c <= u:
+        k += 1
+        p *= mean / k
+        c += p
+    return k
+
+
 def make(spark, rows):
     return spark.createDataFrame([(i, t, s, "x", 7, 9, "c") for i, t, s in rows], DOCS)
 
