@@ -26,6 +26,17 @@ CACHED_PIECES = 800_000
 
 #: Signs that, after letters and before white space, are one token run.
 _SIGNS = ".,;:!?&%$#*)"
+
+
+def _byte_characters() -> dict[int, str]:
+    """How byte-level tokenizers show bytes: visible Latin-1 characters as
+    they are, the others from code point 256 on, in byte order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
 _encoders: dict[str, Encoder] = {}
 
 
@@ -50,14 +61,14 @@ class Encoder:
         self.plain: dict[str, bytes] = {}
         self.newline = self._ids("\n")
 
-    def _packed(self, encoding) -> bytes:
-        ids = array(self.code, encoding.ids)
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
         if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+            packed.byteswap()
+        return packed.tobytes()
 
     def _ids(self, text: str) -> bytes:
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False))
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _learn(self, known: dict[str, bytes], words: set[str], prefix: str) -> None:
         """Add the ids of words without white space."""
@@ -71,9 +82,13 @@ class Encoder:
                         whole.add(base)
                 else:
                     whole.add(w)
-        new = list(whole)
-        encoded = self.tokenizer.encode_batch_fast([prefix + w for w in new], add_special_tokens=False)
-        known.update(zip(new, map(self._packed, encoded)))
+        model, table = self.tokenizer.model, _BYTE_CHARACTERS
+        for w in whole:
+            if w.isalpha():  # one pre-token: straight to the merges
+                shown = (prefix + w).encode().decode("latin-1").translate(table)
+                known[w] = self._bytes([t.id for t in model.tokenize(shown)])
+            else:
+                known[w] = self._ids(prefix + w)
         for w, base in ended:
             signs = w[len(base) :]
             if signs not in self.plain:
