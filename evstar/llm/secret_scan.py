@@ -46,18 +46,28 @@ PLACEHOLDER = re.compile(
     re.IGNORECASE,
 )
 
+#: White space that ends no line, beyond ASCII too.
+_BLANK = r" \t\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
 _TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
+    r"""(?P<quote>\"""|'''|["`]|(?<![A-Za-z0-9_\xc0-\u1fff])')"""
     r"""|(?P<compare>[=!<>]=|===|::|:/)"""
     r"""|(?P<op>:=|=>|=|:)"""
     r"""|(?P<name>[A-Za-z_][\w-]*(?:\.[A-Za-z_][\w-]*)*)"""
     r"""|(?P<plus>\+)"""
-    r"""|(?P<space>[ \t]+)"""
-    r"""|(?P<end>[\n;,(){}\[\]])"""
-    r"""|(?P<bare>[^\s"'`;,(){}\[\]=:+]+)""",
+    rf"""|(?P<space>[{_BLANK}]+)"""
+    r"""|(?P<end>[\n\r;,(){}\[\]'])"""
+    rf"""|(?P<bare>[^\n\r{_BLANK}"'`;,(){{}}\[\]=:+]+)""",
     re.ASCII,
 )
-_VALUE = re.compile(r"""[^\s"'`;,(){}\[\]]+""")
+#: What may follow a quote up to the one that closes it, on its line.
+_BODY = {
+    '"': re.compile(r'(?:[^"\\\n\r]++|\\[^\n\r])*+'),
+    "'": re.compile(r"(?:[^'\\\n\r]++|\\[^\n\r])*+"),
+    "`": re.compile(r"[^`\n\r]*+"),
+    '"""': re.compile(r'(?:[^"\\\n\r]++|\\[^\n\r]|"(?!""))*+'),
+    "'''": re.compile(r"(?:[^'\\\n\r]++|\\[^\n\r]|'(?!''))*+"),
+}
+_VALUE = re.compile(rf"""[^\n\r{_BLANK}"'`;,(){{}}\[\]]+""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -85,21 +95,35 @@ Literal = tuple[int, int]  # start and end of a literal's content
 
 
 def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """``(target name, literals that reach it)`` in text order."""
+    """``(target name, literals that reach it)`` in text order.
+
+    A quote that its line does not close, or inside a word (``don't``),
+    stands alone: what follows, and the lines of a longer string, are read
+    like any other text.
+    """
     constants: dict[str, list[Literal]] = {}
     target = left = None  # the name being assigned; the last name seen
     value: list[Literal] = []
     want = False  # an operand may follow
+    unclosed: dict[str, int] = {}  # up to where a quote is known not to be closed
     at = 0
     while m := _TOKEN.match(text, at):
-        kind, at = m.lastgroup, m.end()
+        kind, at, content = m.lastgroup, m.end(), None
         if kind == "space":
             continue
+        if kind == "quote":
+            mark = m.group()
+            if at > unclosed.get(mark, 0):
+                stop = _BODY[mark].match(text, at).end()
+                if text.startswith(mark, stop):
+                    kind, content, at = "string", (at, stop), stop + len(mark)
+                else:
+                    unclosed[mark] = stop
         if kind == "op" and left and not value:
             target, left, want = left, None, True
         elif target and want and kind in ("name", "bare", "string"):
-            if kind == "string":
-                value.append((m.start() + 1, m.end() - 1))
+            if content:
+                value.append(content)
             else:
                 word = _VALUE.match(text, m.start())
                 if kind == "name" and m.group() in constants and word.end() == m.end():
@@ -119,7 +143,7 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
                 yield target, value
                 constants[target] = value
             target, value, want = None, [], False
-            left = m.group().strip("\"'`") if kind in ("name", "string") else None
+            left = text[slice(*content)] if content else m.group() if kind == "name" else None
     if target and value:
         yield target, value
 

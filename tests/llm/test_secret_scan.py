@@ -100,3 +100,29 @@ def test_awkward_rows(spark):
     got = {(r["doc_id"], r["spans"], r["n_assign"]) for r in find_secrets(docs).collect()}
     assert got == {(1, "", 0), (2, "", 0), (None, "assign:0:14", 1), (3, "assign:3:17", 1)}
     assert find_secrets(docs).count() == 5 and find_secrets(docs.limit(0)).count() == 0
+
+
+SECRET = 'client_pwd = "Zx9$kLm2!qPw"'
+
+
+@pytest.mark.parametrize(
+    "before",
+    ["don't ", "it's what users' lists don't say: ", "x = 'open\n", "say `so\n", 'q = "two\nlines"\n', "t = `two\nlines`\n",
+     'def f():\n    """Doc of f.\n\n    It\'s long.\n    """\n', "'\'\'Doc.\n'\'\'\n", "a = 1\r\nb = 2\r\n", "page\f", "a\v", "\ufeff", "a\xa0",
+     'x = """one line""" \n'],
+)
+def test_lexer_reads_on_after(before):
+    text = f"{before}{SECRET}\r\nend"
+    assert [text[s:e] for s, kind, e in scan(text) if kind == "literal"] == ["Zx9$kLm2!qPw"]
+    assert "Zx9$" not in redact(text)
+
+
+def test_secrets_inside_text_over_several_lines():
+    for mark in ('"""', "'''", "`"):
+        text = f"x = {mark}\n{SECRET}\n{mark}\n{SECRET}"
+        assert sum(kind == "literal" for _, kind, _ in scan(text)) == 2
+
+
+def test_lexer_takes_linear_time_over_unclosed_quotes():
+    for piece in ('\\"', '\\"""', "\\'", " '", "x=\\\"", '"\n'):
+        scan("a=1 " + piece * 100_000)
