@@ -4,7 +4,9 @@ The lexer reads source and configuration syntax (``name = "x"``,
 ``"name": "x"``, ``NAME=x``, ``name := 'x'``, ``call(name="x")``) as pairs of
 a target name and an expression of literals and names. Names bound to
 literals are constants: they are followed through later assignments and
-through ``+``, so a literal is scored by every name it reaches. The score is
+through ``+``, so a literal is scored by every name it reaches. Targets may
+have sigils (``$name``), pointers (``*name``, ``a->name``), subscripts
+(``a["name"]``, ``name[]``) and types (``name: T = "x"``). The score is
 the weight of the most sensitive part of the target name times how much the
 literal looks like a secret.
 """
@@ -40,6 +42,12 @@ SENSITIVE = {
 }
 #: Words that make a following ``key`` sensitive.
 KEY_OWNERS = {"api", "private", "access", "encryption", "signing", "master", "auth", "client", "secret", "session", "ssh"}
+#: The same inside a name without breaks between its words.
+INSIDE = re.compile(
+    rf"passw(?:or)?d|passphrase|passcode|pwd|credential|(?:{'|'.join(sorted(KEY_OWNERS))})key|secret(?!ar|i|e|ly)|token(?!i[sz]|s$)"
+)
+#: Words that end in ``pass`` and name no password.
+OTHER_PASS = {"compass", "encompass", "bypass", "trespass", "surpass", "overpass", "underpass"}
 #: Literals that stand for a value that is not there.
 PLACEHOLDER = re.compile(
     r"(?:change_?me|placeholder|redacted|example|sample|dummy|none|null|nil|true|false|undefined|todo|your[\w-]*|[x*.#-]+|<.*>|\$\{.*\}|\{\{.*\}\}|%\w+%)",
@@ -49,16 +57,24 @@ PLACEHOLDER = re.compile(
 #: White space that ends no line, beyond ASCII too.
 _BLANK = r" \t\f\v\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
 _TOKEN = re.compile(
-    r"""(?P<quote>\"""|'''|["`]|(?<![A-Za-z0-9_\xc0-\u1fff])')"""
+    r"""(?P<quote>\"""|'''|["`]|(?<![A-Za-z0-9_\xc0-\u1fff])'|(?<=\b[bBrRuUfFLNE])')"""
     r"""|(?P<compare>[=!<>]=|===|::|:/)"""
     r"""|(?P<op>:=|=>|=|:)"""
-    r"""|(?P<name>[A-Za-z_][\w-]*(?:\.[A-Za-z_][\w-]*)*)"""
+    r"""|(?P<name>(?:\??\.|->)?[$@%&*]*+[A-Za-z_](?:\w|-(?!>))*(?:(?:\??\.|->)\$?[A-Za-z_](?:\w|-(?!>))*)*)"""
     r"""|(?P<plus>\+)"""
     rf"""|(?P<space>[{_BLANK}]+)"""
     r"""|(?P<end>[\n\r;,(){}\[\]'])"""
     rf"""|(?P<bare>[^\n\r{_BLANK}"'`;,(){{}}\[\]=:+]+)""",
     re.ASCII,
 )
+#: After a name and a colon: its type, and the sign that assigns.
+_TYPE = re.compile(
+    rf"""[{_BLANK}]*+[&*?]*+(?:'\w++[{_BLANK}]++)?(?:mut[{_BLANK}]++)?(?P<type>[A-Za-z_](?:[\w.]|::)*+)(?:[{_BLANK}]*+[\[<](?:[^\n\r=:;(){{}}"'`]|::)*+)?"""
+    rf"""[?!]?(?:[{_BLANK}]*+\|[{_BLANK}]*+[A-Za-z_][\w.]*+(?:\[\])?)*+[{_BLANK}]*+=(?![=>])""",
+    re.ASCII,
+)
+#: A type that stands between a name and the sign that assigns.
+TYPE_AFTER = "string"
 #: What may follow a quote up to the one that closes it, on its line.
 _BODY = {
     '"': re.compile(r'(?:[^"\\\n\r]++|\\[^\n\r])*+'),
@@ -75,6 +91,10 @@ def name_weight(name: str) -> float:
     """How sensitive a target name is, by its words (any case style)."""
     words = [w.lower() for w in _PARTS.findall(name)]
     weight = max((SENSITIVE.get(w, 0.0) for w in words), default=0.0)
+    if any(INSIDE.search(w) for w in words):
+        weight = 1.0
+    elif any(w.endswith("pass") and w not in OTHER_PASS for w in words):
+        weight = max(weight, SENSITIVE["pass"])
     for a, b in zip(words, words[1:]):
         if (b == "key" and a in KEY_OWNERS) or (a, b) == ("pass", "word"):
             weight = 1.0
@@ -91,6 +111,10 @@ def literal_weight(value: str) -> float:
     return min(1.0, bits / 15)
 
 
+SIGILS, QUOTES = "$@%&*", ("'", '"')
+#: Letters that may stand right before a string.
+PREFIXES = {*"bBrRuUfFLNE", "br", "rb", "Rb", "bR", "fr", "rf", "BR", "RB", "u8"}
+
 Literal = tuple[int, int]  # start and end of a literal's content
 
 
@@ -102,7 +126,9 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
     like any other text.
     """
     constants: dict[str, list[Literal]] = {}
-    target = left = None  # the name being assigned; the last name seen
+    targets: list[str] = []  # the names being assigned
+    left = before = None  # the last name seen, and a name right before it
+    owners: list[str | None] = []  # the names that open brackets belong to
     value: list[Literal] = []
     want = False  # an operand may follow
     unclosed: dict[str, int] = {}  # up to where a quote is known not to be closed
@@ -120,32 +146,51 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
                 else:
                     unclosed[mark] = stop
         if kind == "op" and left and not value:
-            target, left, want = left, None, True
-        elif target and want and kind in ("name", "bare", "string"):
+            targets += [before, left] if before and left == TYPE_AFTER else [left]
+            left, want = None, True
+            if m.group() == ":" and (typed := _TYPE.match(text, at)):
+                targets.append(typed["type"])  # or a name assigned in a value
+                at = typed.end()
+        elif targets and want and kind in ("name", "bare", "string"):
             if content:
                 value.append(content)
             else:
                 word = _VALUE.match(text, m.start())
-                if kind == "name" and m.group() in constants and word.end() == m.end():
-                    value += constants[m.group()]
-                elif kind == "name" and re.match(r"[ \t]*(?:=(?!=)|:=|\()", text[m.end() : m.end() + 8]) and word.end() == m.end():
-                    target, left = None, m.group()  # a chained target, or a call
+                name = m.group().lstrip(SIGILS)
+                if kind == "name" and word.end() == m.end() and text[at : at + 1] in QUOTES and name in PREFIXES:
+                    continue  # of a string
+                if kind == "name" and name in constants and word.end() == m.end():
+                    value += constants[name]
+                elif kind == "name" and word.end() == m.end() and (after := re.match(r"[ \t]*(?:=(?!=)|:=|\()", text[m.end() : m.end() + 8])):
+                    left = name  # a chained target, or a call
+                    if after.group().endswith("("):
+                        targets = []
                     want = False
                     continue
                 else:  # an unquoted value runs to the next white space or bracket
                     at = word.end()
                     value.append((m.start(), at))
             want = False
-        elif target and kind == "plus" and value:
+        elif targets and kind == "plus" and value:
             want = True
         else:
-            if target and value:
-                yield target, value
-                constants[target] = value
-            target, value, want = None, [], False
-            left = text[slice(*content)] if content else m.group() if kind == "name" else None
-    if target and value:
-        yield target, value
+            if value:
+                for target in dict.fromkeys(targets):
+                    yield target, value
+                    constants[target] = value
+            last, targets, value, want, before = left, [], [], False, None
+            left = text[slice(*content)] if content else None
+            if kind == "name":
+                left, before = m.group().lstrip(SIGILS + "?.->"), last
+            elif m.group() == "[":
+                owners.append(last)
+            elif m.group() == "]" and owners:
+                left = ".".join(n for n in (owners.pop(), last) if n)
+            elif kind == "end" and m.group() in "\n\r;":
+                owners.clear()
+    if value:
+        for target in dict.fromkeys(targets):
+            yield target, value
 
 
 def literal_spans(text: str) -> list[Literal]:

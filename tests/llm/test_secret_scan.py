@@ -126,3 +126,30 @@ def test_secrets_inside_text_over_several_lines():
 def test_lexer_takes_linear_time_over_unclosed_quotes():
     for piece in ('\\"', '\\"""', "\\'", " '", "x=\\\"", '"\n'):
         scan("a=1 " + piece * 100_000)
+
+
+@pytest.mark.parametrize(
+    "form",
+    ["$db_pwd = {}", "my $db_pwd = {};", "$this->db_pwd = {};", "char *db_pwd = {};", "const char **db_pwd = {};", "cfg->db_pwd = {};", "char db_pwd[] = {};",
+     'config["db_pwd"] = {}', "os.environ['DB_PWD'] = {}", '$config["db"]["db_pwd"] = {};', "x[0].db_pwd = {}", 't = {{["db_pwd"] = {}}}',
+     "db_pwd: str = {}", "dbPwd: string = {}", "dbPwd: string | null = {}", "db_pwd: Optional[str] = {}", "db_pwd: Final[Dict[str, str]] = {}",
+     "let db_pwd: &str = {};", "static DB_PWD: &'static str = {};", "val dbPwd: String? = {}", "var dbPwd string = {}",
+     "db_pwd = tmp = {}", "tmp = db_pwd = {}", "command: DB_PWD={}", "db_pwd = b{}", "k: str = {}\ndb_pwd = k", "$k = {}\n$db_pwd = $k",
+     "PGPASSWORD={}", "dbpassword = {}", "authtoken = {}", "secretkey = {}", "mysqlpwd: {}", "ftppass = {}", "masterkey = {}"],
+)
+def test_forms_of_assignment(form):
+    for value in ("Zx9$kLm2!qPw", "a$b!K9dLm2qP"):
+        for quote in "\"'":
+            if "'static" not in form or quote == '"':
+                text = form.format(quote + value + quote)
+                assert [text[s:e] for s, kind, e in scan(text) if kind == "literal"] == [value], text
+
+
+@pytest.mark.parametrize("name", ["tokenizer", "max_tokens", "secretary", "encompass", "bypass", "monkey", "config", "str"])
+def test_names_without_weight(name):
+    assert name_weight(name) == 0.0
+
+
+def test_types_take_linear_time():
+    for piece in ("a: b[", "a:b", "a: b | ", "a::b", "*", "x["):
+        scan("a=1 " + piece * 100_000)
