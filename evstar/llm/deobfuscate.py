@@ -1,8 +1,8 @@
 """Noisy-channel restoration of disguised words.
 
 A disguised token (``1d10t``, ``stuuupid``, ``l o s e r``) is a lattice: each
-character may stand for itself or for the letters it imitates, a repeat may
-be dropped, and a separator between single letters may be dropped. Viterbi
+character may stand for itself or for the letters it imitates, a repeat (of
+an imitation too) may be dropped, and a separator between single letters may be dropped. Viterbi
 decoding finds the path with the least channel cost plus code length under a
 character trigram model of the corpus.
 """
@@ -23,11 +23,18 @@ SYMBOLS = 28  # space, a to z, any other letter
 LETTERS = 27
 
 _FAKE = "".join(re.escape(c) for c in IMITATES)
-#: A token with an imitation next to letters, or a letter three times running.
-DISGUISED = re.compile(rf"[^\W\d_][{_FAKE}]+[^\W\d_]|^[{_FAKE}]+[^\W\d_][^\W\d_]|[^\W\d_]{{2}}[{_FAKE}]{{1,2}}$|([^\W\d_])\1\1")
-SPACED = re.compile(rf"(?<!\S)(?:[^\W\d_]|[{_FAKE}])(?:[ .\-_*](?:[^\W\d_]|[{_FAKE}])){{2,}}(?!\S)")
-_RUN = re.compile(r"[^\W\d_]+")
+_SEPARATORS = " \t\xa0.-_*"
+_SEP = "[" + re.escape(_SEPARATORS) + "]+"
+#: A token with an imitation, a letter twice running, or separators between
+#: three letters or more.
+DISGUISED = re.compile(rf"[{_FAKE}]|([^\W\d_])\1|(?:[^\W\d_]{_SEP}[^\W\d_]{{2}}|[^\W\d_]{{2}}{_SEP}[^\W\d_]|[^\W\d_]{_SEP}[^\W\d_]{_SEP}[^\W\d_])")
 _EDGE = ".,;:?\"'*#%&"
+_AFTER = re.escape(_EDGE + "!)]}…")
+SPACED = re.compile(
+    rf"(?:(?<!\S)|(?<=\s[\"'\[])|(?<=^[\"'\[]))(?:[^\W\d_]|[{_FAKE}])(?:{_SEP}(?:[^\W\d_]|[{_FAKE}])){{2,}}(?=[{_AFTER}]*(?:\s|\Z))"
+)
+_LETTER = re.compile(r"[^\W\d_]")
+_RUN = re.compile(r"[^\W\d_]+")
 
 
 def _symbol_table() -> np.ndarray:
@@ -73,14 +80,16 @@ class Restorer:
 
     def _steps(self, text: str, k: int) -> list[tuple[str, float]]:
         """What character ``k`` may emit, with the channel's cost."""
-        c = text[k]
+        c, last = text[k], text[k - 1] if k else ""
         if c.isalpha():
             out = [(c, 0.0)]
-            if k and text[k - 1] == c:
+            if last and (last == c or c in IMITATES.get(last, "")):
                 out.append(("", REPEATED))
             return out
         out = [(letter, SUBSTITUTED) for letter in IMITATES.get(c, "")]
-        if c in " .-_*":
+        if out and last and (last == c or last in IMITATES[c]):
+            out.append(("", REPEATED))
+        if c in _SEPARATORS:
             out.append(("", SPLIT))
         out.append((" ", KEPT if out else 0.0))
         return out
@@ -118,7 +127,8 @@ class Restorer:
     def words(self, token: str) -> set[str]:
         """The words of a token as written and as restored."""
         found = set(_RUN.findall(token))
-        core = token.rstrip(_EDGE + "!").lstrip(_EDGE)  # without punctuation at the ends
-        if DISGUISED.search(core) or SPACED.fullmatch(token):
-            found.update(_RUN.findall(self.restore(core)))
+        core = token.rstrip(_EDGE + "!)]}…").lstrip(_EDGE + "[{")  # without punctuation at the ends
+        if _LETTER.search(core) and DISGUISED.search(core):
+            for shown in {core, core.lstrip("(")}:  # a bracket or an imitation
+                found.update(_RUN.findall(self.restore(shown)))
         return found

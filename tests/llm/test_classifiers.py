@@ -225,3 +225,20 @@ def test_trigram_counts_of_the_corpus():
     counts = trigram_counts(["Ab é", "b"]).reshape(SYMBOLS, SYMBOLS, SYMBOLS)
     assert counts[0, 1, 2] == 1 and counts[2, 0, 27] == 1 and counts[0, 2, 0] == 1
     assert counts.sum() == len(" ab é b ") - 2
+
+
+@pytest.mark.parametrize(
+    "shown,word",
+    [("1d107", "idiot"), ("l0$3r", "loser"), ("7r45h", "trash"), ("5+up1d", "stupid"), ("i-d-i-o-t,", "idiot"), ("s.t.u.p.i.d.", "stupid"),
+     ("l  o  s  e  r", "loser"), ("id-iot", "idiot"), ("stuupid", "stupid"), ("l000ser", "loser"), ("lo0ser", "loser"), ("(m00ron)", "moron")],
+)
+def test_more_disguises_are_restored(restorer, shown, word):
+    assert word in restorer.words(shown)
+
+
+@pytest.mark.parametrize(
+    "text,word",
+    [("you l o s e r.", "loser"), ("so s t u p i d, yes", "stupid"), ('"t r a s h!"', "trash"), ("m  o  r  o  n", "moron"), ("l.o.s.e.r.", "loser"), ("say 1d107!", "idiot")],
+)
+def test_disguises_are_found_in_texts(restorer, text, word):
+    assert word in {w for t in toxicity.tokens_of(text) for w in restorer.words(t)}
