@@ -12,7 +12,7 @@ from evstar.llm import quality
 from evstar.llm.common import stored, table
 from evstar.llm.decontaminate import remove_documents
 from evstar.llm.mixing import mix_sources
-from evstar.llm.simhash import RADIUS, SHINGLE_WORDS, keep_one, simhash_groups
+from evstar.llm.simhash import RADIUS, SHINGLE_WORDS, keep_one_row
 from evstar.llm.token_store import token_output
 
 
@@ -23,8 +23,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest ``doc_id`` of each group of linked fingerprints."""
-    return keep_one(docs, simhash_groups(docs, SHINGLE_WORDS, RADIUS))
+    """Keeps one row of each group of linked fingerprints, with its smallest
+    ``doc_id``."""
+    return keep_one_row(docs, SHINGLE_WORDS, RADIUS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

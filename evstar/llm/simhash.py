@@ -227,3 +227,17 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     named = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     ids = named.select(F.col("doc_id").alias("named_id")).distinct()
     return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["named_id"]), "left_semi")
+
+
+def keep_one_row(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, unchanged: one with its smallest ``doc_id``
+    (null ids only where it has no other). Rows are told apart by a number
+    written once, so repeated rows and repeated ids go as well."""
+    rows = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()), "simhash-rows")
+    groups = simhash_groups(rows.select(F.col("simhash_row").alias("doc_id"), "text"), shingle_words, radius)
+    groups = groups.select(F.col("doc_id").alias("grouped_row"), "component_id")
+    ids = rows.select("simhash_row", F.col("doc_id").cast("long").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "simhash_row")
+    first = ids.join(groups, ids["simhash_row"] == groups["grouped_row"]).groupBy("component_id").agg(F.min(order).alias("first"))
+    first = stored(first.select(F.col("first.simhash_row").alias("first_row")), "simhash-first")
+    return rows.join(first, rows["simhash_row"] == first["first_row"], "left_semi").drop("simhash_row")

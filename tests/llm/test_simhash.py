@@ -9,6 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from conftest import SF_SMALL
 from evstar.llm.components import connected_components
 from evstar.llm.simhash import _within, bit_sliced_links, fingerprint, keep_one, near_links, simhash_groups, star_links
@@ -124,3 +125,14 @@ def test_awkward_rows(spark):
     kept = keep_one(docs, groups)
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 9, 9] and kept.columns == docs.columns
     assert simhash_groups(docs.limit(0)).count() == 0
+
+
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
+    rows = [(9, "alone here now x")] * 5 + [(4, "some words of a first text"), (4, "quite another text with this id"), (4, "some words of a first text")]
+    rows += [(None, "only null ids here")] * 3 + [(None, "a group with a number"), (7, "a group with a number"), (8, "A group with a number")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, SF_SMALL)
+    assert kept.columns == docs.columns
+    want = [(9, "alone here now x"), (4, "some words of a first text"), (4, "quite another text with this id"), (None, "only null ids here"), (7, "a group with a number")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), SF_SMALL).count() == 0
