@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import langid, quality, toxicity
 from .common import table
+from .conversation_repair import repair_conversations
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .html_extract import extract_main_text
+from .license_scan import scan_licenses
 from .mixing import mix_sources
 from .oracle import ORACLE_SQL
+from .ranked_search import ranked_search
 from .secret_scan import find_secrets
 from .simhash import simhash_groups
 from .token_store import token_output
@@ -63,6 +66,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_language,
         op10_exact_dedup,
+        op11_conversation_repair,
+        op12_license_scan,
+        op13_ranked_search,
     )
 }
 
