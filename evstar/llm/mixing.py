@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import quoted, stored
 
 #: A mean above this is drawn as a sum of that many equal independent parts,
 #: which keeps each part's distribution table short.
@@ -87,7 +87,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed:
     counts = F.transform(draws, lambda u: F.size(F.filter(rates["mix_cdf"], lambda c: c <= u)))
     n = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
     taken = {"n_copies", "copy_no", "shuffle_key"}
-    own = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in taken]
+    own = [docs[quoted(c)] for c in docs.columns if c.lower() not in taken]
     counted = joined.select(*own, n.alias("n_copies")).filter("n_copies > 0")
     copies = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
     key = F.md5(F.concat_ws(":", F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed), F.col("copy_no")))

@@ -26,9 +26,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored, texts_of
+from .common import noted, passing_copies, stored, texts_of
 from .components import connected_components
+from .rows import as_files, keep_rows, with_place
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -58,16 +60,16 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` for every row; a null text has no words."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, key: str = "doc_id") -> DataFrame:
+    """``(key, fp)`` for every row; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [fingerprint(t, shingle_words) for _, texts in texts_of(batch, "text") for t in texts]
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.int64())], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.int64())], names=[key, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(key).cast("long") if key == "doc_id" else key, "text")
+    return rows.mapInArrow(run, T.StructType([rows.schema[key], T.StructField("fp", T.LongType())]))
 
 
 def _planes(fps: np.ndarray) -> list[int]:
@@ -221,23 +223,28 @@ def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     )
 
 
-def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents that name their component. Rows with a null ``doc_id``
-    stay only where their whole component has null ids."""
-    named = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = named.select(F.col("doc_id").alias("named_id")).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["named_id"]), "left_semi")
+def _rows_of(prints: DataFrame, radius: int) -> DataFrame:
+    """The place of one row of each component of ``prints`` (``fp`` with the
+    row's ``place``): the smallest place."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("place").alias("first")), "simhash-distinct")
+    roots = connected_components(near_links(distinct.select("fp"), radius))
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left")
+    first = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    return first.select("first.file", "first.place")
 
 
 def keep_one_row(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """One row of each component, unchanged: one with its smallest ``doc_id``
-    (null ids only where it has no other). Rows are told apart by a number
-    written once, so repeated rows and repeated ids go as well."""
-    rows = stored(docs.withColumn("simhash_row", F.monotonically_increasing_id()), "simhash-rows")
-    groups = simhash_groups(rows.select(F.col("simhash_row").alias("doc_id"), "text"), shingle_words, radius)
-    groups = groups.select(F.col("doc_id").alias("grouped_row"), "component_id")
-    ids = rows.select("simhash_row", F.col("doc_id").cast("long").alias("doc_id"))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "simhash_row")
-    first = ids.join(groups, ids["simhash_row"] == groups["grouped_row"]).groupBy("component_id").agg(F.min(order).alias("first"))
-    first = stored(first.select(F.col("first.simhash_row").alias("first_row")), "simhash-first")
-    return rows.join(first, rows["simhash_row"] == first["first_row"], "left_semi").drop("simhash_row")
+    (null ids only where it has no other; of equal ids the first by file and
+    place). Repeated rows and repeated ids go as well. Texts are read twice
+    and never exchanged; what is chosen are rows of the files ``docs`` reads."""
+    spark, docs = docs.sparkSession, as_files(docs)
+    with passing_copies(spark) as copies:
+        rows = with_place(docs.select("doc_id", "text"), "file", "place")
+        doc_id = F.col("doc_id").cast("long")
+        order = F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), "file", "place")
+        chosen = _rows_of(fingerprints(rows.select(order.alias("place"), "text"), shingle_words, "place"), radius)
+        kept = keep_rows(docs, chosen)
+        lists = copies.pop()  # read with the result
+    noted(lists)
+    return kept

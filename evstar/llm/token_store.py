@@ -15,8 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
-from .common import shuffle_partitions, stored, texts_of
+from .common import scratch, shuffle_partitions, stored, texts_of
 from .token_file import Reader, Writer
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -155,13 +154,17 @@ def encoder(name: str) -> Encoder:
     return _encoders[name]
 
 
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID, by_id: bool = True
+) -> DataFrame:
     """Encode and write all documents; the manifest, one row per file in
     document order: ``part, file, n_docs, n_tokens, first_token`` (ids in all
     files before it).
 
-    Null texts are empty and give only the end id; null ids come first, and
-    rows of one id follow each other. Every task attempt writes a file of its
+    Null texts are empty and give only the end id. Documents come by
+    ``doc_id`` (null ids first, rows of one id after each other), or, without
+    ``by_id``, as ``docs`` has them: a file for each of its partitions, and
+    nothing is exchanged. Every task attempt writes a file of its
     own, and the manifest names those of the attempts that counted, so a lost
     or repeated task leaves no trace in it. An empty table gives an empty
     manifest.
@@ -194,7 +197,8 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("row"))
-    rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", "row").sortWithinPartitions("doc_id", "row")
+    if by_id:
+        rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", "row").sortWithinPartitions("doc_id", "row")
     files = rows.mapInArrow(run, "part int, file string, n_docs long, n_tokens long")
     files = stored(files, "token-manifest")  # the files exist once, and only committed attempts count
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -223,7 +227,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
+def token_output(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID, by_id: bool = True) -> DataFrame:
     """Write the documents' ids under the shared folder and read them back."""
-    folder = scratch_dir(docs.sparkSession, "tokens")
-    return read_tokens(write_tokens(docs, folder, vocabulary, end_id))
+    folder = scratch(docs.sparkSession, "tokens")
+    return read_tokens(write_tokens(docs, folder, vocabulary, end_id, by_id))

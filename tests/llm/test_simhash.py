@@ -1,5 +1,6 @@
 """SimHash fingerprints, bit-sliced links and groups against brute force."""
 
+import os
 import re
 from itertools import combinations
 
@@ -8,11 +9,15 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
+import evstar.llm.rows as rows_module
+from evstar.llm.common import passing_copies, stored
 from evstar.llm.components import connected_components
-from evstar.llm.simhash import _within, bit_sliced_links, fingerprint, keep_one, near_links, simhash_groups, star_links
+from evstar.llm.rows import as_files, keep_rows, with_place
+from evstar.llm.simhash import _within, bit_sliced_links, fingerprint, keep_one_row, near_links, simhash_groups, star_links
 
 
 def plain_fingerprint(text, k=3):
@@ -122,8 +127,8 @@ def test_awkward_rows(spark):
     groups = simhash_groups(docs)
     got = [(r["doc_id"], r["component_id"]) for r in groups.collect()]
     assert sorted(got, key=str) == sorted([(3, 2), (2, 2), (5, 2), (None, 7), (None, 7), (7, 7), (9, 9), (9, 9)], key=str)
-    kept = keep_one(docs, groups)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 9, 9] and kept.columns == docs.columns
+    kept = keep_one_row(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 9] and kept.columns == docs.columns
     assert simhash_groups(docs.limit(0)).count() == 0
 
 
@@ -136,3 +141,35 @@ def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
     want = [(9, "alone here now x"), (4, "some words of a first text"), (4, "quite another text with this id"), (None, "only null ids here"), (7, "a group with a number")]
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(want, key=str)
     assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), SF_SMALL).count() == 0
+
+
+def test_rows_are_chosen_in_their_files_without_an_exchange(spark, tmp):
+    rows = [(i % 70, f"text number {i % 50} of some more words", i, "x") for i in range(400)]
+    schema = "doc_id long, text string, simhash_row long, `odd ``name` string"
+    spark.createDataFrame(rows, schema).withColumn("file", F.lit("f")).withColumn("Place", F.lit(1)).repartition(5).write.parquet(f"{tmp}/docs")
+    docs = spark.read.parquet(f"{tmp}/docs")
+    kept = keep_one_row(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    got = kept.collect()
+    assert kept.schema == docs.schema
+    assert sorted(r["text"] for r in got) == sorted({r[1] for r in rows})
+    smallest = {t: min(r[0] for r in rows if r[1] == t) for _, t, _, _ in rows}
+    assert all(r["doc_id"] == smallest[r["text"]] and tuple(r)[:4] in rows for r in got)
+
+
+def test_lists_of_chosen_rows(spark, tmp, monkeypatch):
+    monkeypatch.setattr(rows_module, "ROWS_IN_A_LIST", 7)
+    spark.range(100).repartition(3).write.parquet(f"{tmp}/n")
+    docs = spark.read.parquet(f"{tmp}/n")
+    placed = with_place(docs, "file", "place")
+    assert sorted(r["id"] for r in keep_rows(docs, placed.filter("id % 3 = 0").drop("id")).collect()) == list(range(0, 100, 3))
+    assert keep_rows(docs, placed.filter("id < 0").drop("id")).collect() == []
+    assert as_files(docs) is docs and as_files(docs.filter("id > 5")) is not docs
+
+
+def test_copies_go_when_nothing_reads_them(spark):
+    with passing_copies(spark) as copies:
+        first, second = stored(spark.range(3), "a"), stored(spark.range(4), "b")
+        kept = copies.pop()
+    assert second.count() == 4 and os.path.exists(kept) and not os.path.exists(copies[0])
