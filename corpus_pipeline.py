@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evstar.llm import quality
-from evstar.llm.common import stored, table
+from evstar.llm.common import passing_copies, quoted, stored, table
 from evstar.llm.decontaminate import remove_documents
 from evstar.llm.mixing import mix_sources
 from evstar.llm.simhash import RADIUS, SHINGLE_WORDS, keep_one_row
@@ -35,13 +35,14 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents to the sources' target weights, in global random
-    order; each copy is a row."""
-    return mix_sources(docs).select(*[f"`{c}`" for c in docs.columns])
+    order, which the files it is written to keep; each copy is a row."""
+    return mix_sources(docs).select(*map(quoted, docs.columns))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes token files and reads them back, one row per copy."""
-    return token_output(docs)
+    """Writes token files in the shuffled order of its input and reads them
+    back, one row per copy."""
+    return token_output(docs, by_id=False)
 
 
 STAGES = [
@@ -58,8 +59,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet into
-    the shared folder and read back as the next stage's input."""
-    docs = table(spark, sf_dir, "documents")
+    the shared folder and read back as the next stage's input. What a stage
+    and the one before it wrote goes when its result is complete."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing_copies(spark) as copies:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            result = copies.pop()
+            copies += before
+        before = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
