@@ -17,13 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored, texts_of
+from .common import map_batches, stored, texts_of
 
 WINDOW = 10
-#: Characters of benchmark text whose windows are broadcast at once. A larger
-#: benchmark is handled in blocks, one pass over the documents for each.
-BLOCK_CHARS = 32_000_000
+#: Characters of benchmark text whose windows are broadcast at once: 20 bytes a
+#: word, and some 110 for each different word, so 200 MB in a worker at the very
+#: most. A larger benchmark is handled in blocks, one pass over the documents each.
+BLOCK_CHARS = 8_000_000
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -36,51 +38,73 @@ def words_of(text: str) -> list[bytes]:
 
 
 class WindowSet:
-    """The windows of some benchmark items: a vocabulary, and for each
-    window length the sorted hashes and the items of each exact window."""
-
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW) -> None:
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], list[str]] = {}
+    """The windows of some benchmark items: a vocabulary, the items' words as
+    one array of its numbers, and for each window length the sorted hashes of
+    the windows, with the start of each in that array. Eight to sixteen bytes
+    a window, besides the vocabulary."""
+
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW) -> None:
+        numbers: dict[bytes, int] = {}
+        words: list[np.ndarray] = []
+        starts: dict[int, list[np.ndarray]] = {}
+        self.item_ids, bounds, at = [], [], 0
         for item_id, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            if not ids:
+            found = words_of(text)
+            if not found:
                 continue
-            size = min(window, len(ids))
-            for start in range(len(ids) - size + 1):
-                holders = self.items.setdefault(tuple(ids[start : start + size]), [])
-                if item_id not in holders:
-                    holders.append(item_id)
-        by_size: dict[int, list[tuple[int, ...]]] = {}
-        for key in self.items:
-            by_size.setdefault(len(key), []).append(key)
-        self.hashes = {
-            size: np.unique(_window_hashes(np.array(keys, np.uint64).ravel(), size)[::size])
-            for size, keys in by_size.items()
-        }
+            words.append(np.fromiter((numbers.setdefault(w, len(numbers) + 1) for w in found), np.uint32, len(found)))
+            size = min(window, len(found))
+            starts.setdefault(size, []).append(np.arange(at, at + len(found) - size + 1, dtype=np.int64))
+            self.item_ids.append(item_id)
+            bounds.append(at)
+            at += len(found)
+        self.vocabulary = numbers
+        self.words = np.concatenate(words) if words else np.empty(0, np.uint32)
+        self.bounds = np.array(bounds, np.int64)
+        self.hashes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size, parts in starts.items():
+            places = np.concatenate(parts)
+            hashes = _window_hashes(self.words, size)[places]
+            order = np.argsort(hashes, kind="stable")  # places of one hash ascend, so an item's are together
+            self.hashes[size] = self._once_an_item(hashes[order], places[order], size)
+
+    def _once_an_item(self, hashes: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Without windows equal to the one before them in the same item."""
+        item = np.searchsorted(self.bounds, places, "right")
+        again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (item[1:] == item[:-1])) + 1
+        for j in range(size):
+            again = again[self.words[places[again] + j] == self.words[places[again - 1] + j]]
+        kept = np.ones(len(places), bool)
+        kept[again] = False
+        return hashes[kept], places[kept]
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Merged word intervals that windows occur in, and the items they
-        belong to."""
+        """Merged word intervals that windows occur in, and the ids of the
+        items they belong to (an item without an id marks words only)."""
         n = len(words)
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, n)
+        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint32, n)
         marks, found = None, set()
         unknown = np.flatnonzero(ids == 0)
         longest = int(np.diff(np.r_[-1, unknown, n]).max()) - 1 if n else 0
-        for size, hashes in self.hashes.items():
+        for size, (hashes, places) in self.hashes.items():
             if longest < size:
                 continue
             seen = _window_hashes(ids, size)
-            at = np.searchsorted(hashes, seen)
-            at[at == len(hashes)] = 0
-            for start in np.flatnonzero(hashes[at] == seen).tolist():
-                holders = self.items.get(tuple(ids[start : start + size].tolist()))
-                if holders:
+            first = np.searchsorted(hashes, seen)
+            first[first == len(hashes)] = 0
+            for start in np.flatnonzero(hashes[first] == seen).tolist():
+                window = ids[start : start + size]
+                hit = False
+                for place in places[first[start] : np.searchsorted(hashes, seen[start], "right")].tolist():
+                    if np.array_equal(self.words[place : place + size], window):
+                        hit = True
+                        found.add(self.item_ids[int(np.searchsorted(self.bounds, place, "right")) - 1])
+                if hit:
                     if marks is None:
                         marks = np.zeros(n + 1, np.int64)
                     marks[start] += 1
                     marks[start + size] -= 1
-                    found.update(holders)
+        found.discard(None)
         if marks is None:
             return [], found
         inside = np.r_[0, np.cumsum(marks[:n]) > 0, 0].astype(np.int8)
@@ -90,6 +114,7 @@ class WindowSet:
 
 def _window_hashes(ids: np.ndarray, size: int) -> np.ndarray:
     """A polynomial hash of each ``size`` consecutive ids."""
+    ids = ids.astype(np.uint64)
     out = np.zeros(max(len(ids) - size + 1, 0), np.uint64)
     for j in range(size):
         out = out * _MULTIPLIER + ids[j : j + len(out)]
@@ -124,15 +149,23 @@ def cut_words(text: str, intervals: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[last:]]).decode("utf-8", "surrogatepass")
 
 
-_FOUND = "decon_found struct<n_words: bigint, hits: array<struct<start: bigint, stop: bigint>>, items: array<string>>"
+_FOUND = T.StructType(
+    [
+        T.StructField("n_words", T.LongType()),
+        T.StructField("hits", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))),
+        T.StructField("items", T.ArrayType(T.StringType())),
+    ]
+)
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, columns: list[str]) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[str | None, str]], window: int, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with ``decon_found``, merged with what is in
     it already."""
     shared = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window))
-    again = "decon_found" in docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in columns)
+    names = docs.columns
+    own = [k for k, c in enumerate(names) if c in columns]
+    before = names.index("decon_found") if "decon_found" in names else None
+    text_at = names.index("text")
     kind = pa.struct(
         [
             ("n_words", pa.int64()),
@@ -144,10 +177,9 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, columns: l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         for batch in batches:
-            names = batch.schema.names
-            earlier = batch.column(names.index("decon_found")).to_pylist() if again else None
+            earlier = None if before is None else batch.column(before).to_pylist()
             found = []
-            for start, texts in texts_of(batch, "text"):
+            for start, texts in texts_of(batch, text_at):
                 for k, text in enumerate(texts, start):
                     words = words_of(text)
                     hits, holders = windows.scan(words)
@@ -161,11 +193,10 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, columns: l
                             "items": sorted(holders),
                         }
                     )
-            own = [c for c in names if c in columns]
-            held = [batch.column(names.index(c)) for c in own]
-            yield pa.record_batch([*held, pa.array(found, kind)], names=[*own, "decon_found"])
+            yield pa.record_batch([*(batch.column(k) for k in own), pa.array(found, kind)], names=[str(k) for k in range(len(own) + 1)])
 
-    return docs.mapInArrow(run, f"{schema}, {_FOUND}" if schema else _FOUND)
+    schema = T.StructType([*(docs.schema.fields[k] for k in own), T.StructField("decon_found", _FOUND)])
+    return map_batches(docs, run, schema)
 
 
 def find_windows(
@@ -179,19 +210,20 @@ def find_windows(
     intervals hit, and the ids (as text) of the items hit.
 
     Null texts have no words on either side; an item without words is never
-    hit; a repeated item counts once; an item with a null id is left out. An
-    input column named ``decon_found`` is dropped.
+    hit; a repeated item counts once; an item with a null id hits words like
+    any other but is not among the items. An input column named
+    ``decon_found`` is dropped.
     """
     docs = docs.drop("decon_found")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    items = stored(items.filter("item_id is not null").distinct(), "benchmark")
+    items = stored(items.distinct(), "benchmark")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(chars // block_chars) + 1
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         own = [c for c in docs.columns if c != "decon_found"]
         carried = columns if columns and block == blocks - 1 else own
-        docs = _scan(docs, [tuple(r) for r in part.collect()], window, carried)
+        docs = _scan(docs, [tuple(r) for r in part.toLocalIterator()], window, carried)
         if blocks > 1:
             docs = stored(docs, "decon")
     return docs
@@ -223,13 +255,13 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     text stays null)."""
     found = find_windows(docs, benchmark, window)
     position = found.columns.index("text")
-    schema = found.schema
+    schema, at = found.schema, found.columns.index("decon_found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = batch.column(batch.schema.get_field_index("decon_found")).to_pylist()
+            hits = batch.column(at).to_pylist()
             texts = batch.column(position).to_pylist()
             cut = [cut_words(t, [(h["start"], h["stop"]) for h in f["hits"]]) if f["hits"] else t for t, f in zip(texts, hits)]
             yield batch.set_column(position, "text", pa.array(cut, pa.string()))
 
-    return found.mapInArrow(run, schema).drop("decon_found")
+    return map_batches(found, run, schema).drop("decon_found")

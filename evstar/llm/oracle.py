@@ -102,7 +102,8 @@ WITH RECURSIVE crc_table AS (
         sha256(coalesce('+' || conv_id::VARCHAR, '-') || ':' || length(role) || ':' || role || text)) AS i FROM damaged
 ), seen AS (
     SELECT *, substr(role, 1, 1) AS initial, rtrim(text, E' 	
-') AS stripped,
+
+') AS stripped,
         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed
 ), faults AS (
     SELECT *, CASE WHEN stripped = '' THEN 'blank' WHEN again THEN 'duplicate'
@@ -197,7 +198,7 @@ WITH doc_words AS (
 ), item_words AS (
     SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-    FROM benchmark WHERE item_id IS NOT NULL
+    FROM benchmark
 ), sized AS (
     SELECT item_id, w, least(10, len(w)) AS size FROM item_words WHERE len(w) > 0
 ), windows AS (
@@ -214,7 +215,7 @@ hits AS (
     FROM hits, LATERAL (SELECT unnest(range(i, i + size)) AS j) GROUP BY doc_id
 ), hit_items AS (
     SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
     coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.items, '')) AS items_sha256,
