@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -153,3 +154,107 @@ def test_names_without_weight(name):
 def test_types_take_linear_time():
     for piece in ("a: b[", "a:b", "a: b | ", "a::b", "*", "x["):
         scan("a=1 " + piece * 100_000)
+
+
+def found(text):
+    return [text[s:e] for s, kind, e in scan(text) if kind == "literal"]
+
+
+@pytest.mark.parametrize(
+    "form",
+    ["db_pwd = ({})", "db_pwd = [{}]", "db_pwd = [\n  {},\n]", "db_pwd += {}", "db_pwd ??= {}", "db_pwd ?= {}", "a, db_pwd = 1, {}", "(a, db_pwd) = (1, {})",
+     "db_pwd = y or {}", "db_pwd = x || {}", "db_pwd = x ?? {}", "db_pwd = c ? '' : {}", "db_pwd = a if b else {}", "db_pwd = env.get('DB_PWD_NAME', {})",
+     "db_pwd = os.getenv('DB_PWD_NAME') or {}", "db_pwd = decode({})", "db_pwd = new Secret({})", "db_pwd = call(1,\n  {})", '"db_pwd": {{"value": {}}}',
+     "db_pwd:\n  {}\n", "db_pwd = \\\n  {}", "define('DB_PWD', {})", "os.environ.setdefault('DB_PWD', {})", '$x->set("db_pwd", {});', '<add key="db_pwd" value={}/>',
+     "<item name='db_pwd' other='1'\n value={}>", "db_pwd <- {}", "--db-pwd={}", 'k = {}\ndb_pwd = f"{{k}}"', "db_pwd = K\nK = {}", "connect(db_pwd=K)\nK = {}",
+     "x = call(user='bob', db_pwd={})", "db_pwd = K = {}", "k = {}\nl = k\nm = l\ndb_pwd = m"],
+)
+def test_more_forms_of_assignment(form):
+    for quote in "\"'":
+        text = form.format(f"{quote}Zx9$kLm2!qPw{quote}")
+        assert found(text) == ["Zx9$kLm2!qPw"], text
+
+
+def test_unquoted_values():
+    for text in ("<db_pwd>Zx9$kLm2!qPw</db_pwd>", "db_pwd:\n  Zx9$kLm2!qPw\n", "db_pwd: |\n  Zx9$kLm2!qPw\n", "db_pwd ?= Zx9$kLm2!qPw", "--db-pwd=Zx9$kLm2!qPw"):
+        assert found(text) == ["Zx9$kLm2!qPw"], text
+
+
+def test_strings_side_by_side_are_one():
+    text = 'db_pwd = "Zx9$kL" "m2!qPw"\nx = 1'
+    assert found(text) == ["Zx9$kL", "m2!qPw"]
+    assert redact(text) == 'db_pwd = "[SECRET]" "[SECRET]"\nx = 1'
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['db_pwd = os.environ["DB_PASSWORD"]', "db_pwd = getenv('DB_PASSWORD')", "db_pwd = os.environ.get('DB_PASSWORD')", 'pwd = getpass("Password:")',
+     'pwd = input("Type-it-now:")', "x, y = 1, 'Zx9$kLm2!qPw'", "<user>Zx9$kLm2!qPw</user>", '<add key="user" value="Zx9$kLm2!qPw"/>', "--user=Zx9$kLm2!qPw",
+     '"user": {"value": "Zx9$kLm2!qPw"}', "define('USER', 'Zx9$kLm2!qPw')", "pwd:\n  name: value-of-it\n"],
+)
+def test_forms_without_a_secret(text):
+    assert found(text) == []
+
+
+NAMES = ["k", "host", "db_pwd", "auth_token", "x1"]
+
+
+@st.composite
+def programs(draw):
+    lines = []
+    for n in range(draw(st.integers(1, 8))):
+        operands = draw(st.lists(st.one_of(st.sampled_from(NAMES), st.just(None)), min_size=1, max_size=3))
+        lines.append((draw(st.sampled_from(NAMES)), [o or f"Zq{n}{k}$Wv8" for k, o in enumerate(operands)], [o is None for o in operands]))
+    return lines
+
+
+def plain_literals(lines):
+    """A small evaluator: names hold the literals they are made of; a name
+    used before it is ever defined stands for its first definition."""
+    first = {}
+    for n, (target, *_) in enumerate(lines):
+        first.setdefault(target, n)
+    refs, latest = [], {}
+    for n, (target, operands, literal) in enumerate(lines):
+        refs.append([o if is_literal else latest.get(o, first.get(o)) for o, is_literal in zip(operands, literal)])
+        latest[target] = n
+    out = set()
+    for n, (target, *_) in enumerate(lines):
+        if target in ("db_pwd", "auth_token"):
+            todo, seen = [n], set()
+            while todo:
+                m = todo.pop()
+                if m not in seen:
+                    seen.add(m)
+                    out.update(r for r in refs[m] if isinstance(r, str))
+                    todo += [r for r in refs[m] if isinstance(r, int)]
+    return out
+
+
+@given(programs())
+@settings(max_examples=300, deadline=None, derandomize=True)
+def test_literals_against_a_small_evaluator(lines):
+    text = "".join(f"{t} = " + " + ".join(f'"{o}"' if is_l else o for o, is_l in zip(ops, literal)) + "\n" for t, ops, literal in lines)
+    got = {v for v in found(text) if v.startswith("Zq")}
+    assert got <= plain_literals(lines)
+    if all(literal[0] or len(literal) > 1 for _, _, literal in lines):
+        forward = any(not is_l and o not in {t for t, *_ in lines[:n]} for n, (_, ops, lit) in enumerate(lines) for o, is_l in zip(ops, lit))
+        assert forward or got == plain_literals(lines)
+
+
+def test_growing_values_and_many_spans_take_linear_time():
+    start = time.perf_counter()
+    assert found('k = "Zx9$kLm2!qPw"\n' + "k = k + k\n" * 60 + "db_pwd = k") == ["Zx9$kLm2!qPw"]
+    assert time.perf_counter() - start < 1
+    texts = ["".join(f"password=abcdefgh{i}\n" for i in range(100_000)), 'db_pwd = db_pwd + "Zx9$kLm2!qPw"\n' * 60_000, "k = k + k\n" * 200_000, "a = b\nb = a\n" * 100_000]
+    for text in texts:
+        start = time.perf_counter()
+        scan(text)
+        assert time.perf_counter() - start < 30  # a quadratic scan takes many minutes
+
+
+def test_lexer_takes_linear_time_over_open_constructs():
+    for piece in ("(", "x=(", "x=f(", "a, ", "a,b,", "<a ", "<a>", "</a>", '<a b="c" ', "{", "x:{", "x: |\n ", 'x=get("', 'f"{k}"', "--x", 'set("a",', "x:\n y\n"):
+        start = time.perf_counter()
+        scan("a=1 " + piece * 100_000)
+        assert time.perf_counter() - start < 30, piece
