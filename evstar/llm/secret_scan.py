@@ -50,6 +50,10 @@ KEY_OWNERS = {"api", "private", "access", "encryption", "signing", "master", "au
 INSIDE = re.compile(
     rf"passw(?:or)?d|passphrase|passcode|pwd|credential|(?:{'|'.join(sorted(KEY_OWNERS))})key|secret(?!ar|i|e|ly)|token(?!i[sz]|s$)"
 )
+#: What every name with a weight has in it.
+HINT = re.compile(r"pass|pwd|secret|token|key|credential|auth|bearer", re.IGNORECASE | re.ASCII)
+#: What every form of assignment has in it.
+SIGNS = ("=", ":", "<-", "</", "('", '("')
 #: Words that end in ``pass`` and name no password.
 OTHER_PASS = {"compass", "encompass", "bypass", "trespass", "surpass", "overpass", "underpass"}
 #: Literals that stand for a value that is not there.
@@ -417,12 +421,11 @@ def scan(text: str) -> list[tuple[int, str, int]]:
     """All spans ``(start, kind, end)`` by start, then kind. Literals inside
     a span of a fixed pattern are not listed again."""
     base = []
-    pairs = any(sign in text for sign in ("=", ":", "<-", "</", ","))
-    if pairs:
+    if "=" in text or ":" in text:
         base += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= MIN_VALUE]
     base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if pairs:
+    if any(sign in text for sign in SIGNS) and HINT.search(text):
         covers, k, reach = sorted(base), 0, 0
         for a, b in literal_spans(text):  # in order of their start
             while k < len(covers) and covers[k][0] <= a:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF_SMALL
-from evstar.llm.secret_scan import assignments, find_secrets, literal_weight, name_weight, redact, scan
+from evstar.llm.secret_scan import HINT, KEY_OWNERS, SENSITIVE, assignments, find_secrets, literal_weight, name_weight, redact, scan
 
 
 def plain_base(text):
@@ -258,3 +258,11 @@ def test_lexer_takes_linear_time_over_open_constructs():
         start = time.perf_counter()
         scan("a=1 " + piece * 100_000)
         assert time.perf_counter() - start < 30, piece
+
+
+def test_every_name_with_weight_has_the_hint():
+    for owner in KEY_OWNERS:
+        assert HINT.search(f"{owner}_key") and name_weight(f"{owner}_key") == 1.0
+    assert all(HINT.search(w) for w in SENSITIVE)
+    for word in ("user", "ſecret", "toKen", "API-Key", "monkey", "p_w_d", "pas_s"):
+        assert HINT.search(word) or name_weight(word) == 0.0
