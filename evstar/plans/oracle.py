@@ -315,4 +315,37 @@ FROM (SELECT CAST(unnest(generate_series(DATE '1996-01-01', DATE '1998-12-30', I
 LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d.date_day GROUP BY d.date_day""",
     "catalog_refresh": _with(_STG_PRODUCTS.replace("FROM part\n  UNION ALL", "FROM part WHERE p_partkey % 10 <> 0\n  UNION ALL"))
     + "SELECT * FROM stg_products",
+    "ledger_roundtrip": _with(_MESSAGES)
+    + """, dense AS (
+  SELECT *, CASE WHEN "offset" % 2 = 1 THEN 3 ELSE ("offset" // 2 // 1000) % 3 END AS p,
+    CASE WHEN "offset" % 2 = 1 THEN "offset" // 2 ELSE ("offset" // 2 // 3000) * 1000 + ("offset" // 2) % 1000 END AS o
+  FROM m WHERE error IS NULL
+)
+SELECT eid AS event_id, etype AS event_type, CAST(p AS INTEGER) AS kafka_partition, CAST(o AS BIGINT) AS kafka_offset,
+       CASE WHEN scalar IS NULL THEN 'OBJECT' WHEN scalar LIKE '"%' THEN 'STRING' WHEN scalar LIKE '[%' THEN 'ARRAY'
+            WHEN scalar = 'null' THEN 'VOID' ELSE 'BIGINT' END AS payload_type,
+       true AS has_source_file, CASE WHEN (o // 100) % 7 = 3 THEN 'backfill' ELSE 'first' END AS load
+FROM dense""",
+    "incremental_fact": _MODELS + "SELECT * FROM fact_orders",
+    "legacy_buffered": """WITH v1 AS (
+  SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+    CASE WHEN event_type IN ('view', 'click') THEN 'page_view' WHEN event_type <> 'purchase' THEN 'inventory_update'
+         WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) = 53 THEN 'refund' ELSE 'purchase' END AS v1_type
+  FROM events
+)
+SELECT v1_type AS event_type, count(*) AS n_messages, CAST(0 AS BIGINT) AS files_over_limit FROM v1 WHERE k NOT IN (59, 67) GROUP BY v1_type
+UNION ALL
+SELECT 'quarantine', count(*), 0 FROM v1 WHERE k IN (59, 67)""",
+    "order_ids": """WITH hashed AS (
+  SELECT *, md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) AS h FROM lineitem
+)
+SELECT l_orderkey, l_linenumber,
+       substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS line_id,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(1 - CAST(l_discount AS DECIMAL(18,4)) AS DECIMAL(18,4)), 2) AS DECIMAL(18,2)) AS net
+FROM hashed""",
+    "lake_schema": _with(_MESSAGES)
+    + """SELECT column_name, data_type, CASE WHEN column_name = 'event_id' THEN ids ELSE n END AS n_values
+FROM (SELECT count(eid) AS ids, count(*) AS n FROM m WHERE error IS NULL),
+  (VALUES ('event_id', 'string'), ('event_type', 'string'), ('event_timestamp', 'string'), ('payload', 'string'), ('kafka_partition', 'int'),
+    ('kafka_offset', 'bigint'), ('ingested_at', 'string'), ('ingest_date', 'string'), ('ingest_hour', 'string')) AS c(column_name, data_type)""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import date_spine, date_spine_covering
+from ..functions.keys import stable_uuid
 from ..operators import dedup, profiling, quality, routing
 from ..session import scratch_dir
 from . import build as gate
@@ -19,10 +20,13 @@ from ..sources import testdata as td
 from ..sources.topic import publish_frame
 from ..streaming.legacy import legacy_publish_frame
 from .roundtrips import (
+    buffered_roundtrip,
     catalog_refresh_roundtrip,
     catalog_roundtrip,
+    fact_roundtrip,
     ingest_roundtrip,
     lake_files_roundtrip,
+    ledger_roundtrip,
     legacy_roundtrip,
     pipeline_roundtrip,
     raw_load_roundtrip,
@@ -260,6 +264,39 @@ def q_pipeline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_roundtrip(spark, i.messages, i.raw_products, i.raw_customers, scratch_dir(spark, "pipeline"))
 
 
+def q_ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger_roundtrip(spark, td.dense_offsets(Inputs(spark, sf_dir).messages), scratch_dir(spark, "ledger"))
+
+
+def q_incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, root = Inputs(spark, sf_dir), scratch_dir(spark, "fact")
+    customers = gate.materialize(i.dim_customers, f"{root}/dim_customers")
+    products = gate.materialize(i.dim_products, f"{root}/dim_products")
+    return fact_roundtrip(spark, i.lake_rows, customers, products, root)
+
+
+def q_legacy_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = Inputs(spark, sf_dir).table("events")
+    return buffered_roundtrip(spark, td.legacy_messages(events), scratch_dir(spark, "buffered"))
+
+
+def q_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids derived from the row (C23), and order totals rounded to cents."""
+    lines = Inputs(spark, sf_dir).table("lineitem")
+    decimal = F.col("l_extendedprice").cast("decimal(18,4)") * (1 - F.col("l_discount").cast("decimal(18,4)")).cast("decimal(18,4)")
+    return lines.select(
+        "l_orderkey", "l_linenumber", stable_uuid("l_orderkey", "l_linenumber").alias("line_id"), F.round(decimal, 2).cast("decimal(18,2)").alias("net")
+    )
+
+
+def q_lake_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake's columns and types (A10), with how many rows have a value."""
+    rows = Inputs(spark, sf_dir).lake_rows
+    filled = rows.agg(*[F.count(F.col(c)).alias(c) for c in rows.columns])
+    counts = filled.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in rows.columns])))
+    return profiling.schema_report(spark, rows).join(counts, "column_name")
+
+
 QUERIES: dict[str, Query] = {
     "stg_orders": q_stg_orders,
     "dedup_keep_first": q_dedup_keep_first,
@@ -298,4 +335,9 @@ QUERIES: dict[str, Query] = {
     "legacy_load_roundtrip": q_legacy_load_roundtrip,
     "staged_orders_roundtrip": q_staged_orders_roundtrip,
     "pipeline_roundtrip": q_pipeline_roundtrip,
+    "ledger_roundtrip": q_ledger_roundtrip,
+    "incremental_fact": q_incremental_fact,
+    "legacy_buffered": q_legacy_buffered,
+    "order_ids": q_order_ids,
+    "lake_schema": q_lake_schema,
 }

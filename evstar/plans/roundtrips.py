@@ -13,11 +13,23 @@ from ..sources import testdata as td
 from ..sources.catalogs import read_snapshots, write_snapshot, write_snapshots
 from ..sources.lake import read_dead_letters, read_lake
 from ..streaming.ingest import ingest
-from ..streaming.legacy import LEGACY_TABLES, RAW_JSON, TYPE_PARTITION, legacy_ingest, legacy_load, read_legacy_table
+from ..streaming.buffers import ROCKSDB, drain_buffers
+from ..streaming.compact import compact_lake, lake_files
+from ..streaming.ledger import Ledger
+from ..streaming.legacy import (
+    LEGACY_TABLES,
+    RAW_JSON,
+    TYPE_PARTITION,
+    legacy_ingest,
+    legacy_ingest_buffered,
+    legacy_load,
+    read_legacy_table,
+)
 from ..streaming.load import MAX_FILE_AGE, load_projection, load_raw
 from ..streaming.stage import stage_orders
 from . import staging
 from .catalog_state import refresh_latest
+from .fact_state import read_fact, refresh_fact
 from .pipeline import Layout, run_pipeline
 
 
@@ -27,6 +39,12 @@ STAGED_BATCHES = 3
 #: bound what a batch holds, however long the backlog is.
 MESSAGES_PER_FILE = 100_000
 FILES_PER_BATCH = 256
+#: Micro-batches that the ledger job's messages come in, so that the lake has
+#: small files to merge.
+LEDGER_BATCHES = 3
+#: Age limit of a buffer in the per-type job.
+BUFFER_AGE_MS = 1000
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def _land_topic(messages: DataFrame, root: str) -> str:
@@ -229,3 +247,80 @@ def pipeline_roundtrip(
     stream = _topic_stream(spark, messages, root)
     result = run_pipeline(spark, stream, layout, calendar=None, fail_fast=False)
     return spark.createDataFrame(result.results, "check string, failures long")
+
+
+def _drain(spark: SparkSession, messages: DataFrame, root: str, name: str, batches: int) -> None:
+    """Ingest messages, landed in a folder of their own, into the lake under
+    ``root`` in some micro-batches."""
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), batches)
+    stream = _topic_stream(spark, messages.repartition(files), f"{root}/{name}", -(-files // batches))
+    ingest(stream, f"{root}/lake", f"{root}/dead_letter", f"{root}/_checkpoints/{name}", available_now=True).awaitTermination()
+
+
+def ledger_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> DataFrame:
+    """Loading by offsets: load, merge the lake's small files, load again
+    (nothing new), deliver the offsets that were held back and the last
+    messages once more, load these. Raw rows with the number of their load."""
+    held_back = td.held_back()
+    _drain(spark, messages.filter(~held_back), root, "first", LEDGER_BATCHES)
+    ledger = Ledger(spark, f"{root}/lake", f"{root}/raw_events", f"{root}/_ledger")
+    ledger.load()
+    before = lake_files(spark, f"{root}/lake").count()
+    removed, added = compact_lake(spark, f"{root}/lake", f"{root}/_compact")
+    after = lake_files(spark, f"{root}/lake").count()
+    if before > 1 and (after >= before or before - removed + added != after):
+        raise RuntimeError(f"{before} files became {after}: {removed} removed, {added} added")
+    if again := ledger.load():
+        raise RuntimeError(f"{again} rows loaded again after the files were merged")
+    _drain(spark, messages.filter(held_back | td.sent_again()), root, "backfill", 1)
+    ledger.load()
+    if again := ledger.load():
+        raise RuntimeError(f"{again} rows loaded twice")
+    raw = ledger.read()
+    return raw.select(
+        "event_id",
+        "event_type",
+        "kafka_partition",
+        "kafka_offset",
+        F.regexp_extract(F.schema_of_variant("payload"), "^[A-Z]+", 0).alias("payload_type"),
+        F.col("source_file").isNotNull().alias("has_source_file"),
+        F.when(F.col("load") > 1, "backfill").otherwise("first").alias("load"),
+    )
+
+
+def fact_roundtrip(spark: SparkSession, lake_rows: DataFrame, dim_customers: DataFrame, dim_products: DataFrame, root: str) -> DataFrame:
+    """The incremental fact: orders come in two days, some customers and
+    products only after them; each refresh builds the buckets that changed."""
+    raw, staged, state = f"{root}/raw_events", f"{root}/stg_orders", f"{root}/fact"
+    rows = load_projection(lake_rows, F.lit(None))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    some_customers = dim_customers.filter(F.crc32("customer_id") % 7 != 0)
+    some_products = dim_products.filter(F.crc32("product_id") % 11 != 0)
+    for day in (0, 1):
+        rows.filter(F.expr("kafka_offset div 64") % 2 == day).repartition(files, "kafka_offset").write.mode("append").parquet(raw)
+        stage_orders(spark, raw, staged, f"{root}/_checkpoints/stage")
+        refresh_fact(spark, staged, state, some_customers, some_products)
+    refresh_fact(spark, staged, state, dim_customers, dim_products)
+    if built := refresh_fact(spark, staged, state, dim_customers, dim_products):
+        raise RuntimeError(f"nothing changed, yet {len(built)} buckets were built")
+    return read_fact(spark, state)
+
+
+def buffered_roundtrip(spark: SparkSession, messages: DataFrame, root: str) -> DataFrame:
+    """The per-type channel with a buffer per type: messages of each type in
+    the lake, and files that hold more than a flush; the quarantined ones."""
+    before = spark.conf.get(_STATE_STORE)
+    spark.conf.set(_STATE_STORE, ROCKSDB)
+    lake, dead = f"{root}/lake", f"{root}/dead_letter"
+    try:
+        stream = _topic_stream(spark, messages, root)
+        query = legacy_ingest_buffered(stream, lake, dead, f"{root}/_checkpoints/buffers", max_age_ms=BUFFER_AGE_MS, trigger_interval="500 milliseconds")
+        drain_buffers(query, BUFFER_AGE_MS)
+    finally:
+        spark.conf.set(_STATE_STORE, before)
+    landed = spark.read.parquet(lake).select(TYPE_PARTITION, F.col("_metadata.file_path").alias("file"))
+    per_file = landed.groupBy(TYPE_PARTITION, "file").agg(F.count(F.lit(1)).alias("n"))
+    types = per_file.groupBy(TYPE_PARTITION).agg(F.sum("n").alias("n_messages"), F.count_if(F.col("n") > 500).alias("files_over_limit"))
+    bad = read_dead_letters(spark, dead).agg(F.count(F.lit(1)).alias("n_messages"))
+    quarantined = bad.select(F.lit("quarantine").alias(TYPE_PARTITION), "n_messages", F.lit(0).cast("long").alias("files_over_limit"))
+    return types.select(F.col(TYPE_PARTITION).cast("string").alias(TYPE_PARTITION), "n_messages", "files_over_limit").unionByName(quarantined)

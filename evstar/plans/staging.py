@@ -61,8 +61,14 @@ def typed_orders(raw_events: DataFrame, order_type: str = "order") -> DataFrame:
 def first_orders(typed: DataFrame) -> DataFrame:
     """One row per order event, the earliest delivered copy (W1); fails if
     that copy holds a value that does not cast."""
+    return checked_orders(first_delivery(typed))
+
+
+def checked_orders(kept: DataFrame) -> DataFrame:
+    """The columns of the staged orders from one typed row per event; fails
+    if one holds a value that does not cast."""
     event = F.coalesce(F.col("event_id"), F.lit("NULL"))
-    checked = first_delivery(typed).filter(
+    checked = kept.filter(
         F.when(
             F.col(BAD_FIELD).isNotNull(),
             F.raise_error(F.concat(F.lit("payload field cannot be cast: "), F.col(BAD_FIELD), F.lit(" of event "), event)),

@@ -39,6 +39,7 @@ SCALAR_PAYLOADS = {23: '"hello"', 29: '"123"', 31: "42", 37: "[1, 2]", 41: "null
 CANCEL_EVERY = 20  # k divisible by this -> cancelled order
 TRUNCATE_AT = 40
 TOPIC_PARTITIONS = 3
+RUN = 1000  # events in a row in one partition, where offsets are dense
 INGEST_DELAY_SECONDS = 30
 REDELIVERY_DELAY_SECONDS = 10  # of the copy, when it overtakes the first delivery
 LATE_DELIVERY_SECONDS = 90  # of the copy, when it does not
@@ -150,6 +151,32 @@ def topic_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def dense_offsets(messages: DataFrame) -> DataFrame:
+    """The messages with offsets that follow each other, as a topic's do: runs
+    of ``RUN`` events go to one of the partitions in turn, redelivered copies
+    to one more."""
+    event, copy = F.expr("offset div 2"), F.col("offset") % 2 == 1
+    run = F.expr(f"offset div 2 div {RUN}")
+    dense = F.expr(f"offset div 2 div {RUN * TOPIC_PARTITIONS}") * RUN + event % RUN
+    return messages.select(
+        "key",
+        "value",
+        F.when(copy, TOPIC_PARTITIONS).otherwise(run % TOPIC_PARTITIONS).cast("int").alias("partition"),
+        F.when(copy, event).otherwise(dense).cast("long").alias("offset"),
+        "timestamp",
+    )
+
+
+def held_back() -> Column:
+    """Dense offsets that come late: every seventh run of a hundred."""
+    return F.expr("offset div 100") % 7 == 3
+
+
+def sent_again() -> Column:
+    """Dense offsets that come a second time with the late ones."""
+    return F.expr("offset div 100") % 7 == 4
+
+
 def lake_rows(messages: DataFrame) -> DataFrame:
     """Valid messages as lake rows, stamped some seconds after the message
     time (a deterministic stand-in for the batch clock). A redelivered copy

@@ -14,17 +14,21 @@ again.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.envelope import ERR_EMPTY, ERR_JSON, ERR_UTF8, message_text, parse_envelope, quarantine_value
+from .buffers import LANES, MAX_AGE_MS, ROWS_PER_FLUSH, buffered
+from .compact import open_place
 
 S = T.StringType()
 D = T.DoubleType()
@@ -90,9 +94,11 @@ def legacy_rows(lake_rows: DataFrame, event_type: str) -> DataFrame:
     return picked.select(F.from_json(RAW_JSON, LEGACY_SCHEMAS[event_type]).alias("r"), RAW_JSON).select("r.*", RAW_JSON)
 
 
-def write_legacy_batch(batch: DataFrame, batch_id: int, lake_root: str, dead_letter_root: str) -> None:
+def write_legacy_batch(
+    batch: DataFrame, batch_id: int, lake_root: str, dead_letter_root: str, rows_per_file: int = 0
+) -> None:
     """Append every message under ``{lake}/event_type=/dt=/hr=`` (K2, T-3),
-    or to the quarantine."""
+    or to the quarantine; ``rows_per_file`` bounds the files' rows."""
     now = F.current_timestamp()
     routed = batch.select(
         F.col("key").cast("string").alias(TYPE_PARTITION),
@@ -105,7 +111,9 @@ def write_legacy_batch(batch: DataFrame, batch_id: int, lake_root: str, dead_let
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = routed.filter(F.col("error").isNull()).select(RAW_JSON, *LEGACY_PARTITIONS)
-        good.write.mode("append").partitionBy(*LEGACY_PARTITIONS).option("compression", "snappy").parquet(lake_root)
+        good.write.mode("append").partitionBy(*LEGACY_PARTITIONS).option("compression", "snappy").option(
+            "maxRecordsPerFile", rows_per_file
+        ).parquet(lake_root)
         bad = routed.filter(F.col("error").isNotNull())
         bad.select("partition", "offset", "error", quarantine_value(F.col(RAW_JSON)).alias("raw_value")).write.mode(
             "append"
@@ -124,9 +132,9 @@ def legacy_ingest(
 ) -> StreamingQuery:
     """v1 consumer: a micro-batch every ``trigger_interval``, split by key.
 
-    The trigger is the age limit of a type's buffer (T-2); its row limit has
-    no equal here, since one batch writes all types. A topic source's
-    ``maxOffsetsPerTrigger`` bounds a batch instead.
+    The trigger is the age limit, and one batch writes all types; for the rule
+    of so many rows of a type or so long (T-2) see
+    :func:`legacy_ingest_buffered`.
 
     With a topic source, start from ``latest`` (S2); progress is kept in the
     checkpoint, so unlike auto-commit no buffered row is lost on a crash.
@@ -138,6 +146,36 @@ def legacy_ingest(
     return writer.start()
 
 
+def legacy_ingest_buffered(
+    messages: DataFrame,
+    lake_root: str,
+    dead_letter_root: str,
+    checkpoint: str,
+    rows: int = ROWS_PER_FLUSH,
+    max_age_ms: int = MAX_AGE_MS,
+    lanes: int = LANES,
+    trigger_interval: str = "1 second",
+) -> StreamingQuery:
+    """v1 consumer with a buffer per event type that is written at ``rows``
+    rows or ``max_age_ms`` after its first one (T-2). No file has more than
+    ``rows`` rows. Buffers are state, so nothing waiting is lost in a crash;
+    :func:`evstar.streaming.buffers.drain_buffers` ends a bounded run. Needs
+    the RocksDB state store."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        flushes = batch.repartition("key", "lane", "flush").sortWithinPartitions("key", "lane", "flush")
+        write_legacy_batch(flushes.drop("lane", "flush"), batch_id, lake_root, dead_letter_root, rows)
+
+    return (
+        buffered(messages, rows, max_age_ms, lanes)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .foreachBatch(write)
+        .trigger(processingTime=trigger_interval)
+        .start()
+    )
+
+
 _LOADED = "file_path string, load_id int"
 _ERRORS = "file_path string, error string, raw_json string, load_id int"
 
@@ -150,55 +188,105 @@ def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _new_files(spark: SparkSession, folder: str, loaded: DataFrame) -> list[str]:
-    """Files of a type folder that the manifest does not hold (metadata
-    only; as many names as there are new files)."""
+def _new_files(spark: SparkSession, folder: str, loaded: DataFrame) -> DataFrame:
+    """``file_path`` of the files of a type folder that the manifest does not
+    hold (metadata only)."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(folder)
     except AnalysisException:  # no message of this type so far
-        return []
-    names = files.select(F.col("path").alias("file_path")).join(loaded.select("file_path").distinct(), "file_path", "left_anti")
-    return sorted(r[0] for r in names.collect())
-
-
-def _named_file(error: Exception, files: list[str]) -> str | None:
-    """The one of ``files`` that a read error names."""
-    text = str(error)
-    leaf = {f.rsplit("/", 1)[-1]: f for f in files}
-    return next((leaf[n] for n in re.findall(r"[^/\s]+\.parquet", text) if n in leaf), None)
+        return spark.createDataFrame([], "file_path string")
+    return files.select(F.col("path").alias("file_path")).join(loaded.select("file_path").distinct(), "file_path", "left_anti")
+
+
+def _same_file(path: str) -> Column:
+    """A file's path, however many slashes come after the scheme."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _misfit(found: pa.Schema, wanted: T.StructType) -> str | None:
+    """A column whose type in a file cannot be read as the wanted one."""
+    for f in wanted:
+        if f.name in found.names:
+            kind = found.field(f.name).type
+            fits = {
+                S: pa.types.is_string(kind) or pa.types.is_large_string(kind),
+                D: pa.types.is_float64(kind) or pa.types.is_float32(kind),
+                I: pa.types.is_int32(kind) or pa.types.is_int16(kind) or pa.types.is_int8(kind),
+            }
+            if not fits[f.dataType]:
+                return f"column {f.name} is {kind}, wanted {f.dataType.simpleString()}"
+    return None
+
+
+def _probe(files: DataFrame, schema: T.StructType) -> DataFrame:
+    """``file_path, rows, error``: every file read to its end in tasks; the
+    error is NULL where that works and the columns have the wanted types.
+    All bad files are found in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, rows, errors = batch.column(0).to_pylist(), [], []
+            for path in paths:
+                n, said = 0, None
+                try:
+                    store, place = open_place(path)
+                    with store.open_input_file(place) as source:
+                        file = pq.ParquetFile(source)
+                        said = _misfit(file.schema_arrow, schema)
+                        n = sum(b.num_rows for b in file.iter_batches(1024))
+                except Exception as error:  # whatever is wrong with it, it goes to the error log
+                    said = str(error).split("\n", 1)[0][:500] or type(error).__name__
+                rows.append(n)
+                errors.append(said)
+            yield pa.record_batch(
+                [pa.array(paths, pa.string()), pa.array(rows, pa.int64()), pa.array(errors, pa.string())], names=["file_path", "rows", "error"]
+            )
+
+    spread = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(spread, "file_path").mapInArrow(run, "file_path string, rows long, error string")
 
 
 def _load_table(spark: SparkSession, folder: str, table_root: str, state_root: str, schema: T.StructType) -> int:
+    """Load the new files of one type in one pass. File names stay in tables:
+    the driver sees the folders that hold new files (at most the hours). A
+    load that misses rows of a whole file fails and does not count."""
     loaded = _log(spark, f"{state_root}/manifest", _LOADED)
-    files = _new_files(spark, folder, loaded)
     load_id = (loaded.agg(F.max("load_id")).first()[0] or 0) + 1
-    target, failed = f"{table_root}/load-{load_id:06d}", []
-    while files:
-        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*files)
-        typed = F.to_variant_object(F.struct(*[F.col(f.name) for f in schema.fields if f.name != RAW_JSON]))
-        parsed = F.try_parse_json(F.col(RAW_JSON))
-        good = rows.filter(F.col(RAW_JSON).isNull() | parsed.isNotNull())
-        bad = rows.filter(F.col(RAW_JSON).isNotNull() & parsed.isNull())
-        try:
-            good.select(F.coalesce(parsed, typed).alias("raw_data"), F.localtimestamp().alias("loaded_at")).write.mode(
-                "overwrite"
-            ).parquet(target)
-            bad.select(
-                F.col("_metadata.file_path").alias("file_path"), F.lit(ERR_JSON).alias("error"), RAW_JSON, F.lit(load_id).alias("load_id")
-            ).write.mode("overwrite").parquet(f"{state_root}/row_errors/load-{load_id:06d}")
-            break
-        except (PySparkException, Py4JJavaError) as error:
-            name = _named_file(error, files)
-            if name is None:
-                raise
-            files.remove(name)
-            failed.append((name, str(error).split("\n", 1)[0][:500], None, load_id))
-    if failed:
-        spark.createDataFrame(failed, _ERRORS).coalesce(1).write.mode("append").parquet(f"{state_root}/file_errors")
-    if not files:
+    named = f"load-{load_id:06d}"
+    _probe(_new_files(spark, folder, loaded), schema).write.mode("overwrite").parquet(f"{state_root}/probed/{named}")
+    probed = spark.read.parquet(f"{state_root}/probed/{named}")
+    good_files = probed.filter("error is null").select("file_path")
+    bad_files = probed.filter("error is not null").select(
+        "file_path", "error", F.lit(None).cast("string").alias(RAW_JSON), F.lit(load_id).alias("load_id")
+    )
+    whole = F.col("error").isNull()
+    found = probed.agg(
+        F.count_if(whole).alias("good"), F.count("error").alias("bad"), F.sum(F.when(whole, F.col("rows"))).alias("rows")
+    ).first()
+    if found["bad"]:
+        bad_files.write.mode("append").parquet(f"{state_root}/file_errors")
+    if not found["good"]:
         return 0
-    spark.createDataFrame([(f, load_id) for f in files], _LOADED).coalesce(1).write.mode("append").parquet(f"{state_root}/manifest")
-    return spark.read.parquet(target).count()
+    folders = [r[0] for r in good_files.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1)).distinct().collect()]
+    # Files put aside, and old ones of the same hours, are left by the join.
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").parquet(*folders)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("of_file"))
+    wanted = good_files.select(_same_file("file_path").alias("wanted"))
+    rows = rows.join(wanted, _same_file("of_file") == F.col("wanted"), "left_semi")
+    typed = F.to_variant_object(F.struct(*[F.col(f.name) for f in schema.fields if f.name != RAW_JSON]))
+    parsed = F.try_parse_json(F.col(RAW_JSON))
+    target = f"{table_root}/{named}"
+    good = rows.filter(F.col(RAW_JSON).isNull() | parsed.isNotNull())
+    bad = rows.filter(F.col(RAW_JSON).isNotNull() & parsed.isNull())
+    good.select(F.coalesce(parsed, typed).alias("raw_data"), F.localtimestamp().alias("loaded_at")).write.mode("overwrite").parquet(target)
+    bad.select(F.col("of_file").alias("file_path"), F.lit(ERR_JSON).alias("error"), RAW_JSON, F.lit(load_id).alias("load_id")).write.mode(
+        "overwrite"
+    ).parquet(f"{state_root}/row_errors/{named}")
+    loaded_rows, skipped = spark.read.parquet(target).count(), spark.read.parquet(f"{state_root}/row_errors/{named}").count()
+    if loaded_rows + skipped != found["rows"]:
+        raise RuntimeError(f"{found['rows']} rows in the files, {loaded_rows + skipped} read: nothing is counted as loaded")
+    good_files.select("file_path", F.lit(load_id).alias("load_id")).write.mode("append").parquet(f"{state_root}/manifest")
+    return loaded_rows
 
 
 def legacy_load(spark: SparkSession, lake_root: str, tables_root: str, state_root: str) -> dict[str, int]:
@@ -212,12 +300,15 @@ def legacy_load(spark: SparkSession, lake_root: str, tables_root: str, state_roo
     anew. Returns the rows appended per table.
     """
     lake, tables, state = lake_root.rstrip("/"), tables_root.rstrip("/"), state_root.rstrip("/")
-    appended = {}
-    for table, event_type in LEGACY_TABLES.items():
+
+    def load(item: tuple[str, str]) -> tuple[str, int]:
+        table, event_type = item
         schema = T.StructType(LEGACY_SCHEMAS[event_type].fields + [T.StructField(RAW_JSON, S)])
         folder = f"{lake}/{TYPE_PARTITION}={event_type}"
-        appended[table] = _load_table(spark, folder, f"{tables}/{table}", f"{state}/{table}", schema)
-    return appended
+        return table, _load_table(spark, folder, f"{tables}/{table}", f"{state}/{table}", schema)
+
+    with ThreadPoolExecutor(len(LEGACY_TABLES)) as together:  # the tables do not depend on each other
+        return dict(together.map(load, LEGACY_TABLES.items()))
 
 
 def read_legacy_table(spark: SparkSession, tables_root: str, state_root: str, table: str) -> DataFrame:

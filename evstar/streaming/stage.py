@@ -1,26 +1,24 @@
 """Incremental order staging: only raw rows loaded since the last run are
-parsed and typed, instead of every order event on every build.
+parsed and typed, and only the buckets they fall into are rewritten.
 
 A file-source stream over the raw table (it reads the table's commit log,
-so only committed files) feeds micro-batches. Each batch keeps the first
-delivery of every event within itself and writes its typed rows to a folder
-of its own, ``{root}/batch=N``; a batch replayed after a crash replaces that
-folder. The staged orders are the first deliveries (W1: ingest time, then
-offset) over all these rows, whatever order the copies came in, and NULL ids
-form one event: the same as ``stg_orders`` over the whole raw table. A batch
-costs as much as its own rows; only the reader dedups across batches, over
-typed columns.
+so only committed files) feeds micro-batches. Each batch is merged into a
+table in hash buckets of the event id (:mod:`evstar.streaming.keyed`), which
+keeps the first delivery of every event (W1: ingest time, then offset),
+whatever order the copies came in; NULL ids form one event: the same as
+``stg_orders`` over the whole raw table. A batch costs its own rows and the
+buckets it touches, and reading costs a plain scan.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import first_delivery
-from ..plans.staging import BAD_FIELD, first_orders, typed_orders
+from ..plans.staging import BAD_FIELD, checked_orders, typed_orders
 from ..sources.lake import RAW_EVENTS_SCHEMA
+from .keyed import BUCKETS, KeyedTable
 from .load import MAX_FILE_AGE
 
 TYPED_ORDERS_SCHEMA = T.StructType(
@@ -42,23 +40,21 @@ TYPED_ORDERS_SCHEMA = T.StructType(
 )
 
 
-def read_typed_orders(spark: SparkSession, staged_root: str) -> DataFrame:
-    """The typed copies of all batches (none before the first run)."""
-    try:
-        return spark.read.schema(TYPED_ORDERS_SCHEMA).parquet(staged_root).select(*TYPED_ORDERS_SCHEMA.fieldNames())
-    except AnalysisException:  # no batch yet
-        return spark.createDataFrame([], TYPED_ORDERS_SCHEMA)
+def staged_table(spark: SparkSession, staged_root: str, buckets: int = BUCKETS) -> KeyedTable:
+    """The kept copy of every order event, typed."""
+    order = [F.col("ingested_at").asc_nulls_last(), F.col("kafka_offset").asc_nulls_last()]
+    return KeyedTable(spark, staged_root, TYPED_ORDERS_SCHEMA, "event_id", order, buckets)
 
 
 def read_staged_orders(spark: SparkSession, staged_root: str) -> DataFrame:
     """The staged orders, one row per event."""
-    return first_orders(read_typed_orders(spark, staged_root))
+    return checked_orders(staged_table(spark, staged_root).read())
 
 
-def stage_batch(batch: DataFrame, batch_id: int, staged_root: str, order_type: str = "order") -> None:
-    """Write the typed orders of one batch of raw rows to its folder."""
-    rows = first_delivery(typed_orders(batch, order_type))
-    rows.select(*TYPED_ORDERS_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{staged_root}/batch={batch_id}")
+def stage_batch(batch: DataFrame, batch_id: int, staged_root: str, order_type: str = "order", buckets: int = BUCKETS) -> None:
+    """Merge the typed orders of one batch of raw rows. A batch that is
+    replayed, under whatever number, changes nothing."""
+    staged_table(batch.sparkSession, staged_root, buckets).merge(typed_orders(batch, order_type))
 
 
 def stage_orders(
@@ -68,6 +64,7 @@ def stage_orders(
     checkpoint: str,
     order_type: str = "order",
     max_files_per_trigger: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Bring the staged orders up to date with the raw table and return them."""
     reader = spark.readStream.schema(RAW_EVENTS_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
@@ -76,7 +73,7 @@ def stage_orders(
     query = (
         reader.parquet(raw_root)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, batch_id: stage_batch(df, batch_id, staged_root, order_type))
+        .foreachBatch(lambda df, batch_id: stage_batch(df, batch_id, staged_root, order_type, buckets))
         .trigger(availableNow=True)
         .start()
     )
