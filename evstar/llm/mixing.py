@@ -3,9 +3,10 @@ functions only.
 
 A source with share ``w`` of the target and size ``s`` (characters of text)
 gets the mean repetition rate ``w * total / s``. Each document inverts a
-Poisson distribution with that mean at a uniform number hashed from its id
-and a seed, is exploded by the count it gets, and all copies are shuffled
-globally by a hash.
+Poisson distribution with that mean at a uniform number hashed from its id,
+its text and a seed, is exploded by the count it gets, and all copies are
+shuffled globally by a hash. Rows with the same id and text are told apart by
+their place in the input, so each draws for itself.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, stored
+from .common import stored
 
 #: A mean above this is drawn as a sum of that many equal independent parts,
 #: which keeps each part's distribution table short.
@@ -22,6 +23,8 @@ MAX_MEAN = 16.0
 #: a shuffle, in which adaptive execution splits a hot source.
 MAX_BROADCAST_SOURCES = 10_000
 SEED = 17
+#: Keys that rows with one id and text are spread over.
+SALTS = 16
 
 
 def hash_uniform(*parts: Column) -> Column:
@@ -67,28 +70,50 @@ def mixing_rates(docs: DataFrame, weights: dict[str, float] | None = None) -> Da
     return rates.withColumn("mix_cdf", F.transform(steps, lambda x: x["c"]))
 
 
+def _row_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__mix_row``, a text that names each row: its id, a hash
+    of its text, and 0, or its place in the input where other rows have the
+    same id and text. Documents take part in a join only if there are such."""
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    named = F.concat_ws(":", doc_id, F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    repeats = docs.select(named.alias("__mix_of")).groupBy("__mix_of").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeats = stored(repeats.select("__mix_of"), "mix-repeats")
+    if repeats.isEmpty():
+        return docs.select("*", F.concat(named, F.lit(":0")).alias("__mix_row"))
+    place = F.monotonically_increasing_id()
+    rows = docs.select("*", named.alias("__mix_name"), place.alias("__mix_place"), F.pmod(place, F.lit(SALTS)).cast("int").alias("__mix_salt"))
+    spread = repeats.select("__mix_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__mix_part"))
+    joined = rows.join(spread, (F.col("__mix_name") == F.col("__mix_of")) & (F.col("__mix_salt") == F.col("__mix_part")), "left")
+    number = F.when(F.col("__mix_of").isNull(), 0).otherwise(F.col("__mix_place") + 1)
+    row = F.concat_ws(":", "__mix_name", number.cast("string")).alias("__mix_row")
+    return joined.select("*", row).drop("__mix_name", "__mix_place", "__mix_salt", "__mix_of", "__mix_part")
+
+
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """Copies of ``docs`` in global random order, with ``n_copies`` (of the
     document), ``copy_no`` (from 1) and ``shuffle_key`` added.
 
     A document drawn zero times has no row. A null source is a source of its
-    own; a null text has size 0. Rows that repeat a ``doc_id`` get the same
-    count and keys; a null id counts as one id. An empty table gives an empty
-    result. Input columns named like a result column are replaced.
+    own; a null text has size 0. Rows that repeat a ``doc_id`` (or have none)
+    draw each for itself, also where the text repeats. An empty table gives an
+    empty result. Input columns named like a result column, or beginning with
+    ``__mix_``, are replaced.
     """
-    rates = stored(mixing_rates(docs, weights).select("mix_source", "mix_parts", "mix_cdf"), "mix-rates")
+    rates = mixing_rates(docs, weights).select(*[F.col(c).alias(f"__{c}") for c in ("mix_source", "mix_parts", "mix_cdf")])
+    rates = stored(rates, "mix-rates")
     if rates.count() <= MAX_BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    joined = docs.join(rates, docs["source"].eqNullSafe(rates["mix_source"]))
+    taken = {"n_copies", "copy_no", "shuffle_key", "__mix_row", "__mix_name", "__mix_place", "__mix_salt", "__mix_of", "__mix_part", "__mix_source", "__mix_parts", "__mix_cdf"}
+    named = _row_names(docs.drop(*[c for c in docs.columns if c.lower() in taken]))
+    joined = named.join(rates, F.col("source").eqNullSafe(F.col("__mix_source")))
     # A uniform number for each part, then how many table entries it passes.
     draws = F.transform(
-        F.sequence(F.lit(1), rates["mix_parts"]), lambda j: hash_uniform(docs["doc_id"], F.lit(seed), j)
+        F.sequence(F.lit(1), F.col("__mix_parts")), lambda j: hash_uniform(F.col("__mix_row"), F.lit(seed), j)
     )
-    counts = F.transform(draws, lambda u: F.size(F.filter(rates["mix_cdf"], lambda c: c <= u)))
+    counts = F.transform(draws, lambda u: F.size(F.filter("__mix_cdf", lambda c: c <= u)))
     n = F.aggregate(counts, F.lit(0), lambda a, x: a + x)
-    taken = {"n_copies", "copy_no", "shuffle_key"}
-    own = [docs[quoted(c)] for c in docs.columns if c.lower() not in taken]
-    counted = joined.select(*own, n.alias("n_copies")).filter("n_copies > 0")
+    counted = joined.select("*", n.alias("n_copies")).filter("n_copies > 0").drop("__mix_source", "__mix_parts", "__mix_cdf")
     copies = counted.select("*", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy_no"))
-    key = F.md5(F.concat_ws(":", F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed), F.col("copy_no")))
-    return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    key = F.md5(F.concat_ws(":", F.lit("order"), F.col("__mix_row"), F.lit(seed), F.col("copy_no")))
+    keyed = copies.select("*", key.alias("shuffle_key")).drop("__mix_row")
+    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -176,19 +176,19 @@ WITH sizes AS (
     SELECT source, parts, k, sum(exp(-mean + CASE WHEN k = 0 THEN 0 ELSE k * ln(mean) END - lgamma(k + 1.0)))
         OVER (PARTITION BY source ORDER BY k) AS c
     FROM split, LATERAL (SELECT unnest(range(ceil(mean + 12 * sqrt(mean) + 16)::INT + 1)) AS k)
+), numbered AS (
+    SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':0' AS name, row_number() OVER () AS r FROM documents
 ), draws AS (
-    SELECT d.doc_id, d.source, d.text, j,
-        ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || ':17:' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
-    FROM (SELECT d.*, parts FROM documents d JOIN split s ON d.source IS NOT DISTINCT FROM s.source) d,
+    SELECT d.r, d.source, j, ('0x' || substr(md5(d.name || ':17:' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+    FROM (SELECT d.*, parts FROM numbered d JOIN split s ON d.source IS NOT DISTINCT FROM s.source) d,
         LATERAL (SELECT unnest(range(1, parts + 1)) AS j)
 ), counts AS (
-    SELECT d.doc_id, d.source, any_value(d.text) AS text, count(t.k)::INT AS n_copies
+    SELECT d.r, count(t.k)::INT AS n_copies
     FROM draws d LEFT JOIN terms t ON d.source IS NOT DISTINCT FROM t.source AND t.c <= d.u
-    GROUP BY d.doc_id, d.source
+    GROUP BY d.r
 )
-SELECT doc_id, text, source, n_copies, copy_no::INT AS copy_no,
-    md5('order:' || coalesce(doc_id::VARCHAR, '') || ':17:' || copy_no) AS shuffle_key
-FROM counts, LATERAL (SELECT unnest(range(1, n_copies + 1)) AS copy_no)
+SELECT d.doc_id, d.text, d.source, c.n_copies, copy_no::INT AS copy_no, md5('order:' || d.name || ':17:' || copy_no) AS shuffle_key
+FROM counts c JOIN numbered d USING (r), LATERAL (SELECT unnest(range(1, c.n_copies + 1)) AS copy_no)
 """,
     "op7_decontaminate": r"""
 WITH doc_words AS (
