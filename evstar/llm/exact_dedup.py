@@ -10,9 +10,11 @@ never merge:
    share is spread over ``SALTS`` reducers;
 3. the salt winners (at most ``SALTS`` per text) are combined globally.
 
-The salts a text occupies come back as a bit mask, so labels reach the rows
-through a join on (digest, salt) in which no key holds more than a
-``1/SALTS`` part of the largest group.
+A row's salt comes from its place in the input, not from its id, so rows that
+share an id are spread, too. The rows' ids, digests and salts are written once;
+the salts a digest occupies are a bit mask, and labels reach the rows through a
+join on (digest, salt) in which no key holds more than about a ``1/SALTS`` part
+of the largest group.
 """
 
 from __future__ import annotations
@@ -58,36 +60,29 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex
     than sha256 only cost time, since contents are always compared.
     """
     rows = docs.select(F.col("doc_id"), ascii_lower(F.coalesce(F.col("text"), F.lit(""))).alias("norm"))
-    rows = rows.select(
-        "doc_id",
-        "norm",
-        digest(F.col("norm")).alias("digest"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
-    )
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    rows = rows.select("doc_id", "norm", digest(F.col("norm")).alias("digest"), salt.alias("salt"))
+    places = stored(rows.drop("norm"), "dedup-rows")
     merged = rows.groupBy("digest", "salt", "norm").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")
     )
-    winners = merged.groupBy("digest", "norm").agg(
-        F.max("keep_id").alias("keep_id"),
-        F.sum("n").alias("group_size"),
-        F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"),
-    )
+    winners = merged.groupBy("digest", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     winners = stored(
-        winners.select("digest", "keep_id", "group_size", "mask", sha256_hex(F.col("norm")).alias("text_sha256")),
+        winners.select("digest", "keep_id", "group_size", sha256_hex(F.col("norm")).alias("text_sha256")),
         "dedup-winners",
     )
     contents = winners.groupBy("digest").agg(
         F.count(F.lit(1)).alias("contents"),
         F.max("keep_id").alias("keep_id"),
         F.max("group_size").alias("group_size"),
-        F.bit_or("mask").alias("mask"),
         F.max("text_sha256").alias("text_sha256"),
     )
+    masks = places.groupBy("digest").agg(F.bit_or(F.expr("shiftleft(1L, salt)")).alias("mask"))
     salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), s)) != 0)
-    single = contents.filter("contents = 1").select(
+    single = contents.filter("contents = 1").join(masks, "digest").select(
         "digest", F.explode(salts).alias("salt"), "keep_id", "group_size", "text_sha256"
     )
-    labelled = rows.drop("norm").join(stored(single, "dedup-classes"), ["digest", "salt"])
+    labelled = places.join(stored(single, "dedup-classes"), ["digest", "salt"])
     shared = contents.filter("contents > 1").select("digest")
     if not shared.isEmpty():  # digests that several texts share: compare the texts themselves
         clash = rows.join(shared, "digest", "left_semi")

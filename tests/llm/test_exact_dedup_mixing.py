@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from evstar.llm.exact_dedup import ascii_lower, exact_dedup
+from evstar.llm.exact_dedup import SALTS, ascii_lower, exact_dedup
 from evstar.llm.mixing import hash_uniform, mix_sources, mixing_rates
 
 DOCS = "doc_id long, text string, source string, digest string, salt int, copy_no int, mix_cdf string"
@@ -81,7 +81,8 @@ def test_mixing_counts_follow_the_inverted_distribution(spark):
     docs = make(spark, rows)
     rates = {r["mix_source"]: r["rate"] for r in mixing_rates(docs, {"a": 60.0, "b": 1.0}).collect()}
     assert rates["c"] == 0 and rates["a"] > 2
-    draws = {r[0]: r[1] for r in docs.select("doc_id", hash_uniform(F.col("doc_id"), F.lit(17), F.lit(1))).collect()}
+    name = F.concat_ws(":", F.col("doc_id").cast("string"), F.md5("text"), F.lit("0"))
+    draws = {r[0]: r[1] for r in docs.select("doc_id", hash_uniform(name, F.lit(17), F.lit(1))).collect()}
     want = {i: poisson_quantile(rates[s], draws[i]) for i, _, s in rows if rates[s]}
     got = mix_sources(docs, {"a": 60.0, "b": 1.0}).collect()
     counts = Counter(r["doc_id"] for r in got)
@@ -109,8 +110,8 @@ def test_mixing_awkward_rows(spark):
     rows = [(None, "a b", None), (None, "a b", None), (1, None, "s"), (2, "", "t"), (3, "some text", "s"), (3, "some text", "s")]
     got = mix_sources(make(spark, rows))
     assert got.columns == ["doc_id", "text", "source", "digest", "salt", "mix_cdf", "n_copies", "copy_no", "shuffle_key"]
-    counts = Counter((r["doc_id"], r["copy_no"]) for r in got.collect())
-    assert all(n == 2 for (i, _), n in counts.items() if i in (None, 3))
+    assert all(r["mix_cdf"] == "c" and r["salt"] == 7 for r in got.collect())
+    assert len({r["shuffle_key"] for r in got.collect()}) == got.count()  # equal rows have keys of their own
     assert mix_sources(make(spark, rows).limit(0)).count() == 0
     again = Counter(map(tuple, mix_sources(make(spark, rows)).collect()))
     assert again == Counter(map(tuple, got.collect()))
@@ -126,3 +127,21 @@ def test_mixing_order_is_global(spark):
     ids = [r["doc_id"] for r in mix_sources(make(spark, rows)).collect()]
     later = sum(a < b for a, b in zip(ids, ids[1:]))
     assert 0.35 < later / len(ids) < 0.65  # neither ascending nor descending
+
+
+@pytest.mark.parametrize("seed", [17, 18, 20])
+@pytest.mark.parametrize("same_text", [True, False])
+def test_rows_that_share_an_id_draw_for_themselves(spark, seed, same_text):
+    rows = [(None if i % 3 else i, "word " * 20 if same_text else f"word {i:05d} " + "word " * 18, "big" if i % 2 else "small") for i in range(3000)]
+    got = mix_sources(make(spark, rows).repartition(5), {"big": 1.0, "small": 1.0}, seed).select("doc_id", "source", "shuffle_key").collect()
+    assert abs(len(got) - 3000) < 150
+    assert abs(sum(r["source"] == "big" for r in got) / len(got) - 0.5) < 0.05
+    assert abs(sum(r["doc_id"] is None for r in got) / len(got) - 2 / 3) < 0.05
+    assert len({r["shuffle_key"] for r in got}) == len(got)
+
+
+def test_dedup_spreads_rows_of_one_id(spark):
+    rows = [(1, "a" if i % 2 else "b", "s") for i in range(6000)]
+    assert Counter(map(tuple, exact_dedup(make(spark, rows).repartition(4)).collect())) == expected(rows)
+    spread = make(spark, rows).repartition(4).select((F.monotonically_increasing_id() % SALTS).alias("salt")).groupBy("salt").count()
+    assert spread.count() == SALTS and max(r["count"] for r in spread.collect()) < 2 * 6000 / SALTS
