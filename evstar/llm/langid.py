@@ -14,7 +14,6 @@ scores a batch of texts with two array look-ups per byte.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +32,6 @@ MIN_CONTEXT = 2
 #: Bytes scored at a time in a task.
 BYTES_AT_A_TIME = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def fold(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass")
 
@@ -155,7 +151,7 @@ class ContextTrees:
         best = lengths.argmin(axis=1)
         gap = np.minimum(lengths - lengths.min(axis=1, keepdims=True), 1000.0)
         score = 1 / np.exp2(-gap).sum(axis=1)
-        lettered = [bool(_LETTER.search(t)) for t in texts]
+        lettered = [any(map(str.isalpha, t)) for t in texts]  # a character of category L
         return (
             [self.langs[b] if ok else "und" for b, ok in zip(best, lettered)],
             np.where(lettered, score, 0.0),

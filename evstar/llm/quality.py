@@ -16,15 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, texts_of
+from .common import held_out, map_batches, texts_of
 from .sampling import labelled_sample
 
 PASSAGE_WORDS = 64
 #: Labelled documents the network is fitted on, at most.
 TRAINING_DOCS = 4000
-#: Passages of one training document that the fit sees, evenly spread (the
-#: score of a document always uses all of them).
-TRAINING_PASSAGES = 32
 THRESHOLD = 0.3
 HIDDEN = 16
 STEPS = 120
@@ -169,7 +166,8 @@ class AttentionModel:
 def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS) -> AttentionModel | None:
     """Fit on a bounded sample of labelled documents that are not held out;
     None if it has no or only one label. Tasks encode the sample; the driver
-    gets at most ``training_docs`` bags of ``TRAINING_PASSAGES`` passages."""
+    gets at most ``training_docs`` whole bags, 104 bytes for each passage of
+    ``PASSAGE_WORDS`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,12 +175,11 @@ def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
             for start, texts in texts_of(batch, "text"):
                 x, sizes = passage_features(texts)
                 bags = np.split(x, np.cumsum(sizes)[:-1])
-                spread = [b[np.unique(np.linspace(0, len(b) - 1, TRAINING_PASSAGES).astype(int))] for b in bags]
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(start, len(texts)),
                         pa.array(keep[start : start + len(texts)], pa.int32()),
-                        pa.array([b.astype("<f4").tobytes() for b in spread], pa.binary()),
+                        pa.array([b.astype("<f4").tobytes() for b in bags], pa.binary()),
                     ],
                     names=["doc_id", "label", "bag"],
                 )
@@ -230,6 +227,7 @@ def score_quality(docs: DataFrame, model: AttentionModel | None, threshold: floa
 def keep_good(docs: DataFrame, model: AttentionModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold, unchanged; they are
     filtered where they are read, without a join."""
+    at = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +235,7 @@ def keep_good(docs: DataFrame, model: AttentionModel | None, threshold: float =
             if shared.value is None:
                 yield batch
                 continue
-            scores = [np.empty(0)] + [shared.value.forward(*passage_features(t))[0] for _, t in texts_of(batch, "text")]
+            scores = [np.empty(0)] + [shared.value.forward(*passage_features(t))[0] for _, t in texts_of(batch, at)]
             yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

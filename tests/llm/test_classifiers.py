@@ -242,3 +242,35 @@ def test_more_disguises_are_restored(restorer, shown, word):
 )
 def test_disguises_are_found_in_texts(restorer, text, word):
     assert word in {w for t in toxicity.tokens_of(text) for w in restorer.words(t)}
+
+
+def test_sample_is_bounded_whatever_the_names_and_repeats(spark):
+    from pyspark.sql import functions as F
+
+    from evstar.llm.sampling import labelled_sample
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(400)] + [(i, "t") for i in range(2, 40)], "doc_id long, text string")
+    docs = docs.select("*", *[F.lit("x").alias(c) for c in ("draw", "sample_label", "sample_id", "label", "half", "quality", "toxic", "row_text")]).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int").withColumn("draw", F.lit(0))
+    rows = labelled_sample(docs, labels, "quality", 25).collect()
+    assert 0 < len(rows) <= 25 and len({r["doc_id"] for r in rows}) == len(rows)
+    model = quality.train(docs, labels)
+    assert quality.keep_good(docs, model).dtypes == docs.dtypes
+    assert quality.score_quality(docs, model).count() == docs.count()
+    toxicity.score_toxicity(docs, toxicity.train(docs, labels)).count()
+
+
+def test_whole_bags_are_fitted(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality.AttentionModel, "fit", lambda self, x, sizes, y, **_: seen.append(sorted(sizes.tolist())))
+    docs = spark.createDataFrame([(2, "w " * 64 * 50), (3, "w"), (4, "w " * 65)], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1), (3, 0), (4, 0)], "doc_id long, quality int")
+    quality.train(docs, labels)
+    assert seen[0][-1] in (2, 50) and sum(seen[0]) == sum({2: 50, 3: 1, 4: 2}[i] for i in (2, 3, 4) if zlib.crc32(str(i).encode()) % 5)
+
+
+def test_numbers_that_are_no_letters_have_no_language(spark):
+    docs = spark.createDataFrame([(i, "der die das und ist nicht ein eine", "de") for i in range(60)], "doc_id long, text string, lang string")
+    trees = langid.train(docs)
+    assert trees.predict(["\u00bd \u2461", "\u2167", "12 _", "\u3007"])[0] == ["und"] * 4
+    assert trees.predict(["\u00aa", "x", "\u4e00"])[0] == ["de"] * 3
