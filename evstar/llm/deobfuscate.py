@@ -77,6 +77,7 @@ class Restorer:
         smooth = c + 8 * lower[None]
         self.bits = (-np.log2(smooth / smooth.sum(axis=2, keepdims=True))).tolist()
         self.known: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}  # what was decoded beforehand
 
     def _steps(self, text: str, k: int) -> list[tuple[str, float]]:
         """What character ``k`` may emit, with the channel's cost."""
@@ -118,6 +119,8 @@ class Restorer:
 
     def restore(self, token: str) -> str:
         """``decode``, remembered."""
+        if token in self.decoded:
+            return self.decoded[token]
         if token not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -127,8 +130,21 @@ class Restorer:
     def words(self, token: str) -> set[str]:
         """The words of a token as written and as restored."""
         found = set(_RUN.findall(token))
-        core = token.rstrip(_EDGE + "!)]}…").lstrip(_EDGE + "[{")  # without punctuation at the ends
-        if _LETTER.search(core) and DISGUISED.search(core):
-            for shown in {core, core.lstrip("(")}:  # a bracket or an imitation
-                found.update(_RUN.findall(self.restore(shown)))
+        for shown in disguises(token):
+            found.update(_RUN.findall(self.restore(shown)))
         return found
+
+
+def disguises(token: str) -> set[str]:
+    """What of a token is to be decoded: without punctuation at its ends, and
+    with and without a bracket that may be an imitation; nothing of a token
+    that shows no disguise."""
+    core = token.rstrip(_EDGE + "!)]}…").lstrip(_EDGE + "[{")
+    if _LETTER.search(core) and DISGUISED.search(core):
+        return {core, core.lstrip("(")}
+    return set()
+
+
+def plain_words(token: str) -> list[str]:
+    """The words of a token as written."""
+    return _RUN.findall(token)
