@@ -1,5 +1,6 @@
-"""Build gate (Q-GATE): models in dependency order, each followed by its
-data-quality checks; a failing check stops the build loudly.
+"""Build gate (Q-GATE): models and their data-quality checks as a dependency
+graph (:mod:`evstar.plans.graph`). Independent models and checks run at once;
+what needs a model with a failing check is skipped, and the build fails loudly.
 
 Every build writes its models to a folder of its own,
 ``{warehouse}/builds/{build id}``: staging models for the time of the build,
@@ -7,7 +8,7 @@ marts to stay. Reading them back cuts their lineage, so a lost executor never
 recomputes the upstream chain. Once all checks have run, the build is
 published by one more entry in ``{warehouse}/published``; readers
 (:func:`read_mart`) follow the last entry, so they see a whole build or the
-one before it, never a half-written table.
+one before it, never a half-written table. Builds before the last few are removed.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.calendar import date_spine_covering
 from ..operators import quality as q
+from ..storage import Folders
 from . import marts, staging
+from .graph import Task, run_tasks
 
 
 @dataclass(frozen=True)
@@ -77,28 +81,38 @@ CHECKS: list[Check] = [
     _rel("fact_orders", "order_date_key", "dim_date", "date_key"),
 ]
 
-def steps(order_type: str = "order") -> list[tuple[str, str, Callable[[dict[str, DataFrame]], DataFrame]]]:
-    """Build order: ``(model, kind, builder over the already-built models)``."""
+@dataclass(frozen=True)
+class Model:
+    """A model, the models it reads, and how it is built from these."""
+
+    name: str
+    kind: str
+    needs: tuple[str, ...]
+    build: Callable[[dict[str, DataFrame]], DataFrame]
+
+
+def _given(given: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> Callable[[dict[str, DataFrame]], DataFrame]:
+    return lambda m: m[given] if given in m else build(m)
+
+
+def declared_models(order_type: str = "order", calendar_from_orders: bool = False) -> list[Model]:
+    """The project's models over raw tables; the date dimension is given, or
+    sized to the staged orders."""
+    orders = ("stg_orders", "view", (), _given("staged_orders", lambda m: staging.stg_orders(m["raw_events"], order_type)))
+    spine = lambda m: marts.dim_date(spine=date_spine_covering(m["stg_orders"], "ordered_at"))
     return [
-        (
-            "stg_products",
-            "view",
-            lambda m: m["staged_products"] if "staged_products" in m else staging.stg_products(m["raw_products"]),
-        ),
-        (
-            "stg_customers",
-            "view",
-            lambda m: m["staged_customers"] if "staged_customers" in m else staging.stg_customers(m["raw_customers"]),
-        ),
-        (
-            "stg_orders",
-            "view",
-            lambda m: m["staged_orders"] if "staged_orders" in m else staging.stg_orders(m["raw_events"], order_type),
+        Model("stg_products", "view", (), _given("staged_products", lambda m: staging.stg_products(m["raw_products"]))),
+        Model("stg_customers", "view", (), _given("staged_customers", lambda m: staging.stg_customers(m["raw_customers"]))),
+        Model(*orders),
+        Model("dim_customers", "table", ("stg_customers",), lambda m: marts.dim_customers(m["stg_customers"])),
+        Model("dim_products", "table", ("stg_products",), lambda m: marts.dim_products(m["stg_products"])),
+        Model("dim_date", "table", ("stg_orders",) if calendar_from_orders else (), spine if calendar_from_orders else lambda m: m["calendar"]),
+        Model(
+            "fact_orders",
+            "table",
+            ("stg_orders", "dim_customers", "dim_products"),
+            lambda m: marts.fact_orders(m["stg_orders"], m["dim_customers"], m["dim_products"]),
         ),
-        ("dim_customers", "table", lambda m: marts.dim_customers(m["stg_customers"])),
-        ("dim_products", "table", lambda m: marts.dim_products(m["stg_products"])),
-        ("dim_date", "table", lambda m: m["calendar"]),
-        ("fact_orders", "table", lambda m: marts.fact_orders(m["stg_orders"], m["dim_customers"], m["dim_products"])),
     ]
 
 
@@ -179,11 +193,31 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def build_models(
+    spark: SparkSession, models: dict[str, DataFrame], declared: list[Model], path_of: Callable[[Model], str]
+) -> dict[str, DataFrame]:
+    """Write the declared models, those that do not need each other at once,
+    and add scans of them to ``models``."""
+
+    def task(m: Model) -> Task:
+        def run() -> None:
+            models[m.name] = materialize(m.build(models), path_of(m))
+
+        return Task(m.name, m.needs, run)
+
+    for outcome in run_tasks(spark, map(task, declared)).values():
+        if outcome.error:
+            raise outcome.error
+    return models
+
+
 class BuildFailed(RuntimeError):
     """A data-quality check returned rows."""
 
 
 _PUBLISHED = "build_id string"
+#: Published builds that stay, for readers that began on an older one.
+KEPT_BUILDS = 5
 
 
 def _warehouse_path(warehouse: str, *parts: str) -> str:
@@ -238,7 +272,8 @@ def build(
     staged_products: DataFrame | None = None,
     staged_customers: DataFrame | None = None,
 ) -> BuildResult:
-    """Build every model, test it, stop at the first model with failures.
+    """Build every model and test it; what reads a model with failures is
+    not built.
 
     ``calendar`` is the date dimension to publish (default: the fixed
     calendar range). ``staged_orders`` is an already staged orders table
@@ -263,22 +298,57 @@ def build(
     ):
         if df is not None:
             models[name] = df
-    results: list[tuple[str, int]] = []
-    for name, kind, builder in steps(order_type):
-        folder = "staging/" + name if kind == "view" else name
-        models[name] = materialize(builder(models), _warehouse_path(warehouse, "builds", build_id, folder))
-        model_checks = [c for c in checks if c.model == name]
-        model_failures = []
-        if model_checks:
-            # one job per model; one small row back per check
-            counts = {r["check"]: r["failures"] for r in failures_frame(model_checks, models).collect()}
-            for check in model_checks:
-                n = int(counts[check.name])
-                results.append((check.name, n))
-                if n:
-                    model_failures.append((check.name, n))
-        if model_failures and fail_fast:
-            listed = ", ".join(f"{c} ({n} failing)" for c, n in model_failures)
-            raise BuildFailed(f"model {name}: {listed}")
+    counts: dict[str, int] = {}
+    declared = declared_models(order_type)
+
+    def model_task(m: Model) -> Task:
+        def run() -> None:
+            folder = "staging/" + m.name if m.kind == "view" else m.name
+            models[m.name] = materialize(m.build(models), _warehouse_path(warehouse, "builds", build_id, folder))
+
+        # a model waits for the checks of what it reads
+        return Task(m.name, tuple(n for d in m.needs for n in (d, f"checks of {d}")), run)
+
+    def check_task(m: Model) -> Task:
+        own = [c for c in checks if c.model == m.name]
+        others = dict.fromkeys(c.args["to"] for c in own if c.test == "relationships")
+
+        def run() -> None:
+            if own:  # one job per model; one small row back per check
+                counts.update((r["check"], int(r["failures"])) for r in failures_frame(own, models).collect())
+            failing = [(c.name, counts[c.name]) for c in own if counts[c.name]]
+            if failing and fail_fast:
+                listed = ", ".join(f"{c} ({n} failing)" for c, n in failing)
+                raise BuildFailed(f"model {m.name}: {listed}")
+
+        return Task(f"checks of {m.name}", (m.name, *others), run)
+
+    outcomes = run_tasks(spark, [t for m in declared for t in (model_task(m), check_task(m))])
+    errors = [o.error for o in outcomes.values() if o.error]
+    for error in errors:
+        if not isinstance(error, BuildFailed):
+            raise error
+    if errors:
+        skipped = [m.name for m in declared if outcomes[m.name].skipped_for]
+        raise BuildFailed("; ".join(map(str, errors)) + (f"; skipped: {', '.join(skipped)}" if skipped else ""))
     publish(spark, warehouse, build_id)
+    prune_builds(spark, warehouse)
+    results = [(c.name, counts[c.name]) for m in declared for c in checks if c.model == m.name]
     return BuildResult(models, results, build_id)
+
+
+def prune_builds(spark: SparkSession, warehouse: str, keep: int = KEPT_BUILDS) -> list[str]:
+    """Remove the builds before the last ``keep`` published ones, failed ones
+    among them, and the staging copies of all but the last; the builds
+    removed."""
+    folders = Folders(spark)
+    published = spark.read.schema(_PUBLISHED).parquet(_warehouse_path(warehouse, "published")).distinct()
+    last = [r[0] for r in published.orderBy(F.col("build_id").desc()).limit(keep).collect()]
+    removed = []
+    for build_id in folders.names(_warehouse_path(warehouse, "builds")):
+        if build_id < min(last):  # ids sort by time
+            folders.remove(_warehouse_path(warehouse, "builds", build_id))
+            removed.append(build_id)
+        elif build_id < max(last):
+            folders.remove(_warehouse_path(warehouse, "builds", build_id, "staging"))
+    return removed

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_version, merge_latest
 from ..sources.catalogs import read_snapshots
+from ..storage import Folders
 from .build import materialize
 
 _MERGED = "state int, day string, signature string"
@@ -48,11 +49,6 @@ def _merged(spark: SparkSession, latest_root: str) -> tuple[int, dict[str, str]]
     return state, {r["day"]: r["signature"] for r in rows if r["state"] == state}
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def refresh_latest(spark: SparkSession, catalogs_root: str, name: str, latest_root: str, key: str) -> DataFrame:
     """Bring the latest-per-``key`` table of catalog ``name`` up to date and return it."""
     days = snapshot_days(spark, catalogs_root, name)
@@ -71,5 +67,5 @@ def refresh_latest(spark: SparkSession, catalogs_root: str, name: str, latest_ro
     entries = [(state + 1, day, signature) for day, signature in sorted(days.items())]
     spark.createDataFrame(entries, _MERGED).coalesce(1).write.mode("append").parquet(f"{latest_root}/merged")
     if state + 1 > KEPT_STATES:
-        _remove(spark, f"{latest_root}/state-{state + 1 - KEPT_STATES}")
+        Folders(spark).remove(f"{latest_root}/state-{state + 1 - KEPT_STATES}")
     return latest

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import date_key
 from ..operators.joins import lookup
-from ..streaming.keyed import BUCKET, Folders, KeyedTable
+from ..storage import Folders
+from ..streaming.keyed import BUCKET, KeyedTable
 from ..streaming.stage import staged_table
 from .staging import checked_orders
 

@@ -147,31 +147,15 @@ def q_dq_total_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks over the models, one ``(check, failures)`` row each.
 
-    The models are first written once, in dependency order, as Parquet
-    tables in a fresh folder under the cluster's shared checkpoint folder,
-    so the 36 checks scan stored columns instead of re-deriving the chain.
+    The models are first written once, those that do not need each other at
+    the same time, as Parquet tables in a fresh folder under the cluster's
+    shared checkpoint folder, so the 36 checks scan stored columns instead of
+    re-deriving the chain.
     """
-    root = scratch_dir(spark, "dq-summary")
-    i = Inputs(spark, sf_dir)
-    stg_orders = gate.materialize(i.stg_orders, f"{root}/stg_orders")
-    stg_products = gate.materialize(i.stg_products, f"{root}/stg_products")
-    stg_customers = gate.materialize(i.stg_customers, f"{root}/stg_customers")
-    dim_customers = gate.materialize(marts.dim_customers(stg_customers), f"{root}/dim_customers")
-    dim_products = gate.materialize(marts.dim_products(stg_products), f"{root}/dim_products")
-    models = {
-        "stg_orders": stg_orders,
-        "stg_products": stg_products,
-        "stg_customers": stg_customers,
-        "dim_customers": dim_customers,
-        "dim_products": dim_products,
-        "dim_date": gate.materialize(
-            marts.dim_date(spine=date_spine_covering(stg_orders, "ordered_at")), f"{root}/dim_date"
-        ),
-        "fact_orders": gate.materialize(
-            marts.fact_orders(stg_orders, dim_customers, dim_products), f"{root}/fact_orders"
-        ),
-    }
-    return gate.failures_frame(gate.CHECKS, models)
+    root, i = scratch_dir(spark, "dq-summary"), Inputs(spark, sf_dir)
+    raw = {"raw_events": i.raw_events, "raw_products": i.raw_products, "raw_customers": i.raw_customers}
+    declared = gate.declared_models(calendar_from_orders=True)
+    return gate.failures_frame(gate.CHECKS, gate.build_models(spark, raw, declared, lambda m: f"{root}/{m.name}"))
 
 
 def q_profile_lake(spark: SparkSession, sf_dir: str) -> DataFrame:

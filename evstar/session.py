@@ -15,6 +15,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.scheduler.mode": "FAIR",  # models of a build that run at once share the cluster
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

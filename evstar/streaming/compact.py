@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.lake import LAKE_PARTITIONS, LAKE_SCHEMA
-from .keyed import Folders
+from ..storage import Folders
 
 TARGET_BYTES = 128 << 20
 _LISTING = "path string, length long, ingest_date string, ingest_hour string"

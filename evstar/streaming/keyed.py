@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import keep_first
+from ..storage import Folders
 
 BUCKETS = 64
 #: States that stay, for readers that began on an older one.
@@ -29,29 +30,6 @@ _STATE = "bucket int, version int, buckets int"
 _DONE = "_SUCCESS"
 
 
-class Folders:
-    """Listing, testing and removing folders of the shared storage."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self._path, self._conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-
-    def _of(self, path: str):
-        target = self._path(path)
-        return target.getFileSystem(self._conf), target
-
-    def exists(self, path: str) -> bool:
-        files, target = self._of(path)
-        return files.exists(target)
-
-    def names(self, path: str) -> list[str]:
-        files, target = self._of(path)
-        return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
-
-    def remove(self, path: str) -> None:
-        files, target = self._of(path)
-        files.delete(target, True)
-
-
 class KeyedTable:
     """Rows of ``schema``, one per ``key`` (a null key is a key): the first by
     ``order``. ``buckets`` counts when the table is made; later merges keep
@@ -166,4 +144,4 @@ class KeyedTable:
             self.folders.remove(f"{self.root}/states/state={v}")
 
 
-__all__ = ["BUCKET", "BUCKETS", "Folders", "KeyedTable"]
+__all__ = ["BUCKET", "BUCKETS", "KeyedTable"]

@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from ..operators.dedup import keep_first
 from ..sources.lake import LAKE_SCHEMA, RAW_EVENTS_SCHEMA
+from ..storage import Folders
 from .compact import lake_files
-from .keyed import Folders
 from .load import load_projection
 
 #: Offsets of one topic partition that are handled together.
