@@ -348,4 +348,10 @@ FROM hashed""",
 FROM (SELECT count(eid) AS ids, count(*) AS n FROM m WHERE error IS NULL),
   (VALUES ('event_id', 'string'), ('event_type', 'string'), ('event_timestamp', 'string'), ('payload', 'string'), ('kafka_partition', 'int'),
     ('kafka_offset', 'bigint'), ('ingested_at', 'string'), ('ingest_date', 'string'), ('ingest_hour', 'string')) AS c(column_name, data_type)""",
+    "incremental_profile": _with(_MESSAGES)
+    + """SELECT 'all' AS event_type, count(*) AS total_rows, count(DISTINCT COALESCE(eid, 'none')) AS distinct_event_ids,
+       count(*) - count(DISTINCT COALESCE(eid, 'none')) AS duplicate_rows
+FROM m WHERE error IS NULL
+UNION ALL
+SELECT etype, count(eid), NULL, NULL FROM m WHERE error IS NULL GROUP BY etype""",
 }

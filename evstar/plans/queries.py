@@ -29,6 +29,7 @@ from .roundtrips import (
     ledger_roundtrip,
     legacy_roundtrip,
     pipeline_roundtrip,
+    profile_roundtrip,
     raw_load_roundtrip,
     staging_roundtrip,
 )
@@ -281,6 +282,10 @@ def q_lake_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.schema_report(spark, rows).join(counts, "column_name")
 
 
+def q_incremental_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_roundtrip(spark, Inputs(spark, sf_dir).messages, scratch_dir(spark, "profile"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_orders": q_stg_orders,
     "dedup_keep_first": q_dedup_keep_first,
@@ -324,4 +329,5 @@ QUERIES: dict[str, Query] = {
     "legacy_buffered": q_legacy_buffered,
     "order_ids": q_order_ids,
     "lake_schema": q_lake_schema,
+    "incremental_profile": q_incremental_profile,
 }

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.lake import LAKE_PARTITIONS, LAKE_SCHEMA
@@ -39,6 +39,36 @@ def lake_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", *hour)
 
 
+HOURS = "ingest_date string, ingest_hour string, signature string"
+
+
+def hour_signatures(spark: SparkSession, root: str) -> DataFrame:
+    """Each hour of a lake with a signature of its files' names and sizes,
+    from the listing alone."""
+    one = F.xxhash64("path", "length")
+    by_hour = lake_files(spark, root).groupBy(*LAKE_PARTITIONS).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(one).alias("x"), F.sum(F.pmod(one, F.lit(1 << 31))).alias("s")
+    )
+    return by_hour.select(*LAKE_PARTITIONS, F.concat_ws(":", "n", "x", "s").alias("signature"))
+
+
+def changed_hours(listing: DataFrame, seen: DataFrame) -> list:
+    """Hours of ``listing`` whose signature is not the one ``seen`` (at most
+    the hours of the lake)."""
+    return listing.join(seen, [*LAKE_PARTITIONS, "signature"], "left_anti").select(*LAKE_PARTITIONS).collect()
+
+
+def rows_of_hours(spark: SparkSession, root: str, hours: list) -> DataFrame:
+    """The lake's rows of some hours; no other folder is opened."""
+    by_day: dict[str, list[str]] = {}
+    for h in hours:
+        by_day.setdefault(h["ingest_date"], []).append(h["ingest_hour"])
+    wanted: Column = F.lit(False)
+    for day, of_day in sorted(by_day.items()):
+        wanted = wanted | ((F.col("ingest_date") == day) & F.col("ingest_hour").isin(of_day))
+    return spark.read.schema(LAKE_SCHEMA).parquet(root).filter(wanted)
+
+
 def packed(files: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """``path, ingest_date, ingest_hour, bin`` of the files to merge. A bin
     holds files of one hour, of up to the wanted size together and one more."""

@@ -17,21 +17,20 @@ The driver holds one signature per hour and no file name or interval.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import keep_first
-from ..sources.lake import LAKE_SCHEMA, RAW_EVENTS_SCHEMA
+from ..sources.lake import RAW_EVENTS_SCHEMA
 from ..storage import Folders
-from .compact import lake_files
+from .compact import HOURS, changed_hours, hour_signatures, rows_of_hours
 from .load import load_projection
 
 #: Offsets of one topic partition that are handled together.
 CHUNK = 1 << 20
 OFFSET = ["kafka_partition", "kafka_offset"]
 INTERVALS = "kafka_partition int, first_offset long, last_offset long"
-_HOURS = "ingest_date string, ingest_hour string, signature string"
 #: Loads whose intervals stay apart before they are merged into one set.
 LOADS_PER_SET = 16
 
@@ -103,46 +102,23 @@ class Ledger:
         paths += [f"{self.root}/sets/load={n}" for n in self._numbers("sets")[-1:]]
         return self.spark.read.schema(INTERVALS).parquet(*paths) if paths else self.spark.createDataFrame([], INTERVALS)
 
-    def _listing(self) -> DataFrame:
-        """Each hour of the lake with a signature of its files' names and
-        sizes, from the listing alone."""
-        files = lake_files(self.spark, self.lake)
-        one = F.xxhash64("path", "length")
-        by_hour = files.groupBy("ingest_date", "ingest_hour").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(one).alias("x"), F.sum(F.pmod(one, F.lit(1 << 31))).alias("s")
-        )
-        return by_hour.select("ingest_date", "ingest_hour", F.concat_ws(":", "n", "x", "s").alias("signature"))
-
-    def _changed_hours(self, listing: DataFrame) -> list:
-        """Hours whose files are not the ones the last load saw (at most the
-        hours of the lake)."""
+    def _seen(self) -> DataFrame:
+        """The listing that the last load saw."""
         last = self.last_load()
-        seen = self.spark.read.schema(_HOURS).parquet(f"{self.root}/hours/load={last}") if last else self.spark.createDataFrame([], _HOURS)
-        return listing.join(seen, ["ingest_date", "ingest_hour", "signature"], "left_anti").select("ingest_date", "ingest_hour").collect()
-
-    def _rows(self, hours: list) -> DataFrame:
-        """The lake's rows of some hours, with their file; no other folder is
-        opened."""
-        by_day: dict[str, list[str]] = {}
-        for h in hours:
-            by_day.setdefault(h["ingest_date"], []).append(h["ingest_hour"])
-        wanted: Column = F.lit(False)
-        for day, of_day in sorted(by_day.items()):
-            wanted = wanted | ((F.col("ingest_date") == day) & F.col("ingest_hour").isin(of_day))
-        rows = self.spark.read.schema(LAKE_SCHEMA).parquet(self.lake).filter(wanted)
-        return rows.select("*", F.col("_metadata.file_path").alias("lake_file"))
+        return self.spark.read.schema(HOURS).parquet(f"{self.root}/hours/load={last}") if last else self.spark.createDataFrame([], HOURS)
 
     def load(self) -> int:
         """Load the lake rows whose offsets are not loaded; how many. Every
         offset comes once: of copies (a batch the ingest wrote twice) the
         earliest. A row without partition or offset stops the load."""
-        listing = self._listing().persist()
+        listing = hour_signatures(self.spark, self.lake).persist()
         try:
-            hours = self._changed_hours(listing)
+            hours = changed_hours(listing, self._seen())
             if not hours:
                 return 0
             number = self.last_load() + 1
-            rows, held = self._rows(hours), self.intervals()
+            rows, held = rows_of_hours(self.spark, self.lake, hours), self.intervals()
+            rows = rows.select("*", F.col("_metadata.file_path").alias("lake_file"))
             nameless = F.col("kafka_partition").isNull() | F.col("kafka_offset").isNull()
             stop = F.when(nameless, F.raise_error(F.lit("lake row without topic offset"))).otherwise(F.lit(True))
             target = f"{self.root}/intervals/load={number}"
