@@ -148,12 +148,47 @@ def _raw_ends(page: str) -> dict[int, int]:
     return ends
 
 
+#: Marks of elements that hold an article's text.
+_ARTICLES = (_ELEMENT, _CLASSED_ELEMENT, _MAIN, _BODY)
+#: Elements within an article that may be a box of their own.
+BOX_TAGS = {"div", "section"}
+
+
+def _label(tag: str, attrs: str) -> str:
+    """An element's tag with the words of its class and id."""
+    values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+    return " ".join([tag, *sorted(_words(f"{values.get('class', '')} {values.get('id', '')}"))])
+
+
+def _box(stack: list[tuple[str, int, int, str]], closed: int) -> str:
+    """Where in an article a block stands: empty, if in no element that may
+    be a box; ``box N`` in the ``N``-th such element of the page; or ``after``
+    with the label of an element that opened after the (``closed``-th) end of
+    the page's article and holds one more article."""
+    last = max((k for k, e in enumerate(stack) if e[1] in _ARTICLES), default=-1)
+    if last < 0:
+        return ""
+    if closed and stack[last][1] in (_ELEMENT, _CLASSED_ELEMENT):
+        around = next((e for e in stack[:last] if e[2] > closed and e[3]), None)
+        if around:
+            return f"after {around[3]}"
+    inner = [e[2] for e in stack[last + 1 :] if e[0] in BOX_TAGS]
+    return f"box {inner[-1]}" if inner else ""
+
+
 def blocks(page: str) -> list[tuple[int, str]]:
     """``(zone, text)`` of every block with text, in page order: character
     references decoded, white space single, ends trimmed."""
-    out: list[tuple[int, str]] = []
+    return [(zone, text) for zone, text, _ in boxed_blocks(page)]
+
+
+def boxed_blocks(page: str) -> list[tuple[int, str, str]]:
+    """The blocks with, for those of an article, the box they stand in."""
+    out: list[tuple[int, str, str]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements and what they mark
+    stack: list[tuple[str, int, int, str]] = []  # open elements, what they mark, number, label
+    opened = closed = 0  # elements so far, and at the end of the page's article
+    box = ""
     raw_ends: dict[int, int] | None = None
     at = 0
     inside = element = in_element = False
@@ -164,7 +199,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((zone, text))
+                out.append((zone, text, box if zone in (ARTICLE, _MAYBE) else ""))
                 element |= in_element and zone == ARTICLE
             held.clear()
 
@@ -207,14 +242,18 @@ def blocks(page: str) -> list[tuple[int, str]]:
             if tag == "header" and inside and not marks:
                 marks = _HEADER  # of an article: only its headings belong to the text
             if tag not in ("p", "li") or marks:
-                stack.append((tag, marks))
+                opened += 1
+                stack.append((tag, marks, opened, _label(tag, attrs) if tag in BLOCK and marks not in _ARTICLES and tag not in ("html", "body") else ""))
         else:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
+                    ended = any(e[1] in (_ELEMENT, _CLASSED_ELEMENT) for e in stack[k:])
                     del stack[k:]
+                    if ended and element and not closed and not any(e[1] in (_ELEMENT, _CLASSED_ELEMENT) for e in stack):
+                        closed = opened
                     break
         beside = classed = inside = maybe = in_element = False
-        for _, marks in stack:
+        for _, marks, _, _ in stack:
             if marks == _BESIDE:
                 beside = True
             elif marks == _CLASSED:
@@ -225,8 +264,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
             elif marks in (_ELEMENT, _CLASSED_ELEMENT):
                 maybe |= classed or marks == _CLASSED_ELEMENT
                 inside, in_element, classed = True, True, False
-        limited = any(marks == _HEADER for _, marks in stack) and not any(t in HEADINGS for t, _ in stack)
+        limited = any(e[1] == _HEADER for e in stack) and not any(e[0] in HEADINGS for e in stack)
         zone = OTHER if beside or classed or limited else _MAYBE if maybe else ARTICLE if inside else NEUTRAL
+        box = _box(stack, closed) if inside else ""
     flush()
     # such an article element is the article of a page that has no other one
-    return [(z if z != _MAYBE else OTHER if element else ARTICLE, t) for z, t in out]
+    return [(z if z != _MAYBE else OTHER if element else ARTICLE, t, b) for z, t, b in out]

@@ -4,13 +4,19 @@ Markup gives each block of text a zone: inside the article, beside it (menus,
 footers, adverts, ...), or neutral. The token streams of a host's pages,
 apart from their articles, are concatenated and put into a suffix array;
 substrings of at least ``MIN_TOKENS`` tokens that occur on ``MIN_PAGES``
-distinct pages are boilerplate. Article blocks are kept whole; a page
-without an article keeps the unique runs of its neutral blocks.
+distinct pages are boilerplate. A page without an article keeps the unique
+runs of its neutral blocks.
+
+The boxes within articles (their inner ``div`` and ``section`` elements) make
+streams of another suffix array, in which pages with the same article count
+once. A box that lies in repeated substrings as a whole goes, unless half of
+the article does (a copied article). Articles that follow the page's own in an
+element of a kind that follows it on ``MIN_PAGES`` pages are comments and go.
 
 No task holds a host of over ``PAGES_PER_SHARD`` pages: its runs of
 ``MIN_TOKENS`` tokens are counted by distinct pages over the whole host, by
-digest, and the repeated ones are joined to shards of its pages without an
-article. The result is that of one suffix array over the host.
+digest, and the repeated ones are joined to shards of the pages that need
+them. The result is that of the suffix arrays over the host.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, texts_of
-from .html_blocks import ARTICLE, NEUTRAL, blocks
+from .html_blocks import ARTICLE, NEUTRAL, boxed_blocks
 
 #: Rows of runs that a task hands over at a time.
 RUNS_AT_A_TIME = 1 << 16
@@ -55,18 +61,21 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return order, rank
 
 
-def covered(streams: list[list[str]], min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each page's tokens, which lie in a substring of ``min_tokens`` or
-    more that occurs on ``min_pages`` (two at least) or more distinct pages."""
+def covered(
+    streams: list[list[str]], min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES, owners: list[int] | None = None
+) -> list[np.ndarray]:
+    """For each stream's tokens, which lie in a substring of ``min_tokens`` or
+    more that occurs on ``min_pages`` (two at least) or more distinct pages:
+    each stream is one, or belongs to the page that ``owners`` numbers."""
     sizes = [len(s) for s in streams]
     if sum(sizes) < min_tokens:
         return [np.zeros(n, bool) for n in sizes]
     number: dict[str, int] = {}
     joined, page_of = [], []
-    for page, stream in enumerate(streams):  # each page ends with a token of its own
+    for page, stream in enumerate(streams):  # each ends with a token of its own
         joined += [number.setdefault(t, len(number)) for t in stream]
         joined.append(-1 - page)
-        page_of += [page] * (len(stream) + 1)
+        page_of += [owners[page] if owners else page] * (len(stream) + 1)
     tokens, pages = np.array(joined, np.int64), np.array(page_of, np.int64)
     order, rank = suffix_ranks(tokens, min_tokens)
     grouped = rank[order] * len(streams) + pages[order]  # suffixes of a rank lie together
@@ -81,13 +90,17 @@ def covered(streams: list[list[str]], min_tokens: int = MIN_TOKENS, min_pages: i
     return [inside[b : b + n] for b, n in zip(begins, sizes)]
 
 
-def _main_text(page: list[tuple[int, str]], boiler: np.ndarray) -> str:
-    """The article, or else the unique runs of the neutral blocks; ``boiler``
-    marks the tokens beside the article that repeat."""
-    kept = [text for zone, text in page if zone == ARTICLE]
-    if not kept:
+Page = list[tuple[int, str, str]]  # zone, text and box of each block
+
+
+def _main_text(page: Page, boiler: np.ndarray, dropped: set[str]) -> str:
+    """The article without ``dropped`` boxes, or else the unique runs of the
+    neutral blocks; ``boiler`` marks the tokens beside the article that
+    repeat."""
+    kept = [text for zone, text, box in page if zone == ARTICLE and not (box and box in dropped)]
+    if not any(zone == ARTICLE for zone, *_ in page):
         at = 0
-        for zone, text in page:
+        for zone, text, _ in page:
             tokens = text.split()
             unique = [t for t, b in zip(tokens, boiler[at : at + len(tokens)]) if not b]
             at += len(tokens)
@@ -96,14 +109,55 @@ def _main_text(page: list[tuple[int, str]], boiler: np.ndarray) -> str:
     return "\n\n".join(kept)
 
 
-def _around(page: list[tuple[int, str]]) -> list[str]:
-    return [t for zone, text in page if zone != ARTICLE for t in text.split()]
+def _around(page: Page) -> list[str]:
+    return [t for zone, text, _ in page if zone != ARTICLE for t in text.split()]
+
+
+def _boxes(page: Page) -> dict[str, list[str]]:
+    """The tokens of each box of the article."""
+    out: dict[str, list[str]] = {}
+    for zone, text, box in page:
+        if zone == ARTICLE and box.startswith("box "):
+            out.setdefault(box, []).extend(text.split())
+    return out
+
+
+def _followers(page: Page) -> set[str]:
+    """The kinds of elements with articles after the page's own."""
+    return {box for zone, _, box in page if zone == ARTICLE and box.startswith("after ")}
+
+
+def _signature(page: Page) -> int:
+    """A number for the text of the page's own article."""
+    own = "\n".join(text for zone, text, box in page if zone == ARTICLE and not box.startswith("after "))
+    return int.from_bytes(blake2b(own.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
 
+def _dropped(page: Page, repeats: dict[str, np.ndarray], followers: set[str]) -> set[str]:
+    """The boxes that go: those covered as a whole by what ``repeats``, and
+    the ``followers`` that repeat."""
+    own = sum(len(text.split()) for zone, text, box in page if zone == ARTICLE and not box.startswith("after "))
+    whole = {box for box, flags in repeats.items() if len(flags) and flags.all()}
+    copied = 2 * sum(int(flags.sum()) for flags in repeats.values()) >= own
+    return (set() if copied else whole) | (_followers(page) & followers)
 
-def main_texts(pages: list[list[tuple[int, str]]], min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES) -> list[str]:
+
+def main_texts(pages: list[list[tuple]], min_tokens: int = MIN_TOKENS, min_pages: int = MIN_PAGES) -> list[str]:
     """The main text of each page of a host."""
+    pages = [[(*block, "")[:3] for block in page] for page in pages]
     repeated = covered([_around(page) for page in pages], min_tokens, min_pages)
-    return [_main_text(page, boiler) for page, boiler in zip(pages, repeated)]
+    number: dict[int, int] = {}
+    own = [number.setdefault(_signature(page), len(number)) for page in pages]
+    boxes = [(k, box, tokens) for k, page in enumerate(pages) for box, tokens in _boxes(page).items()]
+    flags: list[dict[str, np.ndarray]] = [{} for _ in pages]
+    if boxes:
+        owners = [own[k] for k, _, _ in boxes]
+        owners = np.unique(owners, return_inverse=True)[1].tolist()
+        for (k, box, _), marked in zip(boxes, covered([t for _, _, t in boxes], min_tokens, min_pages, owners)):
+            flags[k][box] = marked
+    after = Counter(kind for kind, _ in {(kind, own[k]) for k, page in enumerate(pages) for kind in _followers(page)})
+    comments = {kind for kind, n in after.items() if n >= min_pages}
+    return [_main_text(page, boiler, _dropped(page, of, comments)) for page, boiler, of in zip(pages, repeated, flags)]
 
 
 def runs_of(tokens: list[str], min_tokens: int) -> list[bytes]:
@@ -118,11 +172,16 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         for start, texts in texts_of(batch, "html"):
-            parsed = [blocks(t) for t in texts]
+            parsed = [boxed_blocks(t) for t in texts]
             columns = [batch.column(names.index(c)).slice(start, len(texts)) for c in names if c != "html"]
-            columns.append(pa.array([bytes(z for z, _ in p) for p in parsed], pa.binary()))
-            columns.append(pa.array([[t for _, t in p] for p in parsed], pa.list_(pa.string())))
-            yield pa.record_batch(columns, names=[c for c in names if c != "html"] + ["zones", "texts"])
+            columns.append(pa.array([bytes(z for z, _, _ in p) for p in parsed], pa.binary()))
+            columns.append(pa.array([[t for _, t, _ in p] for p in parsed], pa.list_(pa.string())))
+            columns.append(pa.array([[b for _, _, b in p] for p in parsed], pa.list_(pa.string())))
+            yield pa.record_batch(columns, names=[c for c in names if c != "html"] + ["zones", "texts", "boxes"])
+
+
+def _page(row: dict) -> Page:
+    return list(zip(row["zones"], row["texts"], row["boxes"]))
 
 
 _RESULT = "page_id long, url string, text string, n_chars long"
@@ -164,10 +223,10 @@ def extract_main_text(pages: DataFrame, min_tokens: int = MIN_TOKENS, min_pages:
 
 def _whole_hosts(rows: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
     """Main texts of the pages of hosts that a task can hold."""
-    parsed = rows.mapInArrow(_parse, "page_id long, url string, host string, zones binary, texts array<string>")
+    parsed = rows.mapInArrow(_parse, "page_id long, url string, host string, zones binary, texts array<string>, boxes array<string>")
 
     def finish(held: list[dict]) -> pa.RecordBatch:
-        return _results(held, main_texts([list(zip(r["zones"], r["texts"])) for r in held], min_tokens, min_pages))
+        return _results(held, main_texts([_page(r) for r in held], min_tokens, min_pages))
 
     def by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -185,24 +244,33 @@ def _whole_hosts(rows: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
 
 
 def _large_hosts(rows: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
-    """The same for larger hosts. Pages with an article need nothing of the
-    others and stay where they are read; the others are written once, with
-    the shard they belong to, however often a row repeats."""
+    """The same for larger hosts. Pages with an article without boxes need
+    nothing of the others and stay where they are read; the others are written
+    once, with the shard they belong to, however often a row repeats."""
 
-    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[tuple[int, str]]]]]:
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Page]]]:
         for batch in _parse(batches):
-            held = batch.select(["zones", "texts"]).to_pylist()
-            yield batch, [list(zip(r["zones"], r["texts"])) for r in held]
+            held = batch.select(["zones", "texts", "boxes"]).to_pylist()
+            yield batch, [_page(r) for r in held]
+
+    def alone(page: Page) -> bool:
+        return any(zone == ARTICLE for zone, *_ in page) and not any(box for *_, box in page)
+
+    def box_runs(page: Page) -> set[bytes]:
+        """Digests of the runs in boxes, and of the kinds of followers; they
+        differ from those of the tokens around the article."""
+        found = {b"b" + run for tokens in _boxes(page).values() for run in runs_of(tokens, min_tokens)}
+        return found | {b"f" + kind.encode("utf-8", "surrogatepass") for kind in _followers(page)}
 
     def with_article(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in parsed(batches):
-            keep = [k for k, page in enumerate(found) if any(zone == ARTICLE for zone, _ in page)]
+            keep = [k for k, page in enumerate(found) if alone(page)]
             ids = batch.select(["page_id", "url"]).take(pa.array(keep, pa.int64())).to_pylist()
-            yield _results(ids, [_main_text(found[k], np.empty(0)) for k in keep])
+            yield _results(ids, [_main_text(found[k], np.empty(0), set()) for k in keep])
 
     def without_article(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in parsed(batches):
-            yield batch.filter(pa.array([all(zone != ARTICLE for zone, _ in page) for page in found], pa.bool_()))
+            yield batch.filter(pa.array([not alone(page) for page in found], pa.bool_()))
 
     def counted(counts: Counter) -> Iterator[pa.RecordBatch]:
         keys = list(counts)
@@ -226,9 +294,32 @@ def _large_hosts(rows: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
             for start in range(0, batch.num_rows, 128):
                 counts: Counter = Counter()
                 for r in batch.slice(start, 128).to_pylist():
-                    counts.update((r["host"], r["shard"], run) for run in runs_of(_around(list(zip(r["zones"], r["texts"]))), min_tokens))
+                    page = _page(r)
+                    if not any(zone == ARTICLE for zone, *_ in page):
+                        counts.update((r["host"], r["shard"], run) for run in runs_of(_around(page), min_tokens))
+                    counts.update((r["host"], r["shard"], run) for run in box_runs(page))
                 yield from counted(counts)
 
+    def boxes_of_articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                found: set[tuple[str, bytes, int]] = set()
+                for r in batch.slice(start, 128).to_pylist():
+                    page = _page(r)
+                    found.update((r["host"], run, _signature(page)) for run in box_runs(page))
+                part = list(found)
+                hosts, own, signatures = zip(*part) if part else ((), (), ())
+                yield pa.record_batch(
+                    [pa.array(hosts, pa.string()), pa.array(own, pa.binary()), pa.array(signatures, pa.int64())], names=["host", "run", "article"]
+                )
+
+    def marked(tokens: list[str], kind: bytes, repeated: set[bytes]) -> np.ndarray:
+        flags = np.zeros(len(tokens), bool)
+        for i, run in enumerate(runs_of(tokens, min_tokens)):
+            if kind + run in repeated:
+                flags[i : i + min_tokens] = True
+        return flags
+
     def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, repeated = None, set()
         for batch in batches:
@@ -240,26 +331,27 @@ def _large_hosts(rows: DataFrame, min_tokens: int, min_pages: int) -> DataFrame:
                     if r["run"] is not None:  # the runs of a shard come before its pages
                         repeated.add(r["run"])
                         continue
-                    page = list(zip(r["zones"], r["texts"]))
-                    tokens = _around(page)
-                    boiler = np.zeros(len(tokens), bool)
-                    for i, run in enumerate(runs_of(tokens, min_tokens)):
-                        if run in repeated:
-                            boiler[i : i + min_tokens] = True
+                    page = _page(r)
+                    boiler = marked(_around(page), b"", repeated)
+                    boxes = {box: marked(tokens, b"b", repeated) for box, tokens in _boxes(page).items()}
+                    comments = {kind for kind in _followers(page) if b"f" + kind.encode("utf-8", "surrogatepass") in repeated}
                     held.append(r)
-                    texts.append(_main_text(page, boiler))
+                    texts.append(_main_text(page, boiler, _dropped(page, boxes, comments)))
                 yield _results(held, texts)
 
     articles = rows.mapInArrow(with_article, _RESULT)
     shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), "shards").cast("int")
     dealt = rows.select("page_id", "url", "html", "host", shard.alias("shard"))
-    columns = "page_id long, url string, host string, shard int, zones binary, texts array<string>"
+    columns = "page_id long, url string, host string, shard int, zones binary, texts array<string>, boxes array<string>"
     bare = stored(dealt.mapInArrow(without_article, columns), "html-bare")
     if bare.isEmpty():
         return articles
     runs = "host string, shard int, run binary, n long"
     counts = rows.select("page_id", "url", "html", "host").mapInArrow(page_runs, runs).groupBy("host", "run").agg(F.sum("n").alias("n"))
     repeated = counts.filter(F.col("n") >= min_pages).select("host", "run")
+    in_boxes = bare.mapInArrow(boxes_of_articles, "host string, run binary, article long").distinct()
+    in_boxes = in_boxes.groupBy("host", "run").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    repeated = repeated.unionByName(in_boxes.select("host", "run"))
     wanted = bare.mapInArrow(shard_runs, runs).select("host", "shard", "run").distinct()
     told = wanted.join(repeated, ["host", "run"]).select("host", "shard", "run")
     both = bare.unionByName(told, allowMissingColumns=True).repartition("host", "shard")

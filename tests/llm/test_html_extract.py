@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import SF_SMALL
-from evstar.llm.html_blocks import ARTICLE, NEUTRAL, OTHER, blocks
+from evstar.llm.html_blocks import ARTICLE, NEUTRAL, OTHER, blocks, boxed_blocks
 from evstar.llm.html_extract import covered, extract_main_text, main_texts, suffix_ranks
 
 
@@ -98,7 +98,7 @@ def test_table_and_awkward_rows(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r["page_id"]: r for r in extract_main_text(pages).collect()}
     assert len(got) == pages.count() and all(r["n_chars"] == len(r["text"]) for r in got.values())
-    for r in pages.collect():
+    for r in pages.collect():  # no box of these articles repeats
         want = "\n\n".join(t for z, t in blocks(r["html"]) if z == ARTICLE)
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["url"] == r["url"]
     rows = [(1, None, None), (2, "not a url", "<p>x</p>"), (None, "http://h/a", ""), (3, "http://H/a", "<article>y</article>"), (3, "http://H/a", "<article>y</article>"), (4, "http://h/b", "<article>" + "z " * 50_000)]
@@ -161,3 +161,54 @@ def test_text_outside_of_articles_survives_states_and_raw_elements():
 def test_raw_elements_take_linear_time():
     for piece in ("<svg><p>", "<select>", "<textarea>", "<object><div>", "<template></b>"):
         blocks(piece * 3_000 + "</svg>")
+
+
+def story(i, extra="", after=""):
+    own = " ".join(f"own{i}story{k}" for k in range(30))
+    return f"<nav>a b</nav><article><h1>Title {i}</h1><p>{own}</p>{extra}</article>{after}"
+
+
+BOX = '<div class="box">Sign up here for our weekly letter and get it every Friday</div>'
+COMMENT = '<section class="discussion"><article>I disagree with number {}</article></section>'
+
+
+def own_text(i):
+    return f"Title {i}\n\n" + " ".join(f"own{i}story{k}" for k in range(30))
+
+
+@pytest.mark.parametrize("shard", [512, 2])
+def test_repeats_decide_inside_articles_too(spark, shard):
+    rows = [(i, f"http://h.example/{i}", story(i, BOX, COMMENT.format(i))) for i in range(6)]
+    rows += [(10 + i, "http://few.example/x", story(i, BOX, COMMENT.format(i))) for i in range(2)]  # too few pages to tell
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages, pages_per_shard=shard).collect()}
+    assert all(got[i] == own_text(i) for i in range(6))
+    assert all("Sign up here" in got[10 + i] and "I disagree" in got[10 + i] for i in range(2))
+
+
+@pytest.mark.parametrize("shard", [512, 2])
+def test_copied_and_nearly_copied_articles_stay(spark, shard):
+    body = "".join(f"<div><p>paragraph {k} of an article that many pages carry word by word</p></div>" for k in range(6))
+    rows = [(i, f"http://h.example/{i}", f"<article><h1>One title</h1>{body}</article>") for i in range(5)]
+    rows += [(10 + i, f"http://h.example/n{i}", f"<article><h1>Title {i} of its own</h1>{body}</article>") for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in extract_main_text(pages, pages_per_shard=shard).collect():
+        assert r["text"].count("paragraph") == 6, r
+
+
+def test_boxes_with_words_of_their_own_and_lists_of_articles_stay():
+    box = '<div class="box">Sign up here for our weekly letter and get it every {}</div>'
+    pages = [boxed_blocks(story(i, box.format(f"day{i}"))) for i in range(5)]
+    assert all(f"day{i}" in t for i, t in enumerate(main_texts(pages)))
+    listed = [boxed_blocks(f"<main><article><p>first {i} a b</p></article><article><p>second {i} c d</p></article></main>") for i in range(5)]
+    assert main_texts(listed)[2] == "first 2 a b\n\nsecond 2 c d"
+    wrapped = [boxed_blocks(f'<article><div class="entry"><p>{"own%d " % i * 20}</p>{BOX}</div></article>') for i in range(5)]
+    assert all("Sign up" not in t and t.startswith(f"own{i}") for i, t in enumerate(main_texts(wrapped)))
+
+
+def test_boxes_of_blocks():
+    page = '<article><p>a</p><div><p>b</p><section>c</section></div><p>d</p></article><div id="x" class="talk us"><article>e</article></div><article>f</article>'
+    assert [(t, b.split(" ", 1)[0], b) for _, t, b in boxed_blocks(page)][0] == ("a", "", "")
+    got = {t: b for _, t, b in boxed_blocks(page)}
+    assert got["b"] != got["c"] and got["b"].startswith("box ") and got["c"].startswith("box ") and got["d"] == ""
+    assert got["e"] == "after div talk us x" and got["f"] == ""
