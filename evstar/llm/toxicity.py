@@ -2,9 +2,7 @@
 
 1. Trigram counts of the character model are gathered over all documents.
 2. Disguised tokens are restored (:mod:`deobfuscate`); a document's words are
-   those it shows and those restored. The different disguised tokens of all
-   texts are gathered by Spark and each is decoded once, in tasks; only those
-   whose restored words are in the lexicon are broadcast, if these are few.
+   those it shows and those restored.
 3. From a bounded labelled sample, words and word beginnings get a strength:
    the lower bound of the share of toxic documents among those that contain
    them. A logistic score on a document's strongest words is fitted with each
@@ -15,15 +13,15 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, shuffle_partitions, stored, texts_of
-from .deobfuscate import SPACED, Restorer, disguises, plain_words, trigram_counts
+from .common import held_out, stored, texts_of
+from .deobfuscate import SPACED, Restorer, trigram_counts
 from .sampling import labelled_sample
 
 #: Labelled documents the lexicon and the score are learned from, at most.
@@ -37,9 +35,6 @@ BEGINNINGS = (4, 5)
 REMEMBERED = 400_000
 #: Strength from which a token counts as toxic by itself.
 SURE = 0.7
-#: Characters of decoded tokens that are broadcast; with more, every task
-#: decodes the tokens it meets (the same strengths, found later).
-MAX_BROADCAST_CHARS = 16_000_000
 Z = 1.64  # one-sided 95 % bound
 
 
@@ -84,23 +79,15 @@ class ToxicModel:
         self.weights = np.zeros(4)
         self.bias = 0.0
         self.known: dict[str, float] = {}
-        #: Strength of what disguised tokens hide, where they were decoded
-        #: beforehand (a token that is not here has none).
-        self.hidden: dict[str, float] | None = None
-
-    def word_strength(self, words: Iterable[str]) -> float:
-        of = self.strengths
-        return max((of.get(f, 0.0) for word in words for f in features(word)), default=0.0)
 
     def strength(self, token: str) -> float:
         if token not in self.known:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            if self.hidden is None:
-                self.known[token] = self.word_strength(self.restorer.words(token))
-            else:
-                hidden = max((self.hidden.get(shown, 0.0) for shown in disguises(token)), default=0.0)
-                self.known[token] = max(hidden, self.word_strength(plain_words(token)))
+            of = self.strengths
+            self.known[token] = max(
+                (of.get(f, 0.0) for word in self.restorer.words(token) for f in features(word)), default=0.0
+            )
         return self.known[token]
 
     def describe(self, text: str) -> tuple[float, ...]:
@@ -176,7 +163,6 @@ def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
     if sample.select("label").distinct().count() < 2:
         return None
     enough = Window.partitionBy("feature")
-    restorer.decoded = decoded_tokens(sample, restorer)
     toxic = _feature_counts(sample.filter("label = 1"), restorer).withColumn("all", F.sum("n").over(enough))
     in_toxic = toxic.filter(F.col("all") >= MIN_SUPPORT).collect()
     in_clean = _feature_counts(sample.filter("label = 0"), restorer, {r["feature"] for r in in_toxic}).collect()
@@ -189,8 +175,6 @@ def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
         return out
 
     described = [ToxicModel(counts, strengths(of(in_toxic, 1 - h), of(in_clean, 1 - h))) for h in (0, 1)]
-    for half in described:
-        half.restorer = restorer
     shared = docs.sparkSession.sparkContext.broadcast(described)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,63 +195,6 @@ def train(docs: DataFrame, labels: DataFrame, training_docs: int = TRAINING_DOCS
     return model
 
 
-def disguised_tokens(docs: DataFrame) -> DataFrame:
-    """``token``: each different thing to decode in any text, once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: set[str] = set()
-            for _, texts in texts_of(batch, "text"):
-                tokens = set().union(*map(tokens_of, texts)) if texts else set()
-                for token in tokens:
-                    found |= disguises(token)
-            yield pa.record_batch([pa.array(sorted(found), pa.string())], names=["token"])
-
-    return docs.select("text").mapInArrow(run, "token string").distinct()
-
-
-def decoded_tokens(sample: DataFrame, restorer: Restorer) -> dict[str, str]:
-    """What each disguised token of a bounded sample hides, decoded once and
-    spread over tasks; nothing (tasks decode what they meet) where that is
-    too much to broadcast."""
-    spark = sample.sparkSession
-    shared = spark.sparkContext.broadcast(restorer)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = batch.column(0).to_pylist()
-            columns = [batch.column(0), pa.array([shared.value.decode(t) for t in tokens], pa.string())]
-            yield pa.record_batch(columns, names=["token", "restored"])
-
-    tokens = disguised_tokens(sample).repartition(shuffle_partitions(spark))
-    found = stored(tokens.mapInArrow(run, "token string, restored string"), "toxic-sample-tokens")
-    chars = found.agg(F.sum(F.length("token"))).first()[0] or 0
-    return {} if chars > MAX_BROADCAST_CHARS else {r["token"]: r["restored"] for r in found.toLocalIterator()}
-
-
-def hidden_strengths(docs: DataFrame, model: ToxicModel) -> dict[str, float] | None:
-    """The strength of what each disguised token of the texts hides, decoded
-    once and spread over tasks; tokens without any are left out. None where
-    the rest is too much to broadcast."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = shared.value
-        for batch in batches:
-            tokens = batch.column(0).to_pylist()
-            strength = [of.word_strength(plain_words(of.restorer.decode(t))) for t in tokens]
-            kept = [(t, s) for t, s in zip(tokens, strength) if s]
-            yield pa.record_batch([pa.array([t for t, _ in kept], pa.string()), pa.array([s for _, s in kept], pa.float64())], names=["token", "strength"])
-
-    tokens = disguised_tokens(docs).repartition(shuffle_partitions(spark))
-    found = stored(tokens.mapInArrow(run, "token string, strength double"), "toxic-tokens")
-    chars = found.agg(F.sum(F.length("token"))).first()[0] or 0
-    if chars > MAX_BROADCAST_CHARS:
-        return None
-    return {r["token"]: r["strength"] for r in found.toLocalIterator()}
-
-
 def score_toxicity(docs: DataFrame, model: ToxicModel | None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
@@ -276,8 +203,6 @@ def score_toxicity(docs: DataFrame, model: ToxicModel | None, threshold: float =
     repeated rows pass through; other columns are ignored; an empty table
     gives an empty result.
     """
-    if model is not None:
-        model.hidden = hidden_strengths(docs, model)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

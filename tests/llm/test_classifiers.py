@@ -274,20 +274,3 @@ def test_numbers_that_are_no_letters_have_no_language(spark):
     trees = langid.train(docs)
     assert trees.predict(["\u00bd \u2461", "\u2167", "12 _", "\u3007"])[0] == ["und"] * 4
     assert trees.predict(["\u00aa", "x", "\u4e00"])[0] == ["de"] * 3
-
-
-def test_tokens_decoded_beforehand_give_the_same_scores(spark, tables, monkeypatch):
-    model = toxicity.train(tables["documents"], tables["labels"])
-    odd = spark.createDataFrame([(1, "you st00pid l o s e r"), (2, None), (3, "a goood (c00l) one"), (3, "a goood (c00l) one")], "doc_id long, text string")
-    docs = tables["documents"].select("doc_id", "text").unionByName(odd)
-    first = sorted(map(tuple, toxicity.score_toxicity(docs, model).collect()), key=str)
-    assert model.hidden is not None
-    monkeypatch.setattr(toxicity, "MAX_BROADCAST_CHARS", -1)
-    assert sorted(map(tuple, toxicity.score_toxicity(docs, model).collect()), key=str) == first and model.hidden is None
-    again = toxicity.train(tables["documents"], tables["labels"])
-    assert again.strengths == model.strengths and np.allclose(again.weights, model.weights)
-
-
-def test_each_disguised_token_is_listed_once(spark):
-    docs = spark.createDataFrame([(1, "st00pid! st00pid plain"), (2, "ST00PID x"), (3, None)], "doc_id long, text string").repartition(3)
-    assert sorted(r["token"] for r in toxicity.disguised_tokens(docs).collect()) == ["st00pid"]
