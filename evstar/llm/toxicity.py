@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, stored, texts_of
-from .deobfuscate import SPACED, Restorer, trigram_counts
+from .deobfuscate import Restorer, spaced_runs, trigram_counts
 from .sampling import labelled_sample
 
 #: Labelled documents the lexicon and the score are learned from, at most.
@@ -66,7 +66,7 @@ def tokens_of(text: str) -> set[str]:
     """Distinct lower-case tokens, and runs of spaced single letters."""
     low = text.lower()
     found = set(low.split())
-    found.update(m.group() for m in SPACED.finditer(low))
+    found.update(spaced_runs(low))
     return found
 
 
@@ -76,6 +76,7 @@ class ToxicModel:
     def __init__(self, counts: np.ndarray, strengths: dict[str, float]) -> None:
         self.restorer = Restorer(counts)
         self.strengths = strengths
+        self.starts = {f[1:3] for f in strengths}  # of words that may have a strength
         self.weights = np.zeros(4)
         self.bias = 0.0
         self.known: dict[str, float] = {}
@@ -84,9 +85,9 @@ class ToxicModel:
         if token not in self.known:
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            of = self.strengths
+            of, starts = self.strengths, self.starts
             self.known[token] = max(
-                (of.get(f, 0.0) for word in self.restorer.words(token) for f in features(word)), default=0.0
+                (of.get(f, 0.0) for word in self.restorer.words(token) if word[:2] in starts for f in features(word)), default=0.0
             )
         return self.known[token]
 

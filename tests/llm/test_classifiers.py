@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from evstar.llm import langid, quality, toxicity
-from evstar.llm.deobfuscate import SYMBOLS, Restorer, symbol, trigram_counts
+from evstar.llm.deobfuscate import SPACED, SYMBOLS, Restorer, spaced_runs, symbol, trigram_counts
 
 SF = "/root/testdata/sf0.01"
 
@@ -274,3 +274,11 @@ def test_numbers_that_are_no_letters_have_no_language(spark):
     trees = langid.train(docs)
     assert trees.predict(["\u00bd \u2461", "\u2167", "12 _", "\u3007"])[0] == ["und"] * 4
     assert trees.predict(["\u00aa", "x", "\u4e00"])[0] == ["de"] * 3
+
+
+def test_spaced_runs_by_their_beginnings():
+    rng = np.random.default_rng(3)
+    signs = ["a", "l", "0", "$", " ", " ", ".", "-", '"', "[", "(", "x", "\n", "é", "1", "_", "*", "!"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(signs, rng.integers(0, 14)))
+        assert spaced_runs(text) == [m.group() for m in SPACED.finditer(text)], text
