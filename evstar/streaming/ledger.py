@@ -71,12 +71,33 @@ def merged_intervals(intervals: DataFrame) -> DataFrame:
     return inner.unionByName(_joined(within.filter("border"), "kafka_partition"))
 
 
+def _words(intervals: DataFrame) -> DataFrame:
+    """``of_partition, word, bits``: every stretch of 64 offsets that an
+    interval reaches, once, with a bit for each offset that one covers."""
+    words = F.sequence(F.shiftright("first_offset", 6), F.shiftright("last_offset", 6))
+    cut = intervals.select("kafka_partition", "first_offset", "last_offset", F.explode(words).alias("word"))
+    first = F.greatest(F.col("first_offset") - F.col("word") * 64, F.lit(0)).cast("int")
+    last = F.least(F.col("last_offset") - F.col("word") * 64, F.lit(63)).cast("int")
+    every = F.lit(-1).cast("long")
+    from_first, to_last = F.call_function("shiftleft", every, first), F.call_function("shiftrightunsigned", every, 63 - last)
+    bits = F.bit_or(from_first.bitwiseAND(to_last))
+    return cut.groupBy(F.col("kafka_partition").alias("of_partition"), "word").agg(bits.alias("bits"))
+
+
 def not_covered(rows: DataFrame, intervals: DataFrame) -> DataFrame:
-    """The rows whose offset is in no interval."""
+    """The rows whose offset is in no interval. A row meets one word at most,
+    however many intervals there are; only chunks with rows are cut into words."""
     chunks = F.sequence(F.expr(f"first_offset div {CHUNK}"), F.expr(f"last_offset div {CHUNK}"))
-    held = intervals.select(F.col("kafka_partition").alias("of_partition"), "first_offset", "last_offset", F.explode(chunks).alias("of_chunk"))
-    same = (F.col("kafka_partition") == F.col("of_partition")) & (F.expr(f"kafka_offset div {CHUNK}") == F.col("of_chunk"))
-    return rows.join(held, same & F.col("kafka_offset").between(F.col("first_offset"), F.col("last_offset")), "left_anti")
+    held = intervals.select("kafka_partition", "first_offset", "last_offset", F.explode(chunks).alias("chunk"))
+    wanted = rows.select("kafka_partition", F.expr(f"kafka_offset div {CHUNK}").alias("chunk")).distinct()
+    cut = held.join(wanted, ["kafka_partition", "chunk"], "left_semi").select(
+        "kafka_partition",
+        F.greatest("first_offset", F.col("chunk") * CHUNK).alias("first_offset"),
+        F.least("last_offset", (F.col("chunk") + 1) * CHUNK - 1).alias("last_offset"),
+    )
+    same = (F.col("kafka_partition") == F.col("of_partition")) & (F.shiftright("kafka_offset", 6) == F.col("word"))
+    covered = F.getbit("bits", F.pmod("kafka_offset", F.lit(64)).cast("int")) == 1
+    return rows.join(_words(cut), same & covered, "left_anti")
 
 
 class Ledger:

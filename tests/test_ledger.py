@@ -176,3 +176,22 @@ def test_plan_of_the_anti_join_has_no_nested_loop(spark):
     rows = spark.range(5).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"))
     plan = not_covered(rows, spark.createDataFrame([(0, 1, 2)], INTERVALS))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_row_meets_one_stretch_of_offsets_not_every_interval_of_its_chunk(spark):
+    """Every fourth offset loaded: thousands of intervals in one chunk."""
+    n = 40_000
+    rows = spark.range(n, numPartitions=4).select(F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"))
+    held = rows.filter("kafka_offset % 4 = 0").select("kafka_partition", F.col("kafka_offset").alias("first_offset"), F.col("kafka_offset").alias("last_offset"))
+    left = not_covered(rows, held)
+    joins = [line for line in left._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftAnti" in line]
+    assert len(joins) == 1 and "first_offset" not in joins[0] and "word" in joins[0]
+    assert left.filter("kafka_offset % 4 = 0").count() == 0 and left.count() == n - n // 4
+
+
+def test_spans_around_the_ends_of_stretches(spark):
+    spans = [(0, 0, 0), (0, 62, 65), (0, 127, 127), (0, 192, 319), (1, 63, 64), (1, 0, (1 << 20) + 5)]
+    rows = [(p, o) for p in (0, 1, 2) for o in (*range(330), (1 << 20) - 1, 1 << 20, (1 << 20) + 5, (1 << 20) + 6)]
+    got = not_covered(spark.createDataFrame(rows, "kafka_partition int, kafka_offset long"), spark.createDataFrame(spans, INTERVALS))
+    want = [(p, o) for p, o in rows if not any(p == q and a <= o <= b for q, a, b in spans)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
