@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from evstar.plans import stg_orders
 from evstar.plans.fact_state import FACT_COLUMNS, read_fact, refresh_fact, waiting_table
 from evstar.plans.marts import fact_orders
+from evstar.plans.roundtrips import fact_roundtrip
 from evstar.functions.keys import surrogate_key
 from evstar.sources.lake import RAW_EVENTS_SCHEMA
 from evstar.streaming.keyed import BUCKET
@@ -148,3 +149,28 @@ def test_empty_inputs(spark, tmp):
     assert read_staged_orders(spark, f"{tmp}/stg").count() == 0
     assert refresh_fact(spark, f"{tmp}/stg", f"{tmp}/fact", *dims(spark, ["C1"], [])) == []
     assert read_fact(spark, f"{tmp}/fact").count() == 0
+
+
+def test_both_days_are_made_in_one_pass_over_the_input(spark, tmp):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    orders = [raw_row(f"e{i}", i, i % 3, customer=f"C{i % 9}", product=f"P{i % 13}") for i in range(300)]
+    orders += [raw_row("e7", 400, 1, status="cancelled"), raw_row("e8", 401, 9, status="cancelled")]
+    texts = spark.createDataFrame(orders, PLAIN).select(
+        "event_id", "event_type", F.col("event_timestamp").cast("string"), "payload", "kafka_partition", "kafka_offset", F.col("ingested_at").cast("string")
+    )
+    everyone = dims(spark, [f"C{i}" for i in range(9)], [f"P{i}" for i in range(13)])
+    fact = fact_roundtrip(spark, texts.mapInArrow(counted, texts.schema), *everyone, tmp)
+    assert made.value == len(orders)
+    assert rows(fact) == rows(fact_orders(stg_orders(raw(spark, orders)), *everyone))
+
+
+def test_a_day_without_orders(spark, tmp):
+    orders = [raw_row(f"e{i}", i) for i in range(5)]  # all on the first day
+    texts = spark.createDataFrame(orders, PLAIN).drop("source_file").withColumns({c: F.col(c).cast("string") for c in ("event_timestamp", "ingested_at")})
+    assert fact_roundtrip(spark, texts, *dims(spark, ["C1"], ["P1"]), tmp).count() == 5
