@@ -6,6 +6,7 @@ from __future__ import annotations
 import sys
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +28,12 @@ CACHED_PIECES = 800_000
 _SIGNS = ".,;:!?&%$#*)"
 
 
-def _byte_characters() -> dict[int, str]:
-    """How byte-level tokenizers show bytes: visible Latin-1 characters as
-    they are, the others from code point 256 on, in byte order."""
+def _byte_characters() -> str:
+    """How byte-level tokenizers show the 256 bytes: visible Latin-1
+    characters as they are, the others from code point 256 on, in byte order."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + n) for n, b in enumerate(others)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
 
 
 _BYTE_CHARACTERS = _byte_characters()
@@ -73,22 +74,27 @@ class Encoder:
         """Add the ids of words without white space."""
         whole, ended = set(), []  # encoded as they are; letters with signs after them
         for w in words:
-            if w not in known:
-                base = w.rstrip(_SIGNS)
-                if base != w and base.isalpha():
-                    ended.append((w, base))
-                    if base not in known:
-                        whole.add(base)
-                else:
-                    whole.add(w)
-        model, table = self.tokenizer.model, _BYTE_CHARACTERS
+            if w.isalpha():
+                whole.add(w)
+                continue
+            base = w.rstrip(_SIGNS)
+            if base != w and base.isalpha():
+                ended.append((w, base))
+                whole.add(base)
+            else:
+                whole.add(w)
+        tokenize = self.tokenizer.model.tokenize
         for w in whole:
+            if w in known:
+                continue
             if w.isalpha():  # one pre-token: straight to the merges
-                shown = (prefix + w).encode().decode("latin-1").translate(table)
-                known[w] = self._bytes([t.id for t in model.tokenize(shown)])
+                shown = charmap_decode((prefix + w).encode(), "strict", _BYTE_CHARACTERS)[0]
+                known[w] = self._bytes([t.id for t in tokenize(shown)])
             else:
                 known[w] = self._ids(prefix + w)
         for w, base in ended:
+            if w in known:
+                continue
             signs = w[len(base) :]
             if signs not in self.plain:
                 self.plain[signs] = self._ids(signs)
@@ -99,43 +105,36 @@ class Encoder:
         if len(self.spaced) + len(self.plain) > CACHED_PIECES:
             self.spaced.clear()
             self.plain.clear()
-        held = []
-        firsts, others = set(), set()  # words to learn, without and with a space before them
-        for text in texts:
-            pieces = text.split(" ")
-            found = [self.plain.get(pieces[0]), *map(self.spaced.get, pieces[1:])]
-            missing: list[int] = []
-            if None in found:
-                missing = [k for k, ids in enumerate(found) if ids is None]
-                new = [pieces[k] for k in missing]
-                joined = "\n".join(new)
-                words = joined.split("\n")
-                if joined.split() != words:  # a kept piece has no white space; new ones are checked here
-                    found = None
-                else:
-                    if len(words) != len(new):
-                        lines = [p.split("\n") for p in new if "\n" in p]
-                        firsts.update(w for ws in lines for w in ws[1:])
-                        new = [p.split("\n", 1)[0] for p in new]
-                    if missing[0] == 0:
-                        firsts.add(new.pop(0))
-                    others.update(new)
-            held.append((text, pieces, found, missing))
-        self._learn(self.plain, firsts, "")
-        self._learn(self.spaced, others, " ")
-        out = []
-        for text, pieces, found, missing in held:
-            if found is None:  # white space other than single spaces and newlines
-                out.append(self._ids(text))
-                continue
+        # one text after the other: its pieces stay in the processor's cache until they are joined
+        return [self._encoded(text) for text in texts]
+
+    def _encoded(self, text: str) -> bytes:
+        pieces = text.split(" ")
+        found = [self.plain.get(pieces[0]), *map(self.spaced.get, pieces[1:])]
+        if None in found:
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            new = [pieces[k] for k in missing]
+            joined = "\n".join(new)
+            words = joined.split("\n")
+            if joined.split() != words:  # a kept piece has no white space; new ones are checked here
+                return self._ids(text)  # white space other than single spaces and newlines
+            firsts: set[str] = set()  # words without a space before them
+            heads = new
+            if len(words) != len(new):
+                firsts.update(w for p in new if "\n" in p for w in p.split("\n")[1:])
+                heads = [p.split("\n", 1)[0] for p in new]
+            if missing[0] == 0:
+                firsts.add(heads[0])
+                heads = heads[1:]
+            self._learn(self.plain, firsts, "")
+            self._learn(self.spaced, set(heads), " ")
             for k in missing:
                 known = self.spaced if k else self.plain
                 found[k] = known.get(pieces[k])
                 if found[k] is None:
                     first, *rest = pieces[k].split("\n")
                     found[k] = self.newline.join([known[first], *map(self.plain.__getitem__, rest)])
-            out.append(b"".join(found))
-        return out
+        return b"".join(found)
 
 
 def vocabulary_path(name: str) -> str:

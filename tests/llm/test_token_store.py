@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from conftest import SF_SMALL
 from evstar.llm.token_file import CorruptFile, Reader, Writer
-from evstar.llm.token_store import encoder, token_output, vocabulary_path, write_tokens
+from evstar.llm.token_store import Encoder, encoder, token_output, vocabulary_path, write_tokens
 
 NAME = "byte_bpe_50k.json"
 
@@ -54,6 +54,19 @@ def write(docs, frame_bytes=64):
 DOCS = [(1, [1, 2, 3]), (1, [9]), (None, []), (5, list(range(100))), (7, [0]), (8, [4, 4, 4, 4])]
 
 
+def test_pieces_of_one_text_are_held_at_a_time():
+    import tracemalloc
+
+    enc = Encoder(vocabulary_path("byte_bpe_50k.json"))
+    texts = [" ".join(["plain", "words", "again,", "übermut"] * 2000)] * 100
+    one = enc.encode(texts[:1])
+    tracemalloc.start()
+    assert enc.encode(texts) == one * 100
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(one[0]) + (4 << 20)  # the ids, and not 800,000 pieces
+
+
 def test_file_round_trip_and_seek():
     data = write(DOCS)
     reader = Reader(io.BytesIO(data))
