@@ -15,11 +15,15 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.scheduler.mode": "FAIR",  # models of a build that run at once share the cluster
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Settings of Spark's core, which the SQL settings do not list.
+CORE_DEFAULTS = {
+    "spark.scheduler.mode": "FAIR",  # models of a build that run at once share the cluster
+}
+
 
 # Sizing for a large cluster (~1000 executors, ~100 TB of raw events).
 # - Scans: 100 TB / 512 MB splits ~ 200k tasks, a few waves at 8k cores.
@@ -60,7 +64,7 @@ def get_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**SESSION_DEFAULTS, **(CLUSTER_SETTINGS if cluster else {}), **conf}
+    settings = {**SESSION_DEFAULTS, **CORE_DEFAULTS, **(CLUSTER_SETTINGS if cluster else {}), **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
